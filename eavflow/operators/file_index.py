@@ -17,7 +17,7 @@ The grouping key is ``(src, kind, key)``; ``src`` is in every key because
 lookups never cross files.  Every output column is a partial aggregate
 (``min_by``/``max_by``/``count``), so a hot key or a file holding a third of
 all rows is combined map-side.  The aggregate is reused by all consumers
-(one exchange, reused by the planner).
+(written once as a ``kind``-partitioned table, see ``plans/stage.py``).
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from eavflow.operators.reshape import attr_col
 from eavflow.plans.spec import Template
+from eavflow.plans.stage import stage_table
 
 K_FORM, K_LABEL, K_MEMBER = "F", "L", "B"
 
@@ -58,7 +59,7 @@ class FileIndex:
     members: DataFrame      # src, data, lf
 
 
-def build_index(rec: DataFrame, tpl: Template) -> FileIndex:
+def build_index(rec: DataFrame, tpl: Template, stage: bool = True) -> FileIndex:
     L = tpl.lookups
     g, i, d, frm = F.col("group_"), F.col("id"), F.col("data"), F.col("form")
     is_rec = (g == tpl.group) & i.isNotNull()
@@ -77,7 +78,7 @@ def build_index(rec: DataFrame, tpl: Template) -> FileIndex:
     aggs = [
         F.count(rec_ord).alias("n_rec"),
         F.min(rec_ord).alias("rk"),
-        F.max_by(F.struct(*header), rec_ord).alias("_hdr"),
+        *([F.max_by(F.struct(*header), rec_ord).alias("_hdr")] if header else []),
         *[F.max_by(d, F.when(is_rec & (i == s), F.col("ord"))).alias(attr_col(s))
           for s in tpl.source_ids],
         _first("data", (g == L.category_group) & (i == L.category_id)).alias("cat"),
@@ -92,6 +93,10 @@ def build_index(rec: DataFrame, tpl: Template) -> FileIndex:
         F.min_by(frm, F.col("ord")).alias("lf"),
     ]
     agg = routed.groupBy("src", F.col("_k.kind").alias("kind"), F.col("_k.key").alias("key")).agg(*aggs)
+    if stage:
+        # Every consumer filters on ``kind``; without a cut the optimizer pushes those
+        # filters below the aggregate and each consumer would rescan the records.
+        agg = stage_table(agg, f"index-{tpl.name}", ["kind"])
 
     kind = F.col("kind")
     records = (agg.where((kind == K_FORM) & (F.col("n_rec") > 0))

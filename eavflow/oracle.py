@@ -378,3 +378,160 @@ ORACLES = {
 
 def all_sql() -> dict[str, str]:
     return {k: f() for k, f in ORACLES.items()}
+
+
+# -- path fixtures -----------------------------------------------------------
+
+_OBJ = """
+obj0 AS (
+  SELECT page_id,
+    CASE WHEN page_id % 11 = 0 THEN 'cv-data' ELSE 'b' || CAST(page_id % 3 AS VARCHAR) END AS bucket,
+    'tenant-' || CAST(page_id % 5 AS VARCHAR) || '-x' AS tenant,
+    CASE WHEN page_id % 4 < 2 THEN 'cv' WHEN page_id % 4 = 2 THEN 'metadata' ELSE 'cvrisk' END AS folder,
+    CASE WHEN page_id % 6 = 5 THEN '.json' ELSE '.csv' END AS sfx,
+    CASE WHEN page_id % 13 = 0 THEN '/extra' ELSE '' END AS deep
+  FROM pages
+),
+objs AS (
+  SELECT page_id, bucket, tenant, folder, key, 's3://' || bucket || '/' || key AS url FROM (
+    SELECT *, tenant || '/' || folder || deep || '/' || CAST(page_id AS VARCHAR) || sfx AS key FROM obj0) t
+),
+recobj AS (SELECT * FROM objs WHERE contains(key, '/cv/') AND key LIKE '%.csv'),
+parts AS (
+  SELECT url, page_id, bucket AS obucket, string_split(url, '/') AS p FROM recobj
+),
+props AS (
+  SELECT url AS src, 'CWAuditSource' AS propertyname FROM recobj WHERE page_id % 7 = 1
+  UNION ALL SELECT url, 'CWCustomProperty.CWAuditSource' FROM recobj WHERE page_id % 7 = 2
+  UNION ALL SELECT url, 'Title' FROM recobj WHERE page_id % 7 = 2
+  UNION ALL SELECT url, 'Title' FROM recobj WHERE page_id % 7 = 3
+  UNION ALL SELECT url, 'cwauditsource' FROM recobj WHERE page_id % 7 = 4
+  UNION ALL SELECT url, 'CWAuditSource' FROM recobj WHERE page_id % 7 = 5
+  UNION ALL SELECT url, 'CWAuditSource' FROM recobj WHERE page_id % 7 = 5
+),
+ledger AS (
+  SELECT url AS src, bucket, CAST(1700000000 AS BIGINT) AS ts, 'converted' AS status,
+         's3://' || bucket || '/' || replace(key, '/cv/', '/cvrisk/') AS detail
+  FROM recobj WHERE page_id % 9 < 2
+),
+outputs AS (SELECT url AS src FROM recobj WHERE page_id % 8 = 0),
+queue AS (SELECT DISTINCT url AS src, bucket FROM recobj WHERE page_id % 2 = 0)"""
+
+
+def with_objects(body: str) -> str:
+    return f"WITH {_OBJ}\n{body}"
+
+
+def _parts_sql(u: str) -> tuple[str, ...]:
+    p = f"string_split({u}, '/')"
+    ok = f"coalesce(len({p}) = 6 AND {p}[2] = '', false)"
+    return p, ok
+
+
+def list_keys() -> str:
+    return with_objects("SELECT key, url FROM objs WHERE key LIKE '%.csv' AND contains(key, '/cv/')")
+
+
+def path_parts() -> str:
+    p, ok = _parts_sql("url")
+    return with_objects(f"""SELECT url, {p}[3] AS bucket, {p}[4] AS tenant, {p}[5] AS folder, {p}[6] AS file,
+  {ok} AS ok FROM objs""")
+
+
+def _sibling(u: str, folder: str) -> str:
+    p, ok = _parts_sql(u)
+    return (f"CASE WHEN {ok} THEN regexp_extract({u}, '^([^/]*//)', 1) || {p}[3] || '/' || {p}[4] "
+            f"|| '/{folder}/' || {p}[6] END")
+
+
+def sibling_path() -> str:
+    return with_objects(f"SELECT url, {_sibling('url', 'cvrisk')} AS out_url, "
+                        f"{_sibling('url', 'metadata')} AS meta_url FROM recobj")
+
+
+def tenant_db_name() -> str:
+    return with_objects("SELECT DISTINCT tenant, 'xfiles_' || replace(tenant, '-', '') AS db_name FROM objs")
+
+
+def notif_decode() -> str:
+    return with_objects("""SELECT bucket, tenant || '/cv/report ' || CAST(page_id AS VARCHAR) || '&v1.csv' AS key,
+  's3://' || bucket || '/' || tenant || '/cv/report ' || CAST(page_id AS VARCHAR) || '&v1.csv' AS url FROM objs
+UNION ALL
+SELECT bucket, tenant || '/metadata/report ' || CAST(page_id AS VARCHAR) || '.csv',
+  's3://' || bucket || '/' || tenant || '/metadata/report ' || CAST(page_id AS VARCHAR) || '.csv'
+FROM objs WHERE page_id % 3 = 0""")
+
+
+GATE_IN = ", ".join(f"'{n}'" for n in S.RISK_GATE_PROPERTIES)
+
+
+def gate_semi() -> str:
+    return with_objects(f"""SELECT url AS src FROM recobj
+WHERE url IN (SELECT src FROM props WHERE propertyname IN ({GATE_IN}))""")
+
+
+def pending_anti() -> str:
+    return with_objects("SELECT url AS src FROM recobj WHERE url NOT IN (SELECT src FROM ledger)")
+
+
+def output_anti() -> str:
+    return with_objects("""SELECT url AS src, CASE WHEN url IN (SELECT src FROM outputs) THEN 'already_converted'
+  ELSE 'pending' END AS status FROM recobj""")
+
+
+def queue_dedupe() -> str:
+    return with_objects("SELECT src, bucket FROM queue")
+
+
+def queue_drain() -> str:
+    return with_objects("SELECT src FROM queue WHERE src NOT IN (SELECT src FROM ledger)")
+
+
+def has_pending() -> str:
+    return with_objects("SELECT count(*) > 0 AS has_pending FROM (SELECT 1 FROM queue LIMIT 1) t")
+
+
+def _outcome_cte() -> str:
+    p, ok = _parts_sql("r.url")
+    return f""",
+outcome AS (
+  SELECT r.url AS src, r.bucket,
+    CASE WHEN NOT {ok} THEN 'bad_path'
+         WHEN r.url IN (SELECT src FROM outputs) THEN 'already_converted'
+         WHEN r.url IN (SELECT src FROM props WHERE propertyname IN ({GATE_IN})) THEN 'converted'
+         ELSE 'rejected' END AS status,
+    CASE WHEN NOT {ok} THEN 'unsupported path'
+         WHEN r.url IN (SELECT src FROM outputs)
+           OR r.url IN (SELECT src FROM props WHERE propertyname IN ({GATE_IN})) THEN {_sibling('r.url', 'cvrisk')}
+         ELSE 'Was not created by {S.RISK_TEMPLATE.name}' END AS detail
+  FROM recobj r WHERE r.url NOT IN (SELECT src FROM ledger)
+)"""
+
+
+def convert_status() -> str:
+    return f"WITH {_OBJ}{_outcome_cte()}\nSELECT src, bucket, status, detail FROM outcome"
+
+
+def ledger_upsert() -> str:
+    return f"""WITH {_OBJ}{_outcome_cte()}
+SELECT src, bucket, ts, status, detail FROM ledger
+UNION ALL
+SELECT src, bucket, CAST(1700000060 AS BIGINT) AS ts, status, detail FROM outcome
+WHERE src NOT IN (SELECT src FROM ledger)"""
+
+
+ORACLES.update({
+    "list_keys": list_keys,
+    "path_parts": path_parts,
+    "sibling_path": sibling_path,
+    "tenant_db_name": tenant_db_name,
+    "notif_decode": notif_decode,
+    "gate_semi": gate_semi,
+    "pending_anti": pending_anti,
+    "output_anti": output_anti,
+    "queue_dedupe": queue_dedupe,
+    "queue_drain": queue_drain,
+    "has_pending": has_pending,
+    "convert_status": convert_status,
+    "ledger_upsert": ledger_upsert,
+})

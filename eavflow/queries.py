@@ -158,3 +158,99 @@ QUERIES = {
     "link_control": q_link_control,
     "link_item": q_link_item,
 }
+
+
+# -- paths, notifications, work selection ----------------------------------
+
+from eavflow.functions import paths as P  # noqa: E402
+from eavflow.operators import select as SEL  # noqa: E402
+from eavflow.plans import selection  # noqa: E402
+from eavflow.sources import listing, notifications  # noqa: E402
+
+
+def q_list_keys(spark, sf_dir):
+    keys = listing.filter_keys(FX.objects(spark, sf_dir), "key", "", P.RECORD_SUFFIX, P.RECORD_KEYWORD)
+    return keys.select("key", "url")
+
+
+def q_path_parts(spark, sf_dir):
+    p = P.path_parts("url")
+    return FX.objects(spark, sf_dir).select(
+        "url", p["bucket"].alias("bucket"), p["tenant"].alias("tenant"),
+        p["folder"].alias("folder"), p["file"].alias("file"), p["ok"].alias("ok"))
+
+
+def q_sibling_path(spark, sf_dir):
+    return FX.record_objects(spark, sf_dir).select(
+        "url", P.sibling_path("url", P.OUTPUT_FOLDER).alias("out_url"),
+        P.sibling_path("url", P.METADATA_FOLDER).alias("meta_url"))
+
+
+def q_tenant_db_name(spark, sf_dir):
+    return (FX.objects(spark, sf_dir).select("tenant").distinct()
+            .select("tenant", P.tenant_db_name("tenant").alias("db_name")))
+
+
+def q_notif_decode(spark, sf_dir):
+    return notifications.decode(FX.notifications(spark, sf_dir)).select("bucket", "key", "url")
+
+
+def _listed(spark, sf_dir):
+    return FX.record_objects(spark, sf_dir).select(F.col("url").alias("src"), "bucket")
+
+
+def q_gate_semi(spark, sf_dir):
+    return SEL.gate_semi(_listed(spark, sf_dir), FX.property_rows(spark, sf_dir),
+                         RISK.gate_properties).select("src")
+
+
+def q_pending_anti(spark, sf_dir):
+    return SEL.pending_anti(_listed(spark, sf_dir), FX.ledger_rows(spark, sf_dir)).select("src")
+
+
+def q_output_anti(spark, sf_dir):
+    return SEL.output_status(_listed(spark, sf_dir), FX.output_rows(spark, sf_dir)).select("src", "status")
+
+
+def q_queue_dedupe(spark, sf_dir):
+    return SEL.queue_dedupe(FX.queue_puts(spark, sf_dir)).select("src", "bucket")
+
+
+def q_queue_drain(spark, sf_dir):
+    q = SEL.queue_dedupe(FX.queue_puts(spark, sf_dir))
+    return SEL.queue_drain(q, FX.ledger_rows(spark, sf_dir)).select("src")
+
+
+def q_has_pending(spark, sf_dir):
+    return SEL.has_pending(SEL.queue_dedupe(FX.queue_puts(spark, sf_dir)))
+
+
+def _outcomes(spark, sf_dir):
+    return selection.outcomes(_listed(spark, sf_dir), FX.ledger_rows(spark, sf_dir),
+                              FX.output_rows(spark, sf_dir), FX.property_rows(spark, sf_dir), RISK)
+
+
+def q_convert_status(spark, sf_dir):
+    return _outcomes(spark, sf_dir)
+
+
+def q_ledger_upsert(spark, sf_dir):
+    new = selection.ledger_entries(_outcomes(spark, sf_dir), FX.LEDGER_TS + 60)
+    return SEL.ledger_upsert(FX.ledger_rows(spark, sf_dir), new)
+
+
+QUERIES.update({
+    "list_keys": q_list_keys,
+    "path_parts": q_path_parts,
+    "sibling_path": q_sibling_path,
+    "tenant_db_name": q_tenant_db_name,
+    "notif_decode": q_notif_decode,
+    "gate_semi": q_gate_semi,
+    "pending_anti": q_pending_anti,
+    "output_anti": q_output_anti,
+    "queue_dedupe": q_queue_dedupe,
+    "queue_drain": q_queue_drain,
+    "has_pending": q_has_pending,
+    "convert_status": q_convert_status,
+    "ledger_upsert": q_ledger_upsert,
+})

@@ -214,3 +214,88 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         _cat("U", uid).alias("form"), F.lit("EVENT").alias("group_"),
         F.col("event_type").alias("id"),
         F.col("value").cast("decimal(18,2)").cast("string").alias("data"))
+
+
+# ---------------------------------------------------------------------------
+# Object-path fixtures from ``pages``: one object per page.  Roles (folder,
+# suffix, sidecar, ledger, queue ...) are assigned by residues of page_id so
+# that every role has members at every scale; all pages always flow through.
+# ---------------------------------------------------------------------------
+
+GATE_ROLE_PROPS = {1: ["CWAuditSource"], 2: ["CWCustomProperty.CWAuditSource", "Title"],
+                   3: ["Title"], 4: ["cwauditsource"], 5: ["CWAuditSource", "CWAuditSource"]}
+LEDGER_TS = 1_700_000_000   # fixed clock for deterministic ledger rows
+
+
+def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, bucket, tenant, folder, key, url for every page."""
+    pid = F.col("page_id")
+    bucket = F.when(pid % 11 == 0, F.lit("cv-data")).otherwise(_cat("b", pid % 3))
+    tenant = _cat("tenant-", pid % 5, "-x")
+    folder = (F.when(pid % 4 < 2, F.lit("cv")).when(pid % 4 == 2, F.lit("metadata"))
+               .otherwise(F.lit("cvrisk")))
+    suffix = F.when(pid % 6 == 5, F.lit(".json")).otherwise(F.lit(".csv"))
+    deep = F.when(pid % 13 == 0, F.lit("/extra")).otherwise(F.lit(""))
+    key = F.concat(tenant, F.lit("/"), folder, deep, F.lit("/"), _s(pid), suffix)
+    return (table(spark, sf_dir, "pages").select("page_id")
+            .select("page_id", bucket.alias("bucket"), tenant.alias("tenant"),
+                    folder.alias("folder"), key.alias("key"))
+            .withColumn("url", F.concat(F.lit("s3://"), F.col("bucket"), F.lit("/"), F.col("key"))))
+
+
+def record_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects that the listing keeps: keyword ``/cv/`` and suffix ``.csv``."""
+    o = objects(spark, sf_dir)
+    return o.where(F.col("key").contains("/cv/") & F.col("key").endswith(".csv"))
+
+
+def property_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sidecar rows (src = record url, propertyname) by role ``page_id % 7``."""
+    o = record_objects(spark, sf_dir)
+    role = F.col("page_id") % 7
+    props = F.when(role == 1, F.array(F.lit("CWAuditSource")))
+    for r, names in GATE_ROLE_PROPS.items():
+        props = props if r == 1 else props.when(role == r, F.array(*[F.lit(n) for n in names]))
+    return o.select(F.col("url").alias("src"), F.explode(props).alias("propertyname"))
+
+
+def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files already processed: ``page_id % 9 < 2``."""
+    o = record_objects(spark, sf_dir).where(F.col("page_id") % 9 < 2)
+    return o.select(F.col("url").alias("src"), "bucket",
+                    F.lit(LEDGER_TS).cast("bigint").alias("ts"),
+                    F.lit("converted").alias("status"),
+                    F.concat(F.lit("s3://"), F.col("bucket"), F.lit("/"),
+                             F.regexp_replace("key", "/cv/", "/cvrisk/")).alias("detail"))
+
+
+def output_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outputs that already exist: ``page_id % 8 == 0``."""
+    return record_objects(spark, sf_dir).where(F.col("page_id") % 8 == 0).select(F.col("url").alias("src"))
+
+
+def queue_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queue puts (with repeats): even page ids, twice when ``page_id % 10 == 0``."""
+    o = record_objects(spark, sf_dir).where(F.col("page_id") % 2 == 0)
+    reps = F.when(F.col("page_id") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return o.select(F.col("url").alias("src"), "bucket", F.explode(reps).alias("put_no"))
+
+
+def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON upload notification per page (text column ``body``).
+
+    Keys are percent/plus-encoded; every third page carries a second record
+    for a ``/metadata/`` object, which intake must skip.
+    """
+    o = objects(spark, sf_dir).select("page_id", "bucket", "tenant")
+    pid = F.col("page_id")
+    enc_cv = F.concat(F.col("tenant"), F.lit("/cv/report+"), _s(pid), F.lit("%26v1.csv"))
+    enc_md = F.concat(F.col("tenant"), F.lit("/metadata/report+"), _s(pid), F.lit(".csv"))
+
+    def rec(key):
+        return F.concat(F.lit('{"s3":{"bucket":{"name":"'), F.col("bucket"),
+                        F.lit('"},"object":{"key":"'), key, F.lit('"}}}'))
+    body = F.concat(F.lit('{"Records":['), rec(enc_cv),
+                    F.when(pid % 3 == 0, F.concat(F.lit(","), rec(enc_md))).otherwise(F.lit("")),
+                    F.lit("]}"))
+    return o.select("page_id", body.alias("body"))
