@@ -535,3 +535,105 @@ ORACLES.update({
     "convert_status": convert_status,
     "ledger_upsert": ledger_upsert,
 })
+
+
+# -- I/O, templates, streams ---------------------------------------------------
+
+def _wide_ctes() -> list[str]:
+    return [_pv(RISK_IDS), _FSA, _ASSERT, _SRI, _LINK,
+            f"\nwv AS (SELECT\n  {_wide_select()}\n{_wide_from()})"]
+
+
+def _nullif_cols(prefix: str = "") -> str:
+    return ", ".join(f"nullif({prefix}{q(c)}, '') AS {q(c)}" for c in S.RISK_TEMPLATE.columns)
+
+
+def csv_scan() -> str:
+    cols = ", ".join(f"nullif({c}, '') AS {c}" for c in HEADER + ["form", "group_", "id", "data"])
+    return with_fixture(body=f"SELECT src AS file, {cols} FROM eav")
+
+
+def property_scan() -> str:
+    return with_objects("SELECT r.page_id AS p_page, p.propertyname FROM props p JOIN recobj r ON r.url = p.src")
+
+
+def csv_roundtrip() -> str:
+    return with_fixture(*_wide_ctes(), body=f"SELECT {_nullif_cols()}, '_unknown' AS tenant FROM wv")
+
+
+def typed_view() -> str:
+    items = []
+    for c in S.RISK_TEMPLATE.columns:
+        out = "dateid" if c == "dateId" else c
+        if c in S.TYPED_INT_COLUMNS:
+            items.append(f"TRY_CAST(nullif({q(c)}, '') AS INTEGER) AS {q(out)}")
+        else:
+            items.append(f"nullif({q(c)}, '') AS {q(out)}")
+    return with_fixture(*_wide_ctes(), body=f"SELECT {', '.join(items)} FROM wv")
+
+
+def catalog_query() -> str:
+    return with_fixture(*_wide_ctes(), body="""SELECT yearend, significant, count(*) AS n_risks,
+  count(assocd_ctrl) AS n_with_ctrl, count(assocd_item) AS n_with_item
+FROM wv GROUP BY yearend, significant""")
+
+
+def queue_pending() -> str:
+    return with_objects("SELECT src, bucket FROM queue")
+
+
+def field_dictionary() -> str:
+    parts = []
+    for f in S.RISK_FIELDS:
+        desc = f.desc.replace("'", "''")
+        parts.append(f"SELECT '{f.out}' AS {q('column')}, '{f.source_id}' AS source_id, '{desc}' AS description, "
+                     f"'{f.kind}' AS kind, count({q(f.out)}) AS n_values FROM wv")
+    return with_fixture(*_wide_ctes(), body="\nUNION ALL ".join(parts))
+
+
+def second_template() -> str:
+    ev = """
+ev AS (
+  SELECT src, event_id AS ord, src || '.csv' AS filename, CAST(year(ts) AS VARCHAR) AS yearend,
+         CAST(user_id AS VARCHAR) AS entityid, 'user-' || CAST(user_id AS VARCHAR) AS entityname,
+         'bundle-' || src AS bundleguid, strftime(ts, '%Y-%m-%d %H:%M:%S') AS lastmodified,
+         CAST(event_id AS VARCHAR) AS cwguid, 'U' || CAST(user_id AS VARCHAR) AS form, event_type AS id,
+         CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS data
+  FROM (SELECT *, 'e' || CAST(user_id % 4 AS VARCHAR) AS src FROM events) e
+)"""
+    hdr = ", ".join(f"arg_max_null({h}, ord) AS {h}" for h in HEADER)
+    cols = ", ".join(f"arg_max_null(data, ord) FILTER (WHERE id = '{f.source_id}') AS {q(f.out)}"
+                     for f in S.EVENT_TEMPLATE.fields)
+    return f"WITH {ev}\nSELECT src, {hdr}, {cols} FROM ev WHERE id IS NOT NULL GROUP BY src, form"
+
+
+def stream_notifications() -> str:
+    return with_objects("""SELECT DISTINCT 's3://' || bucket || '/' || tenant || '/cv/report ' || CAST(page_id AS VARCHAR)
+  || '&v1.csv' AS src, bucket FROM objs""")
+
+
+def stream_convert() -> str:
+    return with_fixture(*_wide_ctes(), body=f"SELECT {_nullif_cols()} FROM wv WHERE src <> 'f3'")
+
+
+def backfill() -> str:
+    return with_fixture(_pv([]), body="""SELECT src AS file,
+  CAST(CASE WHEN src = 'f3' THEN 1700000060 ELSE 1700000000 END AS BIGINT) AS ts,
+  CASE WHEN src = 'f3' THEN 'rejected' ELSE 'converted' END AS status,
+  CAST(CASE WHEN src = 'f3' THEN 0 ELSE count(*) END AS BIGINT) AS n_records
+FROM pv GROUP BY src""")
+
+
+ORACLES.update({
+    "csv_scan": csv_scan,
+    "property_scan": property_scan,
+    "csv_roundtrip": csv_roundtrip,
+    "typed_view": typed_view,
+    "catalog_query": catalog_query,
+    "queue_pending": queue_pending,
+    "second_template": second_template,
+    "field_dictionary": field_dictionary,
+    "stream_notifications": stream_notifications,
+    "stream_convert": stream_convert,
+    "backfill": backfill,
+})

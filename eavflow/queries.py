@@ -254,3 +254,155 @@ QUERIES.update({
     "convert_status": q_convert_status,
     "ledger_upsert": q_ledger_upsert,
 })
+
+
+# -- I/O: scans, sinks, catalog ------------------------------------------------
+
+import uuid  # noqa: E402
+
+from eavflow.plans import catalog, writer  # noqa: E402
+from eavflow.session import scratch_path  # noqa: E402
+from eavflow.sources import records as RD  # noqa: E402
+from eavflow.sources import tables as TB  # noqa: E402
+from eavflow.streaming import convert as SC  # noqa: E402
+from eavflow.streaming import intake  # noqa: E402
+
+
+def q_csv_scan(spark, sf_dir):
+    root = scratch_path(spark, "records")
+    FX.write_record_files(_rec(spark, sf_dir), root, reverse_header=["f3"])
+    df = RD.read_records(spark, root, base_path=root)
+    return df.select("file", *FX.HEADER_COLS, "form", "group_", "id", "data")
+
+
+def q_property_scan(spark, sf_dir):
+    root = scratch_path(spark, "sidecars")
+    props = FX.property_rows(spark, sf_dir)
+    pages = FX.record_objects(spark, sf_dir).select(F.col("url").alias("src"), F.col("page_id").alias("p_page"))
+    (props.join(pages, "src").select("p_page", "propertyname")
+          .repartition("p_page").write.partitionBy("p_page")
+          .option("header", "true").option("escape", '"').csv(root))
+    df = RD.read_properties(spark, root, base_path=root)
+    return df.select(F.col("p_page").cast("bigint").alias("p_page"), "propertyname")
+
+
+def _written_view(spark, sf_dir):
+    root = scratch_path(spark, "cvrisk")
+    view = pipeline.convert(_rec(spark, sf_dir), RISK).view
+    writer.write_view(view, root, RISK.columns)
+    return root
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    root = _written_view(spark, sf_dir)
+    # ``file`` (the output folder) is a hash-tagged name for non-URL inputs; not compared
+    return writer.read_view(spark, root, RISK.columns).drop("file")
+
+
+def q_typed_view(spark, sf_dir):
+    root = _written_view(spark, sf_dir)
+    name = f"cvrisk_{uuid.uuid4().hex[:10]}"
+    catalog.register_csv_table(spark, name, root)
+    return catalog.create_typed_view(spark, f"{name}_typed", name)
+
+
+def q_catalog_query(spark, sf_dir):
+    name = f"cvrisk_{uuid.uuid4().hex[:10]}"
+    pipeline.wide_view(_rec(spark, sf_dir), RISK).createOrReplaceTempView(name)
+    return catalog.query(spark, f"""
+        SELECT yearend, significant, count(*) AS n_risks, count(assocd_ctrl) AS n_with_ctrl,
+               count(assocd_item) AS n_with_item
+        FROM {name} GROUP BY yearend, significant""")
+
+
+def q_queue_pending(spark, sf_dir):
+    path = TB.write_version(SEL.queue_dedupe(FX.queue_puts(spark, sf_dir)), "queue")
+    return TB.read_table(spark, path, TB.QUEUE_SCHEMA).select("src", "bucket")
+
+
+# -- templates and dictionary ---------------------------------------------------
+
+def q_second_template(spark, sf_dir):
+    return pipeline.wide_view(FX.event_records(spark, sf_dir), S.EVENT_TEMPLATE)
+
+
+def q_field_dictionary(spark, sf_dir):
+    view = pipeline.wide_view(_rec(spark, sf_dir), RISK)
+    outs = [f.out for f in RISK.fields]
+    counts = view.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in outs])
+    stacked = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("n_values")) for c in outs])).alias("s")
+    ).select("s.*")
+    spec = spark.createDataFrame([(f.out, f.source_id, f.desc, f.kind) for f in RISK.fields],
+                                 "column string, source_id string, description string, kind string")
+    # ``spec`` has one row per template field (a fixed, tiny size): safe to broadcast.
+    return stacked.join(F.broadcast(spec), "column").select(
+        "column", "source_id", "description", "kind", "n_values")
+
+
+# -- streaming -------------------------------------------------------------------
+
+def q_stream_notifications(spark, sf_dir):
+    src_dir, queue = scratch_path(spark, "notes"), scratch_path(spark, "queue")
+    ckpt = scratch_path(spark, "intake-ckpt")
+    notes = FX.notifications(spark, sf_dir)
+    for drop in (0, 1):   # two arrivals, one checkpoint
+        (notes.where(F.col("page_id") % 2 == drop).select(F.col("body").alias("value"))
+              .write.mode("append").text(src_dir))
+        intake.run_intake(spark, src_dir, queue, ckpt)
+    # a rerun over the same files adds nothing
+    intake.run_intake(spark, src_dir, queue, ckpt)
+    return TB.read_table(spark, queue, TB.QUEUE_SCHEMA).select("src", "bucket")
+
+
+def _gate_props(listed: DataFrame) -> DataFrame:
+    """Sidecar rows for written record files: every file but ``f3`` carries a gate name."""
+    return listed.select("src", F.when(F.col("src").contains("/file=f3/"), F.lit("Title"))
+                                 .otherwise(F.lit(RISK.gate_properties[-1])).alias("propertyname"))
+
+
+def q_stream_convert(spark, sf_dir):
+    root, out = scratch_path(spark, "inbox"), scratch_path(spark, "cvrisk")
+    ledger, ckpt = scratch_path(spark, "ledger"), scratch_path(spark, "convert-ckpt")
+    rec = _rec(spark, sf_dir)
+    for files in (["f0", "f1"], ["f2", "f3"]):
+        FX.write_record_files(rec, root, files=files, reverse_header=["f3"])
+        listed = listing.list_objects(spark, root, suffix=".csv").select(F.col("path").alias("src"))
+        SC.run_conversion_stream(spark, root, out, ledger, _gate_props(listed), FX.LEDGER_TS, ckpt)
+    return writer.read_view(spark, out, RISK.columns).drop("tenant", "file")
+
+
+def q_backfill(spark, sf_dir):
+    root, out, ledger = scratch_path(spark, "bucket"), scratch_path(spark, "cvrisk"), scratch_path(spark, "ledger")
+    rec = _rec(spark, sf_dir)
+    FX.write_record_files(rec, root, files=["f0", "f1", "f2"])
+    props = lambda: _gate_props(listing.list_objects(spark, root, suffix=".csv")
+                                .select(F.col("path").alias("src")))
+    SC.backfill(spark, root, out, ledger, props(), FX.LEDGER_TS)
+    FX.write_record_files(rec, root, files=["f3"], reverse_header=["f3"])
+    SC.backfill(spark, root, out, ledger, props(), FX.LEDGER_TS + 60)
+    SC.backfill(spark, root, out, ledger, props(), FX.LEDGER_TS + 120)   # nothing left: no-op
+    led = TB.read_table(spark, ledger, TB.LEDGER_SCHEMA)
+    counts = writer.read_view(spark, out, RISK.columns).groupBy("tenant", "file").agg(
+        F.count(F.lit(1)).alias("n_records"))
+    tenant, key = writer.output_keys("src")
+    led = led.select(F.regexp_extract("src", r"/file=([^/]+)/", 1).alias("rfile"), "ts", "status",
+                     tenant.alias("tenant"), key.alias("file"))
+    return led.join(counts, ["tenant", "file"], "left").select(
+        F.col("rfile").alias("file"), "ts", "status",
+        F.coalesce(F.col("n_records"), F.lit(0)).cast("bigint").alias("n_records"))
+
+
+QUERIES.update({
+    "csv_scan": q_csv_scan,
+    "property_scan": q_property_scan,
+    "csv_roundtrip": q_csv_roundtrip,
+    "typed_view": q_typed_view,
+    "catalog_query": q_catalog_query,
+    "queue_pending": q_queue_pending,
+    "second_template": q_second_template,
+    "field_dictionary": q_field_dictionary,
+    "stream_notifications": q_stream_notifications,
+    "stream_convert": q_stream_convert,
+    "backfill": q_backfill,
+})

@@ -299,3 +299,25 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(pid % 3 == 0, F.concat(F.lit(","), rec(enc_md))).otherwise(F.lit("")),
                     F.lit("]}"))
     return o.select("page_id", body.alias("body"))
+
+
+def write_record_files(rec: DataFrame, root: str, files=None, reverse_header=()) -> None:
+    """Write EAV rows as CSV record files, one file per ``src`` in ``root/file=<src>/``.
+
+    Rows keep their ``ord`` order inside the file; files named in
+    ``reverse_header`` get the columns in reverse order (a second header).
+    """
+    cols = HEADER_COLS + ["form", "group_", "id", "data"]
+    if files is not None:
+        rec = rec.where(F.col("src").isin(list(files)))
+    for rev in (False, True):
+        part = rec.where(F.col("src").isin(list(reverse_header)) if rev
+                         else ~F.col("src").isin(list(reverse_header)) if reverse_header else F.lit(True))
+        if rev and not reverse_header:
+            continue
+        order = list(reversed(cols)) if rev else cols
+        (part.select(F.col("src").alias("file"), "ord", *order)
+             .repartition("file").sortWithinPartitions("file", "ord").drop("ord")
+             .write.mode("append").partitionBy("file")
+             .option("header", "true").option("escape", '"').option("emptyValue", "").option("nullValue", "")
+             .csv(root))
