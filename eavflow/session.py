@@ -29,6 +29,7 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.setdefault("spark.driver.memory", "8g")   # local mode: the driver is the executor
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
