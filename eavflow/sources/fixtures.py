@@ -35,6 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that arrives in fewer partitions than cores.
+
+    The test tables are single-row-group files, read by one task each; the
+    generated rows (3x lineitem, 12x orders) would otherwise be produced and
+    pre-aggregated by that one task.  Real record sets are many files.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def _s(c) -> Column:
     return (c if isinstance(c, Column) else F.col(c)).cast("string")
 
@@ -66,7 +77,7 @@ def record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name")
-    o = o.join(c, "o_custkey", "left")
+    o = spread(o.join(c, "o_custkey", "left"))
     ok, ck, st = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
     null = F.lit(None).cast("string")
     attrs = [
@@ -109,8 +120,8 @@ def record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three link attributes per line item: MEMBER_B, RELATION_TYPE, MEMBER_A."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     ok, ln, pk, sk = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     odd = ln % 2 == 1
     base = F.lit(LINK_ORD_BASE) + (((ok * 8 + ln) * 262144 + pk) * 16384 + sk) * 4
@@ -201,7 +212,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     form = user id, id = event type, data = value (2 decimals), ord = event id,
     group ``EVENT``; one simulated file per ``user_id % 4``.
     """
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    e = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     uid = F.col("user_id")
     src = _cat("e", uid % N_FILES)
     return e.select(
