@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eavflow.functions import values as V
-from eavflow.operators import links, lookup
 from eavflow.operators.file_index import build_index
 from eavflow.operators.reshape import attr_col, pivot_last, record_filter
 from eavflow.plans import pipeline
@@ -98,14 +97,6 @@ def q_category_lookup(spark, sf_dir):
     return recs.join(cat, ["src", raw], "left").select("src", "form", F.col(raw).alias("code"), "cat")
 
 
-def _field_only(spark, sf_dir, out: str) -> DataFrame:
-    """The wide view's value of one join-backed field, computed with only its lookup."""
-    tpl = S.Template(RISK.name, RISK.group, (), tuple(f for f in RISK.fields if f.out == out),
-                     lookups=RISK.lookups)
-    return pipeline.convert(_rec(spark, sf_dir), tpl).view.select(
-        "src", F.col("first_ord"), out)
-
-
 def _with_form(spark, sf_dir, out: str) -> DataFrame:
     tpl = S.Template(RISK.name, RISK.group, (), tuple(f for f in RISK.fields if f.out == out),
                      lookups=RISK.lookups)
