@@ -45,3 +45,14 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert len(df.columns) == 36 and df.count() > 0
+
+
+def test_flagship_plan_shape(spark):
+    """No cross / nested-loop joins, no Python evaluation, no estimate-based broadcast."""
+    df = E.queries()["wide_view"](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, bad
+    # the staged index is read with partition pruning on ``kind``
+    assert "PartitionFilters: [isnotnull(kind" in plan or "kind = " in plan
