@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavflow.llm import mixing
+from eavflow.llm import exact_dedup, language_id, mixing, quality, simhash, url_filter, vector_join
+from eavflow.llm.language_id import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,56 @@ def op1_mix_sources(spark, sf_dir):
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_exact_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("norm", exact_dedup.normalised(F.col("text")))
+    docs = docs.select("doc_id", "norm", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
+                       F.coalesce(F.length("text"), F.lit(0)).alias("points"))
+    return exact_dedup.exact_dedup(docs, "norm", F.col("points"), keep=["doc_id", "text_sha256"]).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op5_quality_score(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 3, 1)
+    model = quality.fit(docs, table(spark, sf_dir, "labels").where(~out))
+    return quality.classify(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = language_id.fit(docs.where(~out))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op8_embedding_dedup(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vector_join.near_dedup(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op9_simhash_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_dedup(docs, keep=["doc_id"]).select("doc_id", "fingerprint", "component_id")
+
+
+#: Fixed values of the contract: host, path, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op10_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_exact_dedup": op2_exact_dedup,
+    "op5_quality_score": op5_quality_score,
+    "op6_language_id": op6_language_id,
+    "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_url_filter": op10_url_filter,
 }
