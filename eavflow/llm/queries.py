@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavflow.llm import exact_dedup, language_id, mixing, packing, quality, simhash, url_filter, vector_join
+from eavflow.llm import exact_dedup, katz, language_id, mixing, packing, quality, simhash, url_filter, vector_join
 from eavflow.llm.language_id import held_out
 
 
@@ -29,6 +29,13 @@ def op2_exact_dedup(spark, sf_dir):
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_katz_score(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 7, 2)
+    return katz.score(docs, ~out, keep=["doc_id"]).select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
@@ -79,6 +86,7 @@ def op10_url_filter(spark, sf_dir):
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_katz_score": op3_katz_score,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_score": op5_quality_score,
     "op6_language_id": op6_language_id,
