@@ -27,10 +27,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, scratch_path(spark, name), 0
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    def write(self, df: DataFrame, partition_by: Sequence[str] = (), compression: str = "snappy") -> DataFrame:
         self.n += 1
         path = f"{self.root}/t{self.n}"
-        df.write.partitionBy(*partition_by).parquet(path)
+        df.write.partitionBy(*partition_by).option("compression", compression).parquet(path)
         out = self.spark.read.schema(_schema(df, partition_by)).parquet(path)
         out._eav_path = path
         return out

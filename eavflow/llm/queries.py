@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavflow.llm import exact_dedup, katz, language_id, mixing, packing, quality, simhash, url_filter, vector_join
+from eavflow.llm import exact_dedup, katz, language_id, line_dedup, mixing, packing, quality, simhash, url_filter, vector_join
 from eavflow.llm.language_id import held_out
 
 
@@ -63,6 +63,11 @@ def op6_language_id(spark, sf_dir):
         "doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.line_dedup(docs).select("doc_id", "n_lines", "removed", "text")
+
+
 def op8_embedding_dedup(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return vector_join.near_dedup(vectors).select("vec_id", "n_links", "component_id", "kept")
@@ -90,6 +95,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_score": op5_quality_score,
     "op6_language_id": op6_language_id,
+    "op7_line_dedup": op7_line_dedup,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_url_filter": op10_url_filter,
