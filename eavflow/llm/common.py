@@ -65,14 +65,16 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], weight: st
 
     Keys holding more than 1 / HOT_SHARE of the rows are at most HOT_SHARE, so
     their right rows are broadcast and the left rows never move; the rest is
-    shuffled by key, where no key can fill a partition.
+    shuffled by key, where no key can fill a partition.  The rest is a merge
+    join whatever its size, so the plan is the same for small and large inputs.
     """
     total = right.agg(F.sum(weight)).first()[0] or 0
     is_hot = F.col(weight) * HOT_SHARE > F.lit(total)
     hot = right.where(is_hot)
     if hot.isEmpty():
-        return left.join(right, list(on))
-    cold = left.join(F.broadcast(hot.select(*on)), list(on), "left_anti").join(right.where(~is_hot), list(on))
+        return left.join(right.hint("merge"), list(on))
+    cold = (left.join(F.broadcast(hot.select(*on)), list(on), "left_anti")
+            .join(right.where(~is_hot).hint("merge"), list(on)))
     return left.join(F.broadcast(hot), list(on)).unionByName(cold)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from eavflow.llm.common import Scratch, col, lookup_join, without
 
-FIRST_DIGIT, WIDER = 32, 4
+FIRST_DIGIT, WIDER = 128, 4
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 RESULT = ("keep_id", "group_size", "kept")
 
@@ -87,7 +87,7 @@ def exact_dedup(df: DataFrame, key_col: str, points: Column, id_col: str = "doc_
     best = scratch.write(copies.groupBy("_e_class", "_e_n").agg(F.min(rank).alias("_e_best")))
     found = lookup_join(copies.select("_e_row", "_e_class"), best, ["_e_class"], "_e_n").select(
         "_e_row", "_e_n", F.col("_e_best.i").alias("_e_keep"), (F.col("_e_best.r") == F.col("_e_row")).alias("_e_kept"))
-    out = base.select("_e_row", "_e_id", "_e_df").join(found, "_e_row", "left")
+    out = base.select("_e_row", "_e_id", "_e_df").join(found.hint("merge"), "_e_row", "left")
     single = F.col("_e_n").isNull()
     return out.select(*[F.col("_e_df").getField(c).alias(c) for c in own],
                       F.when(single, F.col("_e_id")).otherwise(F.col("_e_keep")).alias("keep_id"),

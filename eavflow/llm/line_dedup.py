@@ -57,11 +57,11 @@ def bands(lines: list[str]) -> np.ndarray:
     low = [x.lower() for x in lines]
     size = np.fromiter(map(len, low), np.int64, len(low))
     c = np.frombuffer("".join(low).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    h, power, width = c * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1), _STEP, 1
+    h, power, width = c * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1), int(_STEP), 1
     while width < SHINGLE:
         later = np.zeros_like(h)
         later[:max(0, len(h) - width)] = h[width:]
-        h, power, width = h * power + later, power * power, 2 * width
+        h, power, width = h * np.uint64(power) + later, power * power % (1 << 64), 2 * width
     n = np.maximum(size - SHINGLE + 1, 1)
     first = np.cumsum(n) - n
     at = np.arange(int(n.sum())) + np.repeat(np.cumsum(size) - size - first, n)
@@ -167,7 +167,7 @@ def _candidates(base: DataFrame, hits: Broadcast) -> DataFrame:
 def _bit_map(spark, heads: DataFrame) -> Broadcast:
     """Which of 2**BITS slots hold a band key: a numpy array of fixed size."""
     slot = F.col("b").bitwiseAND(F.lit((1 << BITS) - 1))
-    words = (heads.select(F.shiftright(slot, 6).alias("at"), F.expr(f"shiftleft(1L, int(b & 63))").alias("bit"))
+    words = (heads.select(F.shiftright(slot, 6).alias("at"), F.expr("shiftleft(1L, int(b & 63))").alias("bit"))
              .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())       # at most 2**(BITS - 6) rows
     out = np.zeros(1 << (BITS - 6), np.int64)
     out[words.column("at").to_numpy()] = words.column("bits").to_numpy()
