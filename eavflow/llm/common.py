@@ -7,8 +7,8 @@ them.  Operators that return their input's columns drop those whose name
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Sequence
 
@@ -111,24 +111,25 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, for the functions that run there."""
+    """Send this package to the executors, once per application, for the functions that run there.
+
+    The archive lies in the shared folder for as long as executors may ask for it.
+    """
     sc = spark.sparkContext
     if getattr(sc, "_eav_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    with tempfile.TemporaryDirectory() as d:   # read by addPyFile at once; executors fetch it from the driver
-        path = os.path.join(d, "eavflow_pkg.zip")
-        with zipfile.ZipFile(path, "w") as z:
-            for base, _, names in os.walk(top):
-                for n in names:
-                    if n.endswith(".py"):
-                        full = os.path.join(base, n)
-                        z.write(full, os.path.relpath(full, os.path.dirname(top)))
-        sc.addPyFile(path)
-        _settle(sc)
+    made = io.BytesIO()
+    with zipfile.ZipFile(made, "w") as z:
+        for base, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(base, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    path = f"{scratch_path(spark, 'package')}/eavflow_pkg.zip"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p)
+    out.write(bytearray(made.getvalue()))
+    out.close()
+    sc.addPyFile(path)
     sc._eav_shipped = True
-
-
-def _settle(sc) -> None:
-    """Local executors read the file by its path until a first task has fetched it."""
-    sc.parallelize([0], 1).count()
