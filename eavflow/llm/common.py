@@ -14,6 +14,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from eavflow.session import scratch_path
 
@@ -49,6 +51,23 @@ def _schema(df: DataFrame, partition_by: Sequence[str]):
     return type(s)([s[n] for n in names])
 
 
+def nullable(t: T.DataType) -> T.DataType:
+    """The type with everything inside it nullable, as a table that was written and read has it."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType)) for f in t])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(nullable(t.elementType))
+    if isinstance(t, T.MapType):
+        return T.MapType(nullable(t.keyType), nullable(t.valueType))
+    return t
+
+
+def arrow_cast(a, t: T.DataType):
+    """Arrow data as a column of that type."""
+    want = to_arrow_type(t)
+    return a if a.type == want else a.cast(want)
+
+
 def without(df: DataFrame, names: Sequence[str]) -> list[str]:
     """The columns of ``df`` that do not clash with the operator's own ``names``."""
     own = {n.lower() for n in names}

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eavflow.llm import words as WD
-from eavflow.llm.common import Scratch, col, lookup_join, ship, without
+from eavflow.llm.common import Scratch, arrow_cast, col, lookup_join, nullable, ship, without
 
 K, TAIL, BLOCK, BUCKET = 5, 0.01, 1 << 21, 1 << 20
 END, START = np.uint64(0x9D3F5C1B7A2E4680), np.uint64(0x5B1E93C7D0A8F246)
@@ -112,7 +112,7 @@ def _tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, n + 1
 
 
-def _make_blocks(batches):
+def _make_blocks(batches, payload):
     base, made = TaskContext.get().partitionId() << 33, 0
     keys, size, train, rows, held = [], [], [], [], 0
 
@@ -138,7 +138,7 @@ def _make_blocks(batches):
             keys.append(k)
             size.append(n)
             train.append(flag[lo:hi])
-            rows.append(b.column("_e_df").slice(lo, hi - lo))
+            rows.append(arrow_cast(b.column("_e_df").slice(lo, hi - lo), payload))
             held += len(k)
     if held:
         yield flush()
@@ -261,12 +261,12 @@ def score(df: DataFrame, train: Column, text_col: str = "text", keep: list[str]
     own = [c for c in without(df, RESULT) if (keep is None and c != text_col) or (keep is not None and c in keep)]
     rows = df.select(F.struct(*[col(c) for c in own]).alias("_e_df"), col(text_col).alias("text"),
                      F.coalesce(train, F.lit(False)).alias("train"))
-    payload = rows.schema["_e_df"].dataType
+    payload = nullable(rows.schema["_e_df"].dataType)
     long, binary = T.LongType(), T.BinaryType()
     schema = T.StructType([T.StructField("block", long), T.StructField("rows", T.ArrayType(payload))]
                           + [T.StructField(n, binary) for n in ("vocab", "tokens", "size", "train")]
                           + [T.StructField("n_vocab", long), T.StructField("n_tokens", long)])
-    blocks = scratch.write(rows.mapInArrow(_make_blocks, schema))
+    blocks = scratch.write(rows.mapInArrow(lambda batches: _make_blocks(batches, payload), schema))
     size = blocks.agg(F.sum("n_vocab"), F.sum("n_tokens")).first()
     per = [max(1, -(-(s or 0) // BUCKET)) for s in size]
     words = scratch.write(_count(blocks, False, per[0]), ["kind"])

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eavflow.llm import words as WD
-from eavflow.llm.common import Scratch, col, ship, without
+from eavflow.llm.common import Scratch, arrow_cast, col, nullable, ship, without
 
 SEQUENCE, END_ID, FAN_IN, SLACK, CHUNK, KNOWN = 2048, 0, 8, 8, 100_000, 600_000
 PIECE = ("piece", "start", "length", "ids")
@@ -106,10 +106,11 @@ def pieces(df: DataFrame, tokenizer_path: str, text_col: str = "text", length: i
                 cuts = np.concatenate([[0], np.cumsum(size) * 4]).astype(np.int64)
                 data = pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(cuts), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("_e_df").take(pa.array(row + lo)), pa.array(piece, pa.int32()), pa.array(start),
+                    [arrow_cast(b.column("_e_df").take(pa.array(row + lo)), payload), pa.array(piece, pa.int32()), pa.array(start),
                      pa.array(size), data.cast(pa.binary())], ["_e_df", *PIECE])
 
-    schema = T.StructType([rows.schema["_e_df"], T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
+    payload = nullable(rows.schema["_e_df"].dataType)
+    schema = T.StructType([T.StructField("_e_df", payload), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
                            T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
     out = rows.mapInArrow(cut, schema)
     return out.select(*[F.col("_e_df").getField(c).alias(c) for c in own], *PIECE)
@@ -167,7 +168,8 @@ def pack(df: DataFrame, length_col: str = "length", capacity: int = SEQUENCE) ->
     own = without(df, RESULT)
     rows = df.select(F.struct(*[col(c) for c in own]).alias("_e_df"),
                      F.coalesce(col(length_col).cast("long"), F.lit(0).cast("long")).alias("size"))
-    schema = T.StructType([rows.schema["_e_df"], T.StructField("size", T.LongType()), T.StructField("bin", T.LongType()),
+    payload = nullable(rows.schema["_e_df"].dataType)
+    schema = T.StructType([T.StructField("_e_df", payload), T.StructField("size", T.LongType()), T.StructField("bin", T.LongType()),
                            T.StructField("off", T.LongType()), T.StructField("grp", T.LongType()),
                            T.StructField("open", T.BooleanType())])
     names = schema.names
@@ -177,6 +179,7 @@ def pack(df: DataFrame, length_col: str = "length", capacity: int = SEQUENCE) ->
 
         def flush():
             t = pa.Table.from_batches(held).combine_chunks()
+            t = t.set_column(0, "_e_df", arrow_cast(t.column("_e_df").combine_chunks(), payload))
             bin_of, off, fill = best_fit(t.column("size").to_numpy(), capacity)
             stay = handed_on(fill, capacity)[bin_of]
             for c, v in (("bin", bin_of + base), ("off", off), ("grp", np.full(len(off), base)), ("open", stay)):
@@ -204,7 +207,7 @@ def pack(df: DataFrame, length_col: str = "length", capacity: int = SEQUENCE) ->
         np.minimum.at(name, to, bins)
         stay = handed_on(fill, capacity)[to][of]
         return pa.Table.from_arrays(
-            [table.column("_e_df").combine_chunks(), pa.array(size), pa.array(name[to][of]),
+            [arrow_cast(table.column("_e_df").combine_chunks(), payload), pa.array(size), pa.array(name[to][of]),
              pa.array(table.column("off").to_numpy() + shift[of]), pa.array(table.column("grp").to_numpy()),
              pa.array(stay)], names)
 

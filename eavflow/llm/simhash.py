@@ -69,7 +69,7 @@ def fingerprints(text: Column, n: int = WORDS) -> Column:
 
 
 def _quarters(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x.view(np.uint16).reshape(-1, 4)).astype(np.int16)
+    return np.bitwise_count(np.ascontiguousarray(x).view(np.uint16).reshape(-1, 4)).astype(np.int16)
 
 
 def _ranges(x: np.ndarray, tile: int) -> tuple[np.ndarray, np.ndarray]:
