@@ -19,7 +19,8 @@ from eavflow.queries import QUERIES  # noqa: E402
 from eavflow.session import get_session  # noqa: E402
 
 HEADLINE = ["wide_view", "pivot_last", "token_names", "token_labels", "lookup_or_self",
-            "link_control", "second_template", "convert_status", "ledger_upsert"]
+            "link_control", "second_template", "convert_status", "ledger_upsert",
+            "csv_scan", "csv_roundtrip", "backfill"]
 
 
 def main() -> None:

@@ -9,19 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The lenient date reader's accepted forms, tried in this order
-# (month-first before day-first, as the reference's parser does).
-DATE_PATTERNS = [
-    "yyyy-MM-dd",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyyMMdd",
-    "yyyyMMddHHmmss",
-    "M/d/yyyy",
-    "d/M/yyyy",
-    "MMM d, yyyy",
-    "d MMMM yyyy",
-]
+# Two-digit years below this are 20xx, the others 19xx.
+YEAR_PIVOT = 70
+# A time of day after a complete date; the day is all that is kept.
+_TIME = r"(?i)(?:T|,? +)(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:[.,]\d+)?)?(?: *[ap]m)?(?: *(?:Z|UTC|GMT|[+-]\d{2}:?\d{2}))?$"
+_MONTH = r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)\.?"
 
 # Code-list separators and the label path separator.
 TOKEN_SPLIT = r"[|,]"
@@ -53,9 +45,36 @@ def yes_no_some(c) -> Column:
 
 
 def parse_date(c) -> Column:
-    """First pattern that reads the whole text, as a timestamp (null if none)."""
-    c = _c(c)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in DATE_PATTERNS])
+    """The day of a complete date, as a timestamp; null if it is none.
+
+    Year first (``2020-8-7``, ``2020/08/17``, ``20200817``, ``20200817101112``),
+    month before day and, where that is no date, day before month
+    (``8/17/2020``, ``17.08.2020``, ``8/7/20``), or with an English month name
+    (``Aug 17, 2020``, ``17-Aug-2020``).  A time of day and a zone may follow.
+    """
+    day = F.regexp_replace(F.trim(_c(c)), _TIME, "")
+
+    def ymd(y: Column, m: Column, d: Column) -> Column:
+        short = F.when(y.cast("int") < YEAR_PIVOT, F.lit("20")).otherwise(F.lit("19"))
+        y = F.when(F.length(y) == 2, F.concat(short, y)).otherwise(y)
+        return F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("yyyy-M-d"))
+
+    def read(pattern: str, order: str, month=lambda m: m) -> Column:
+        part = {k: F.regexp_extract(day, pattern, i + 1) for i, k in enumerate(order)}
+        return F.when(day.rlike(pattern), ymd(part["y"], month(part["m"]), part["d"]))
+
+    def number(name: Column) -> Column:
+        at = F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.lower(F.substring(name, 1, 3)))
+        return F.floor((at + 2) / 3).cast("string")
+
+    sep = r"([-/.])"
+    return F.coalesce(
+        read(rf"^(\d{{4}}){sep}(\d{{1,2}})\2(\d{{1,2}})$", "y_md"),
+        read(r"^(\d{4})(\d{2})(\d{2})(?:(?:[01]\d|2[0-3])[0-5]\d[0-5]\d)?$", "ymd"),
+        read(rf"^(\d{{1,2}}){sep}(\d{{1,2}})\2(\d{{4}}|\d{{2}})$", "m_dy"),
+        read(rf"^(\d{{1,2}}){sep}(\d{{1,2}})\2(\d{{4}}|\d{{2}})$", "d_my"),
+        read(rf"(?i)^{_MONTH}[ -](\d{{1,2}}),?[ -](\d{{4}})$", "mdy", number),
+        read(rf"(?i)^(\d{{1,2}})[ -]{_MONTH},?[ -](\d{{4}})$", "dmy", number))
 
 
 def date_norm(c) -> Column:
@@ -86,11 +105,6 @@ def path_label(c) -> Column:
     return F.when(last == OTHER_LABEL, F.substring(prev, 4, 1 << 30)).otherwise(last)
 
 
-def empty_default(c) -> Column:
-    """Null -> ''."""
-    return F.coalesce(_c(c), F.lit(""))
-
-
 def list_items(c) -> Column:
     """Items of a comma list with empties dropped (names may carry commas)."""
     return F.filter(F.split(_c(c), ","), lambda x: x != "")

@@ -2,36 +2,41 @@
 
 All lookups of the conversion read "the first row of the same file where ...".
 Instead of scanning the records once per dictionary, every row is routed to
-the keys it can be found under and a single hash aggregation builds them all:
-
-========  ==========  =============================================  ==========
-kind      key         rows routed there                              used by
-========  ==========  =============================================  ==========
-``F``     ``form``    record rows and name/category/indicator/link   A1 A2 J1
-                      rows (looked up by the form they describe)     J2 J4 J5
-``L``     ``id``      rows whose id carries the label marker         J3
-``B``     ``data``    link rows naming a record (``MEMBER_B``)       J5
-========  ==========  =============================================  ==========
+the keys it can be found under and a single aggregation builds them all:
+
+========  ==========  ============================================  ==========
+kind      key         rows routed there                             used by
+========  ==========  ============================================  ==========
+``R``     ``form``    record rows                                   A1 A2
+``D``     ``form``    category, name and indicator rows             J1 J2 J4
+``K``     ``form``    relation and target rows of links             J5
+``T``     ``form``    names of link targets                         J5
+``L``     ``id``      rows whose id carries the label marker        J3
+``B``     ``data``    link rows naming a record (``MEMBER_B``)      J5
+========  ==========  ============================================  ==========
 
 The grouping key is ``(src, kind, key)``; ``src`` is in every key because
 lookups never cross files.  Every output column is a partial aggregate
 (``min_by``/``max_by``/``count``), so a hot key or a file holding a third of
-all rows is combined map-side.  The aggregate is reused by all consumers
-(written once as a ``kind``-partitioned table, see ``plans/stage.py``).
+all rows is combined map-side (by sorting: strings have no fixed-width
+buffer).  The result is written once as a ``kind``-partitioned table, so each
+consumer reads its own rows only and a dictionary's size is known.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eavflow.operators.reshape import attr_col
 from eavflow.plans.spec import Template
-from eavflow.plans.stage import stage_table
+from eavflow.plans.stage import Stage, stage_table, stored_bytes
 
-K_FORM, K_LABEL, K_MEMBER = "F", "L", "B"
+K_RECORD, K_CODE, K_LINK, K_TARGET, K_LABEL, K_MEMBER = "R", "D", "K", "T", "L", "B"
 
 
 def _first(value: str, cond) -> F.Column:
@@ -54,22 +59,30 @@ def rel_col(relation: str) -> str:
 @dataclass
 class FileIndex:
     records: DataFrame      # src, form, rk, header..., a__<id>...
-    dictionary: DataFrame   # src, form, cat, cat_hit, fsa_name, fsa_hit, ind, ind_hit, target, r__*, n__*
+    codes: DataFrame        # src, form, cat, fsa_name, fsa_hit, ind, ind_hit
+    links: DataFrame        # src, form, target, r__*
+    targets: DataFrame      # src, form, n__*
     labels: DataFrame       # src, id, label, label_hit (always true: marks a match)
     members: DataFrame      # src, data, lf
+    sizes: dict[str, int]   # staged bytes of each of them
 
 
-def build_index(rec: DataFrame, tpl: Template, stage: bool = True) -> FileIndex:
+def build_index(rec: DataFrame, tpl: Template, stage: Stage | None = None) -> FileIndex:
     L = tpl.lookups
     g, i, d, frm = F.col("group_"), F.col("id"), F.col("data"), F.col("form")
     is_rec = (g == tpl.group) & i.isNotNull()
     name_ids = [n for _, n in L.link_targets]
-    dict_ids = [L.category_id, L.name_id, L.indicator_id, L.link_relation,
-                L.link_member_target] + name_ids
+
+    def to(cond, kind_: str, key) -> F.Column:
+        return F.when(cond, F.struct(F.lit(kind_).alias("kind"), key.alias("key")))
+
     route = F.filter(F.array(
-        F.when(is_rec | i.isin(dict_ids), F.struct(F.lit(K_FORM).alias("kind"), frm.alias("key"))),
-        F.when(i.contains(L.label_marker), F.struct(F.lit(K_LABEL).alias("kind"), i.alias("key"))),
-        F.when(i == L.link_member_record, F.struct(F.lit(K_MEMBER).alias("kind"), d.alias("key"))),
+        to(is_rec, K_RECORD, frm),
+        to(i.isin(L.category_id, L.name_id, L.indicator_id), K_CODE, frm),
+        to(i.isin(L.link_relation, L.link_member_target), K_LINK, frm),
+        to(i.isin(name_ids) if name_ids else F.lit(False), K_TARGET, frm),
+        to(i.contains(L.label_marker), K_LABEL, i),
+        to(i == L.link_member_record, K_MEMBER, d),
     ), lambda x: x.isNotNull())
     header = list(tpl.header)
     routed = rec.select("src", "ord", *header, "form", "group_", "id", "data",
@@ -93,23 +106,23 @@ def build_index(rec: DataFrame, tpl: Template, stage: bool = True) -> FileIndex:
         F.min_by(frm, F.col("ord")).alias("lf"),
     ]
     agg = routed.groupBy("src", F.col("_k.kind").alias("kind"), F.col("_k.key").alias("key")).agg(*aggs)
-    if stage:
-        # Every consumer filters on ``kind``; without a cut the optimizer pushes those
-        # filters below the aggregate and each consumer would rescan the records.
-        agg = stage_table(agg, f"index-{tpl.name}", ["kind"])
-
-    kind = F.col("kind")
-    records = (agg.where((kind == K_FORM) & (F.col("n_rec") > 0))
-                  .select("src", F.col("key").alias("form"), "rk",
-                          *[F.col("_hdr")[h].alias(h) for h in header],
-                          *[attr_col(s) for s in tpl.source_ids]))
-    dictionary = (agg.where(kind == K_FORM)
-                     .select("src", F.col("key").alias("form"), "cat", "fsa_name", "fsa_hit",
-                             "ind", "ind_hit", "target",
-                             *[rel_col(r) for r, _ in L.link_targets],
-                             *[name_col(n) for n in name_ids]))
-    labels = (agg.where(kind == K_LABEL)
-                 .select("src", F.col("key").alias("id"), "label", F.lit(True).alias("label_hit")))
-    members = (agg.where(kind == K_MEMBER)
-                  .select("src", F.col("key").alias("data"), "lf"))
-    return FileIndex(records, dictionary, labels, members)
+    # Every consumer filters on ``kind``; without a cut the optimizer pushes those
+    # filters below the aggregate and each consumer would rescan the records.
+    agg = stage_table(agg, f"index-{tpl.name}", ["kind"], stage)
+
+    def of(kind_: str, *cols) -> DataFrame:
+        return agg.where(F.col("kind") == kind_).select("src", *cols)
+
+    form = F.col("key").alias("form")
+    rels, names = [rel_col(r) for r, _ in L.link_targets], [name_col(n) for n in name_ids]
+    # rows that no lookup can use are left out of their side
+    useful = F.col("target").isNotNull() & reduce(or_, [F.col(r) for r in rels], F.lit(False))
+    return FileIndex(
+        records=of(K_RECORD, form, "rk", *[F.col("_hdr")[h].alias(h) for h in header], *[attr_col(s) for s in tpl.source_ids]),
+        codes=of(K_CODE, form, "cat", "fsa_name", "fsa_hit", "ind", "ind_hit"),
+        links=of(K_LINK, form, "target", *rels).where(useful),
+        targets=of(K_TARGET, form, *names),
+        labels=of(K_LABEL, F.col("key").alias("id"), "label", F.lit(True).alias("label_hit")),
+        members=of(K_MEMBER, F.col("key").alias("data"), "lf"),
+        sizes={name: stored_bytes(agg, f"kind={k}") for name, k in (
+            ("codes", K_CODE), ("links", K_LINK), ("targets", K_TARGET), ("labels", K_LABEL), ("members", K_MEMBER))})

@@ -5,8 +5,8 @@ it is three N:1 joins over pre-aggregated keys for all records and both
 relations at once:
 
 1. ``members``  (src, data -> first link form ``lf``)        -- first link only
-2. ``dictionary`` on ``lf``: first ``MEMBER_A`` target, relation flags
-3. ``dictionary`` on the target: first name row per name id
+2. ``links``    on ``lf``: first ``MEMBER_A`` target, relation flags
+3. ``targets``  on the target: first name row per name id
 
 Any miss (no link, wrong relation, no target, no name, null keys) is null.
 """
@@ -17,31 +17,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eavflow.functions import values as V
-from eavflow.operators.file_index import name_col, rel_col
+from eavflow.operators.file_index import FileIndex, name_col, rel_col
+from eavflow.operators.skew import lookup
 
 
-def link_walk(records: DataFrame, members: DataFrame, dictionary: DataFrame,
-              relations) -> DataFrame:
-    """(src, rk, form, lf, target, r__<rel>..., n__<name>...) for walkable records.
-
-    ``relations`` is a sequence of ``(relation, name_id)``.
-    """
+def link_walk(records: DataFrame, idx: FileIndex, relations) -> DataFrame:
+    """(src, rk, form, lf, target, r__<rel>..., n__<name>...) for the records that a walk gets through."""
     rels = list(relations)
     recs = records.where(~V.blank("form")).select("src", "rk", "form")
-    step1 = recs.join(members.select("src", F.col("data").alias("form"), "lf"), ["src", "form"], "inner")
-    link = dictionary.select("src", F.col("form").alias("lf"), "target",
-                             *[rel_col(r) for r, _ in rels])
-    step2 = step1.join(link, ["src", "lf"], "inner")
-    names = dictionary.select("src", F.col("form").alias("target"),
-                              *[name_col(n) for _, n in rels])
-    return step2.join(names, ["src", "target"], "left")
+    step1 = lookup(recs, idx.members.select("src", F.col("data").alias("form"), "lf"), ["src", "form"], "inner",
+                   idx.sizes["members"])
+    link = idx.links.select("src", F.col("form").alias("lf"), "target", *[rel_col(r) for r, _ in rels])
+    step2 = lookup(step1, link, ["src", "lf"], "inner", idx.sizes["links"])
+    names = idx.targets.select("src", F.col("form").alias("target"), *[name_col(n) for _, n in rels])
+    return lookup(step2, names, ["src", "target"], "inner", idx.sizes["targets"])
 
 
-def link_names(records: DataFrame, members: DataFrame, dictionary: DataFrame,
-               fields) -> DataFrame:
+def link_names(records: DataFrame, idx: FileIndex, fields) -> DataFrame:
     """Enrichment rows for each ``(field, relation, name_id)``, one pass over the walk."""
     fields = list(fields)
-    walk = link_walk(records, members, dictionary, [(r, n) for _, r, n in fields])
+    walk = link_walk(records, idx, [(r, n) for _, r, n in fields])
     found = F.filter(F.array(*[
         F.when(F.col(rel_col(rel)) & F.col(name_col(nid)).isNotNull(),
                F.struct(F.lit(fld).alias("kind"), F.col(name_col(nid)).alias("value")))

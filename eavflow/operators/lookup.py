@@ -7,9 +7,8 @@ N:1 and cannot multiply rows.  Results are *enrichment rows*
 with one aggregation and one join; misses become diagnostics rows
 ``(src, form, field, token, reason)`` instead of failing the job.
 
-Join strategy is left to the planner: AQE turns a join into a broadcast when
-the materialised dictionary side is measured small, and splits skewed
-partitions (a code used by a third of all records) otherwise.
+Dictionaries are staged, so their size is known: small ones are broadcast,
+larger ones are joined with hot codes held apart (``skew.lookup``).
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eavflow.functions import values as V
+from eavflow.operators.skew import lookup
 
 ENRICH_COLS = ["src", "rk", "kind", "value", "hit"]
 DIAG_COLS = ["src", "form", "field", "token", "reason"]
@@ -42,35 +42,35 @@ def tokens(records: DataFrame, value: str, marker: str) -> DataFrame:
                    .where(F.col("tok").contains(marker)))
 
 
-def category(records: DataFrame, value: str, dictionary: DataFrame, sentinels,
+def category(records: DataFrame, value: str, codes: DataFrame, sentinels, size: int,
              kind: str = "cat") -> DataFrame:
     """A whole-value sentinel resolved to the file's category name (null if none)."""
     sent = records.where(F.col(value).isin(list(sentinels))).select("src", "rk", F.col(value).alias("code"))
-    cat = dictionary.select("src", F.col("form").alias("code"), "cat")
-    return _enrich(sent.join(cat, ["src", "code"], "left"), kind, "cat")
+    cat = codes.where(F.col("cat").isNotNull()).select("src", F.col("form").alias("code"), "cat")
+    return _enrich(lookup(sent, cat, ["src", "code"], "left", size), kind, "cat")
 
 
-def code_names(records: DataFrame, value: str, dictionary: DataFrame, marker: str,
-               sentinels, field: str = "fsa") -> tuple[DataFrame, DataFrame]:
+def code_names(records: DataFrame, value: str, codes: DataFrame, marker: str,
+               sentinels, size: int, field: str = "fsa") -> tuple[DataFrame, DataFrame]:
     """J2 (+J1): tokens -> first name row of the file; items for A3; misses to diagnostics."""
     non_sent = records.where(~F.col(value).isin(list(sentinels)))
     toks = tokens(non_sent, value, marker)
-    names = dictionary.select("src", F.col("form").alias("tok"), "fsa_name", "fsa_hit")
-    hits = toks.join(names, ["src", "tok"], "left")
+    names = codes.where("fsa_hit").select("src", F.col("form").alias("tok"), "fsa_name", "fsa_hit")
+    hits = lookup(toks, names, ["src", "tok"], "left", size)
     ok = F.coalesce(F.col("fsa_hit"), F.lit(False)) & F.col("fsa_name").isNotNull()
     items = hits.where(ok).select("src", "rk", F.explode(V.list_items("fsa_name")).alias("item"))
     diag = _diag(hits.where(~ok), field, "tok",
                  F.when(F.coalesce(F.col("fsa_hit"), F.lit(False)), "null name").otherwise("no lookup row"))
-    cat = category(records, value, dictionary, sentinels, f"{field}:cat")
+    cat = category(records, value, codes, sentinels, size, f"{field}:cat")
     return _enrich(items, field, "item").unionByName(cat), diag
 
 
-def code_labels(records: DataFrame, value: str, labels: DataFrame, marker: str,
+def code_labels(records: DataFrame, value: str, labels: DataFrame, marker: str, size: int,
                 field: str = "assert") -> tuple[DataFrame, DataFrame]:
     """J3 + V5: tokens -> first row with that id (any group) -> path label -> items."""
     toks = tokens(records, value, marker)
-    hits = toks.join(labels.select("src", F.col("id").alias("tok"), "label", "label_hit"),
-                     ["src", "tok"], "left")
+    hits = lookup(toks, labels.select("src", F.col("id").alias("tok"), "label", "label_hit"),
+                  ["src", "tok"], "left", size)
     lab = V.path_label("label")
     ok = F.col("label_hit").isNotNull() & lab.isNotNull()
     items = hits.where(ok).select("src", "rk", F.explode(V.list_items(lab)).alias("item"))
@@ -80,12 +80,12 @@ def code_labels(records: DataFrame, value: str, labels: DataFrame, marker: str,
     return _enrich(items, field, "item"), _diag(hits.where(~ok), field, "tok", reason)
 
 
-def lookup_or_self(records: DataFrame, value: str, dictionary: DataFrame,
+def lookup_or_self(records: DataFrame, value: str, codes: DataFrame, size: int,
                    field: str = "sri") -> DataFrame:
     """Non-blank value -> first indicator row's data (even null) if a row exists.
 
     Only hits are emitted; the pipeline keeps the value itself otherwise.
     """
     left = records.where(~V.blank(value)).select("src", "rk", F.col(value).alias("code"))
-    ind = dictionary.where(F.col("ind_hit")).select("src", F.col("form").alias("code"), "ind")
-    return _enrich(left.join(ind, ["src", "code"], "inner"), field, "ind")
+    ind = codes.where("ind_hit").select("src", F.col("form").alias("code"), "ind")
+    return _enrich(lookup(left, ind, ["src", "code"], "inner", size), field, "ind")

@@ -1,6 +1,7 @@
 """Record filter (P1/P2) and the EAV pivot with last-write-wins (A1, A2, O2).
 
-The pivot is ONE hash aggregation keyed by ``(src, form)``:
+The pivot is ONE aggregation keyed by ``(src, form)`` (sort-based: ``max_by`` over
+strings has no fixed-width buffer):
 
 * ``max_by(data, CASE WHEN id = X THEN ord END)`` per mapped id gives the last
   write of X, also when that write is null (rows of other ids have a null
@@ -47,9 +48,3 @@ def pivot_last(rows: DataFrame, ids: Sequence[str], header: Sequence[str] = ())
                          *[attr_col(i) for i in ids])
     return out
 
-
-def pivot_with_spark_pivot(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Same last-write result through ``GroupedData.pivot`` (used as a cross-check)."""
-    return (rows.groupBy(*KEY).pivot("id", list(ids))
-                .agg(F.max_by("data", "ord"))
-                .select(*KEY, *[F.col(i).alias(attr_col(i)) for i in ids]))

@@ -9,9 +9,44 @@ null value, as Spark's ``max_by``/``min_by`` do).
 
 from __future__ import annotations
 
-from eavflow.plans import spec as S
-
-SENT = ", ".join(f"'{s}'" for s in S.RISK_SENTINELS)
+# The contract of the record files and of the table, spelled here
+# a second time so that a slip in the engine's own mapping shows.
+HEADER = ["yearend", "entityid", "entityname", "bundleguid", "filename", "lastmodified", "cwguid"]
+FIELDS = [
+    ("rid", "R_IDENTIFIER", "Identifier", "copy"),
+    ("name", "R_NEWNAME", "Risk Name", "copy"),
+    ("rentity", "R_ENTITY", "Entities", "copy"),
+    ("dateId", "ISMODDATE", "Date Identified", "date"),
+    ("desc", "R_NAME", "Risk Description", "copy"),
+    ("whatwrong", "R_WHATGOWRONG", "What Can Go Wrong", "copy"),
+    ("fsa", "R_FSA", "Financial Statement Areas", "code_names"),
+    ("assert", "R_FSA", "Assertions", "code_labels"),
+    ("bc", "R_BC", "Business Cycles", "copy"),
+    ("sri", "R_FRF", "Significant Risk Indicators", "lookup_or_self"),
+    ("significant", "R_SIGNIFICANT", "Significant Risk", "yes_no"),
+    ("likelihood", "R_LLHOCCUR", "Likelihood to Occur", "copy"),
+    ("m_impact", "R_DOLLARIMPACT", "Monetary Impact", "copy"),
+    ("inherent", "R_INHERENT", "Inherent Risk", "copy"),
+    ("ctrl_r", "R_MANRESP", "Control Risk", "copy"),
+    ("p_rmm", "R_RMM", "Potential RMM", "copy"),
+    ("residual", "R_RRISK", "Residual Risk", "copy"),
+    ("rmm", "R_OVRISK", "RMM", "copy"),
+    ("procedures", "R_REQSPEC", "Procedures Other Than Substantive", "copy"),
+    ("m_response", "R_MRESPONSE", "Management Response", "copy"),
+    ("treatment", "R_MANRESPDD", "Risk Treatment/Mitigation", "yes_no_some"),
+    ("a_response", "R_ARESPONSE", "Audit Response", "copy"),
+    ("source", "R_SOURCEREF", "Source/Reference", "copy"),
+    ("addressed", "R_DESTREF", "Addressed", "copy"),
+    ("assocd_ctrl", "MEMBER_A", "Associated Controls", "link_name"),
+    ("assocd_item", "MEMBER_A", "Associated Reportable Items", "link_name"),
+    ("aud_addressed", "R_AUDRESPDD", "Audit has properly addressed this risk", "yes_no"),
+    ("r_forward", "R_RFD", "Roll forward", "yes_no"),
+]
+COLUMNS = HEADER + [f[0] for f in FIELDS]
+SENT = ("'111111111111', '222222222222', '333333333333', '444444444444', '555555555555', "
+        "'666666666666', '777777777777', '888888888888', '999999999999'")
+GATE_IN = "'CWCustomProperty.CWAuditSource', 'CWAuditSource'"
+INT_COLUMNS = ["yearend", "entityid"]
 
 # -- fixture ---------------------------------------------------------------
 
@@ -59,7 +94,7 @@ recrows AS (
 _LINKS = """
 li AS (
   SELECT 'f' || CAST(l_orderkey % 4 AS VARCHAR) AS src,
-         1000000000000000000 + (((l_orderkey * 8 + l_linenumber) * 262144 + l_partkey) * 16384 + l_suppkey) * 4 AS base,
+         ((CAST(l_orderkey * 10 + l_linenumber AS HUGEINT) * 100000000000 + l_partkey) * 10000000000 + l_suppkey) * 10 AS base,
          'L' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
              || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS form,
          l_orderkey, l_linenumber, l_partkey, l_suppkey
@@ -105,7 +140,6 @@ eav AS (
 
 FIXTURE_CTES = ",".join([_ORDERS, _LINKS, _DICT, _EAV])
 
-HEADER = list(S.RISK_HEADER)
 FIXTURE_IDS = ["R_IDENTIFIER", "R_NEWNAME", "ISMODDATE", "R_FSA", "R_FRF", "R_SIGNIFICANT",
                "R_MANRESPDD", "R_AUDRESPDD", "R_ENTITY", "R_BC", "R_NOTE"]
 
@@ -135,7 +169,7 @@ pv AS (
 )"""
 
 
-RISK_IDS = [s for s in S.RISK_TEMPLATE.source_ids]
+RISK_IDS = list(dict.fromkeys(f[1] for f in FIELDS if f[3] != "link_name"))
 
 _DATE_FMTS = ["%Y-%m-%d", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S", "%Y%m%d", "%Y%m%d%H%M%S",
               "%m/%d/%Y", "%d/%m/%Y", "%b %d, %Y", "%d %B %Y"]
@@ -245,25 +279,12 @@ lnk AS (
 
 def _wide_select() -> str:
     cols = ["p.src AS src"] + [f"p.{h} AS {h}" for h in HEADER]
-    for f in S.RISK_FIELDS:
-        raw = f"p.{q('a__' + f.source_id)}"
-        if f.kind == S.COPY:
-            e = raw
-        elif f.kind == S.YES_NO:
-            e = yes_no_sql(raw)
-        elif f.kind == S.YES_NO_SOME:
-            e = yes_no_some_sql(raw)
-        elif f.kind == S.DATE:
-            e = date_sql(raw)
-        elif f.kind == S.CODE_NAMES:
-            e = "fsa.fsa"
-        elif f.kind == S.CODE_LABELS:
-            e = "asr.asrt"
-        elif f.kind == S.LOOKUP_OR_SELF:
-            e = "sri.sri"
-        else:
-            e = f"lnk.{f.out}"
-        cols.append(f"{e} AS {q(f.out)}")
+    scalar = {"copy": lambda x: x, "yes_no": yes_no_sql, "yes_no_some": yes_no_some_sql, "date": date_sql}
+    joined = {"code_names": "fsa.fsa", "code_labels": "asr.asrt", "lookup_or_self": "sri.sri"}
+    for out, source, _, kind in FIELDS:
+        raw = f"p.{q('a__' + source)}"
+        e = scalar[kind](raw) if kind in scalar else joined.get(kind, f"lnk.{out}")
+        cols.append(f"{e} AS {q(out)}")
     return ",\n  ".join(cols)
 
 
@@ -396,7 +417,8 @@ objs AS (
   SELECT page_id, bucket, tenant, folder, key, 's3://' || bucket || '/' || key AS url FROM (
     SELECT *, tenant || '/' || folder || deep || '/' || CAST(page_id AS VARCHAR) || sfx AS key FROM obj0) t
 ),
-recobj AS (SELECT * FROM objs WHERE contains(key, '/cv/') AND key LIKE '%.csv'),
+recobj AS (SELECT *, 's3://outputs/bucket=' || bucket || '/tenant=' || tenant || '/file=' || CAST(page_id AS VARCHAR) || '.csv' AS out_at
+           FROM objs WHERE contains(key, '/cv/') AND key LIKE '%.csv'),
 parts AS (
   SELECT url, page_id, bucket AS obucket, string_split(url, '/') AS p FROM recobj
 ),
@@ -411,11 +433,11 @@ props AS (
 ),
 ledger AS (
   SELECT url AS src, bucket, CAST(1700000000 AS BIGINT) AS ts, 'converted' AS status,
-         's3://' || bucket || '/' || replace(key, '/cv/', '/cvrisk/') AS detail
+         CASE WHEN page_id % 13 = 0 THEN 'unsupported path' ELSE out_at END AS detail
   FROM recobj WHERE page_id % 9 < 2
 ),
 outputs AS (SELECT url AS src FROM recobj WHERE page_id % 8 = 0),
-queue AS (SELECT DISTINCT url AS src, bucket FROM recobj WHERE page_id % 2 = 0)"""
+queue AS (SELECT DISTINCT url AS src, bucket FROM recobj)"""
 
 
 def with_objects(body: str) -> str:
@@ -450,7 +472,7 @@ def sibling_path() -> str:
 
 
 def tenant_db_name() -> str:
-    return with_objects("SELECT DISTINCT tenant, 'xfiles_' || replace(tenant, '-', '') AS db_name FROM objs")
+    return with_objects("SELECT DISTINCT tenant, 'tenant_' || replace(tenant, '-', '') AS db_name FROM objs")
 
 
 def notif_decode() -> str:
@@ -459,10 +481,11 @@ def notif_decode() -> str:
 UNION ALL
 SELECT bucket, tenant || '/metadata/report ' || CAST(page_id AS VARCHAR) || '.csv',
   's3://' || bucket || '/' || tenant || '/metadata/report ' || CAST(page_id AS VARCHAR) || '.csv'
-FROM objs WHERE page_id % 3 = 0""")
-
-
-GATE_IN = ", ".join(f"'{n}'" for n in S.RISK_GATE_PROPERTIES)
+FROM objs WHERE page_id % 3 = 0
+UNION ALL
+SELECT bucket, tenant || '/cv/report ' || CAST(page_id AS VARCHAR) || '.json',
+  's3://' || bucket || '/' || tenant || '/cv/report ' || CAST(page_id AS VARCHAR) || '.json'
+FROM objs WHERE page_id % 4 = 0""")
 
 
 def gate_semi() -> str:
@@ -502,8 +525,8 @@ outcome AS (
          ELSE 'rejected' END AS status,
     CASE WHEN NOT {ok} THEN 'unsupported path'
          WHEN r.url IN (SELECT src FROM outputs)
-           OR r.url IN (SELECT src FROM props WHERE propertyname IN ({GATE_IN})) THEN {_sibling('r.url', 'cvrisk')}
-         ELSE 'Was not created by {S.RISK_TEMPLATE.name}' END AS detail
+           OR r.url IN (SELECT src FROM props WHERE propertyname IN ({GATE_IN})) THEN r.out_at
+         ELSE 'Was not created by AuditINT' END AS detail
   FROM recobj r WHERE r.url NOT IN (SELECT src FROM ledger)
 )"""
 
@@ -545,7 +568,12 @@ def _wide_ctes() -> list[str]:
 
 
 def _nullif_cols(prefix: str = "") -> str:
-    return ", ".join(f"nullif({prefix}{q(c)}, '') AS {q(c)}" for c in S.RISK_TEMPLATE.columns)
+    return ", ".join(f"nullif({prefix}{q(c)}, '') AS {q(c)}" for c in COLUMNS)
+
+
+# the fixture's record URLs: s3://b<k % 2>/tenant-<k>/cv/f<k>.csv
+_K = "CAST(substr(src, 2) AS INTEGER)"
+_KEYS = f"'b' || CAST({_K} % 2 AS VARCHAR) AS bucket, 'tenant-' || substr(src, 2) AS tenant, src || '.csv' AS file"
 
 
 def csv_scan() -> str:
@@ -558,14 +586,20 @@ def property_scan() -> str:
 
 
 def csv_roundtrip() -> str:
-    return with_fixture(*_wide_ctes(), body=f"SELECT {_nullif_cols()}, '_unknown' AS tenant FROM wv")
+    return with_fixture(*_wide_ctes(), body=f"SELECT {_nullif_cols()}, {_KEYS} FROM wv")
+
+
+def multi_bucket_write() -> str:
+    return with_fixture(_pv(["R_IDENTIFIER"]), body=f"""SELECT CASE src WHEN 'f0' THEN 'b0' ELSE 'b1' END AS bucket,
+  CASE src WHEN 'f2' THEN 't-2' ELSE 't-1' END AS tenant, CASE src WHEN 'f2' THEN 'y=1.csv' ELSE 'x.csv' END AS file,
+  {q('a__R_IDENTIFIER')} AS rid FROM pv WHERE src <> 'f3'""")
 
 
 def typed_view() -> str:
     items = []
-    for c in S.RISK_TEMPLATE.columns:
+    for c in COLUMNS:
         out = "dateid" if c == "dateId" else c
-        if c in S.TYPED_INT_COLUMNS:
+        if c in INT_COLUMNS:
             items.append(f"TRY_CAST(nullif({q(c)}, '') AS INTEGER) AS {q(out)}")
         else:
             items.append(f"nullif({q(c)}, '') AS {q(out)}")
@@ -573,9 +607,27 @@ def typed_view() -> str:
 
 
 def catalog_query() -> str:
-    return with_fixture(*_wide_ctes(), body="""SELECT yearend, significant, count(*) AS n_risks,
-  count(assocd_ctrl) AS n_with_ctrl, count(assocd_item) AS n_with_item
-FROM wv GROUP BY yearend, significant""")
+    return with_fixture(*_wide_ctes(), body="""SELECT TRY_CAST(yearend AS INTEGER) AS yearend, nullif(significant, '') AS significant,
+  count(*) AS n_risks, count(nullif(assocd_ctrl, '')) AS n_with_ctrl, count(nullif(assocd_item, '')) AS n_with_item
+FROM wv GROUP BY ALL""")
+
+
+def tenant_database() -> str:
+    return with_objects("""SELECT tenant, 'tenant_' || replace(tenant, '-', '') AS db_name, count(*) AS n_objects
+FROM objs GROUP BY tenant""")
+
+
+def diagnostics() -> str:
+    return with_fixture(_pv(["R_NEWNAME", "R_FRF"]), body=f"""SELECT src, form, 'day' AS field, {q('a__R_NEWNAME')} AS token,
+  'unreadable date' AS reason FROM pv WHERE {q('a__R_NEWNAME')} <> ''
+UNION ALL SELECT src, form, 'kinds', {q('a__R_FRF')}, 'no lookup row' FROM pv WHERE contains({q('a__R_FRF')}, 'FT')""")
+
+
+def date_forms() -> str:
+    return """SELECT o_orderkey, CAST(form AS INTEGER) AS form,
+  CASE WHEN form IN (101, 102) AND day(o_orderdate) <= 12 THEN NULL WHEN form IN (103, 104) THEN NULL
+       ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day
+FROM orders, (SELECT unnest(list_concat(range(18), range(100, 105))) AS form) f"""
 
 
 def queue_pending() -> str:
@@ -584,27 +636,36 @@ def queue_pending() -> str:
 
 def field_dictionary() -> str:
     parts = []
-    for f in S.RISK_FIELDS:
-        desc = f.desc.replace("'", "''")
-        parts.append(f"SELECT '{f.out}' AS {q('column')}, '{f.source_id}' AS source_id, '{desc}' AS description, "
-                     f"'{f.kind}' AS kind, count({q(f.out)}) AS n_values FROM wv")
+    for out, source, desc, kind in FIELDS:
+        parts.append(f"SELECT '{out}' AS {q('column')}, '{source}' AS source_id, '{desc}' AS description, "
+                     f"'{kind}' AS kind, count({q(out)}) AS n_values FROM wv")
     return with_fixture(*_wide_ctes(), body="\nUNION ALL ".join(parts))
 
 
 def second_template() -> str:
     ev = """
+e0 AS (SELECT *, 'e' || CAST(user_id % 4 AS VARCHAR) AS src FROM events),
+ea AS (
+  SELECT *, 0 AS j, event_type AS id, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS data FROM e0
+  UNION ALL SELECT *, 1, 'plan', 'P' || CAST(user_id % 7 AS VARCHAR) FROM e0 WHERE event_type = 'signup'
+  UNION ALL SELECT *, 2, 'active', CAST(event_id % 3 AS VARCHAR) FROM e0 WHERE event_type = 'view'
+),
 ev AS (
-  SELECT src, event_id AS ord, src || '.csv' AS filename, CAST(year(ts) AS VARCHAR) AS yearend,
+  SELECT src, event_id * 4 + j AS ord, src || '.csv' AS filename, CAST(year(ts) AS VARCHAR) AS yearend,
          CAST(user_id AS VARCHAR) AS entityid, 'user-' || CAST(user_id AS VARCHAR) AS entityname,
          'bundle-' || src AS bundleguid, strftime(ts, '%Y-%m-%d %H:%M:%S') AS lastmodified,
-         CAST(event_id AS VARCHAR) AS cwguid, 'U' || CAST(user_id AS VARCHAR) AS form, event_type AS id,
-         CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS data
-  FROM (SELECT *, 'e' || CAST(user_id % 4 AS VARCHAR) AS src FROM events) e
+         CAST(event_id AS VARCHAR) AS cwguid, 'U' || CAST(user_id AS VARCHAR) AS form, id, data
+  FROM ea
 )"""
     hdr = ", ".join(f"arg_max_null({h}, ord) AS {h}" for h in HEADER)
-    cols = ", ".join(f"arg_max_null(data, ord) FILTER (WHERE id = '{f.source_id}') AS {q(f.out)}"
-                     for f in S.EVENT_TEMPLATE.fields)
-    return f"WITH {ev}\nSELECT src, {hdr}, {cols} FROM ev WHERE id IS NOT NULL GROUP BY src, form"
+    last = lambda i: f"arg_max_null(data, ord) FILTER (WHERE id = '{i}')"
+    kinds = ["view", "click", "purchase", "error", "signup"]
+    cols = ", ".join(f"{last(k)} AS last_{k}" for k in kinds)
+    return f"""WITH {ev},
+u AS (SELECT src, {hdr}, {cols}, {last('plan')} AS plan0, {last('active')} AS active0 FROM ev WHERE id IS NOT NULL GROUP BY src, form)
+SELECT u.src, {', '.join('u.' + h for h in HEADER)}, {', '.join('u.last_' + k for k in kinds)},
+  coalesce('Plan ' || n.n_name, u.plan0) AS plan, {yes_no_some_sql('u.active0')} AS active
+FROM u LEFT JOIN nation n ON n.n_nationkey < 5 AND u.plan0 = 'P' || CAST(n.n_nationkey AS VARCHAR)"""
 
 
 def stream_notifications() -> str:
@@ -613,21 +674,32 @@ def stream_notifications() -> str:
 
 
 def stream_convert() -> str:
-    return with_fixture(*_wide_ctes(), body=f"SELECT {_nullif_cols()} FROM wv WHERE src <> 'f3'")
+    return with_fixture(*_wide_ctes(), body=f"""SELECT {_nullif_cols()}, {_KEYS}, 'converted' AS status,
+  count(*) OVER (PARTITION BY src) AS n_records FROM wv WHERE src <> 'f3'""")
 
 
 def backfill() -> str:
-    return with_fixture(_pv([]), body="""SELECT src AS file,
+    url = f"'s3://b' || CAST({_K} % 2 AS VARCHAR) || '/tenant-' || substr(src, 2) || '/cv/' || src || '.csv'"
+    at = f"'/bucket=b' || CAST({_K} % 2 AS VARCHAR) || '/tenant=tenant-' || substr(src, 2) || '/file=' || src || '.csv'"
+    no = "'Was not created by AuditINT'"
+    return with_fixture(_pv([]), body=f"""SELECT {url} AS url, 'b' || CAST({_K} % 2 AS VARCHAR) AS bucket,
   CAST(CASE WHEN src = 'f3' THEN 1700000060 ELSE 1700000000 END AS BIGINT) AS ts,
-  CASE WHEN src = 'f3' THEN 'rejected' ELSE 'converted' END AS status,
-  CAST(CASE WHEN src = 'f3' THEN 0 ELSE count(*) END AS BIGINT) AS n_records
-FROM pv GROUP BY src""")
+  CASE WHEN src = 'f1' THEN 'rejected' ELSE 'converted' END AS status,
+  CASE WHEN src <> 'f1' THEN CAST(count(*) AS BIGINT) END AS n_records,
+  CASE WHEN src = 'f1' THEN {no} ELSE {at} END AS detail
+FROM pv GROUP BY src
+UNION ALL SELECT 's3://b0/tenant-0/cv/deep/d.csv', 'b0', 1700000000, 'bad_path', NULL, 'unsupported path'
+UNION ALL SELECT 's3://b1/tenant-1/cv/e.csv', 'b1', 1700000000, 'rejected', NULL, {no}""")
 
 
 ORACLES.update({
     "csv_scan": csv_scan,
     "property_scan": property_scan,
     "csv_roundtrip": csv_roundtrip,
+    "multi_bucket_write": multi_bucket_write,
+    "tenant_database": tenant_database,
+    "diagnostics": diagnostics,
+    "date_forms": date_forms,
     "typed_view": typed_view,
     "catalog_query": catalog_query,
     "queue_pending": queue_pending,

@@ -24,11 +24,12 @@ from eavflow.operators import links, lookup
 from eavflow.operators.file_index import FileIndex, build_index
 from eavflow.operators.reshape import attr_col
 from eavflow.plans import spec as S
+from eavflow.plans.stage import Stage
 
 
 @dataclass
 class Conversion:
-    view: DataFrame          # src, first_ord, <template columns>
+    view: DataFrame          # src, first_ord, form, <template columns>
     diagnostics: DataFrame   # src, form, field, token, reason
     index: FileIndex
 
@@ -58,15 +59,15 @@ def enrichment(idx: FileIndex, tpl: S.Template) -> tuple[DataFrame | None, DataF
     for f in tpl.fields:
         raw = attr_col(f.source_id)
         if f.kind == S.CODE_NAMES:
-            e, d = lookup.code_names(recs, raw, idx.dictionary, L.name_marker, L.sentinels, f.out)
+            e, d = lookup.code_names(recs, raw, idx.codes, L.name_marker, L.sentinels, idx.sizes["codes"], f.out)
             parts.append(e)
             diags.append(d)
         elif f.kind == S.CODE_LABELS:
-            e, d = lookup.code_labels(recs, raw, idx.labels, L.label_marker, f.out)
+            e, d = lookup.code_labels(recs, raw, idx.labels, L.label_marker, idx.sizes["labels"], f.out)
             parts.append(e)
             diags.append(d)
         elif f.kind == S.LOOKUP_OR_SELF:
-            parts.append(lookup.lookup_or_self(recs, raw, idx.dictionary, f.out))
+            parts.append(lookup.lookup_or_self(recs, raw, idx.codes, idx.sizes["codes"], f.out))
         elif f.kind == S.LINK_NAME:
             link_fields.append((f.out, f.param, tpl.link_name_id(f.param)))
         elif f.kind == S.DATE:
@@ -74,7 +75,7 @@ def enrichment(idx: FileIndex, tpl: S.Template) -> tuple[DataFrame | None, DataF
                 "src", "form", F.lit(f.out).alias("field"), F.col(raw).alias("token"),
                 F.lit("unreadable date").alias("reason")))
     if link_fields:
-        parts.append(links.link_names(recs, idx.members, idx.dictionary, link_fields))
+        parts.append(links.link_names(recs, idx, link_fields))
     return _union(parts), _union(diags)
 
 
@@ -113,14 +114,14 @@ def field_column(f: S.FieldSpec, tpl: S.Template) -> Column:
     raise ValueError(f.kind)
 
 
-def convert(rec: DataFrame, tpl: S.Template = S.RISK_TEMPLATE) -> Conversion:
-    """EAV rows (src, ord, header..., form, group_, id, data) -> wide view."""
-    idx = build_index(rec, tpl)
+def convert(rec: DataFrame, tpl: S.Template = S.RISK_TEMPLATE, stage: Stage | None = None) -> Conversion:
+    """EAV rows (src, ord, header..., form, group_, id, data) -> wide view; ``stage`` deletes the index after the run."""
+    idx = build_index(rec, tpl, stage)
     enrich, diags = enrichment(idx, tpl)
     wide = idx.records
     if enrich is not None:
         wide = wide.join(fold(enrich, tpl), ["src", "rk"], "left")
-    view = wide.select("src", F.col("rk").alias("first_ord"), *list(tpl.header),
+    view = wide.select("src", F.col("rk").alias("first_ord"), "form", *list(tpl.header),
                        *[field_column(f, tpl).cast("string").alias(f.out) for f in tpl.fields])
     if diags is None:
         diags = rec.sparkSession.createDataFrame([], "src string, form string, field string, token string, reason string")
@@ -130,4 +131,4 @@ def convert(rec: DataFrame, tpl: S.Template = S.RISK_TEMPLATE) -> Conversion:
 def wide_view(rec: DataFrame, tpl: S.Template = S.RISK_TEMPLATE, with_order: bool = False) -> DataFrame:
     """The template's columns (plus ``src``; plus ``first_ord`` when asked)."""
     v = convert(rec, tpl).view
-    return v if with_order else v.drop("first_ord")
+    return v.select("src", *(["first_ord"] if with_order else []), *tpl.columns)

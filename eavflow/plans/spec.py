@@ -84,6 +84,14 @@ class Template:
 RISK_HEADER = ("yearend", "entityid", "entityname", "bundleguid", "filename",
                "lastmodified", "cwguid")
 
+# The columns of a record file.
+HEADER_COLS = ["filename", "yearend", "entityid", "entityname", "bundleguid",
+               "lastmodified", "cwguid"]
+RECORD_COLS = HEADER_COLS + ["form", "group_", "id", "data"]
+
+# The ledger's text for a file whose sidecar does not pass the gate.
+NOT_CREATED_BY = "Was not created by "
+
 RISK_FIELDS = (
     FieldSpec("rid", "R_IDENTIFIER", "Identifier"),
     FieldSpec("name", "R_NEWNAME", "Risk Name"),
@@ -147,5 +155,19 @@ EVENT_TEMPLATE = Template(
         FieldSpec("last_purchase", "purchase", "Last purchase value"),
         FieldSpec("last_error", "error", "Last error value"),
         FieldSpec("last_signup", "signup", "Last signup value"),
+        FieldSpec("plan", "plan", "Plan name, or its code", LOOKUP_OR_SELF),
+        FieldSpec("active", "active", "Active", YES_NO_SOME),
+    ),
+)
+
+# Fields that leave diagnostics behind: a text that is no date, codes without a name row.
+DIAGNOSTIC_TEMPLATE = Template(
+    name="Diagnostics",
+    group="RISK",
+    header=RISK_HEADER,
+    fields=(
+        FieldSpec("day", "R_NEWNAME", "Not a date", DATE),
+        FieldSpec("kinds", "R_FRF", "Codes that no name row has", CODE_NAMES),
     ),
+    lookups=Lookups(name_marker="FT"),
 )

@@ -4,25 +4,53 @@ A DataFrame consumed by several branches of one plan is written as a parquet
 table under ``spark.checkpoint.dir`` and read back.  Each branch then scans
 only its partition (``partitionBy``) and columns, the upstream work runs once,
 and a lost executor costs a re-read, not a recomputation of the lineage.
-Set ``eavflow.stage=none`` to keep the plan fully lazy instead.
+
+A run that consumes its intermediates itself opens a ``Stage``, which deletes
+them at its end.  A lazy result (a query) keeps them as long as its session.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from eavflow.session import drop_path, file_system, scratch_path
+
+
+class Stage:
+    """Staged tables of one run: ``with Stage(spark) as stage: ... stage.table(df, name)``."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def table(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.partitionBy(*partition_by).parquet(path)
+        out = self.spark.read.schema(_schema(df, partition_by)).parquet(path)
+        out.stage_path = path
+        return out
+
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for p in self.paths:
+            drop_path(self.spark, p)
+
+
+def _schema(df: DataFrame, partition_by: Sequence[str]):
+    """As written, partition columns last, so that an empty table can be read too."""
+    s = df.schema
+    return type(s)([s[n] for n in s.names if n not in partition_by] + [s[n] for n in partition_by])
+
 
-from eavflow.session import scratch_path
+def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), stage: Stage | None = None) -> DataFrame:
+    return (stage or Stage(df.sparkSession)).table(df, name, partition_by)
 
 
-def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    spark = df.sparkSession
-    if spark.conf.get("eavflow.stage", "table") == "none":
-        return df
-    path = scratch_path(spark, name)
-    w = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
-    return spark.read.parquet(path)
+def stored_bytes(staged: DataFrame, part: str = "") -> int:
+    """The size on disk of a staged table, or of one of its partitions."""
+    fs, path = file_system(staged.sparkSession, f"{staged.stage_path}/{part}".rstrip("/"))
+    return fs.getContentSummary(path).getLength() if fs.exists(path) else 0

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from eavflow.functions import values as V
 from eavflow.operators.file_index import build_index
 from eavflow.operators.reshape import attr_col, pivot_last, record_filter
+from eavflow.operators.skew import lookup
 from eavflow.plans import pipeline
 from eavflow.plans import spec as S
 from eavflow.sources import fixtures as FX
 
 RISK = S.RISK_TEMPLATE
+# Fixed values of the fixture recipe: the attribute ids it writes.
 FIXTURE_IDS = ["R_IDENTIFIER", "R_NEWNAME", "ISMODDATE", "R_FSA", "R_FRF", "R_SIGNIFICANT",
                "R_MANRESPDD", "R_AUDRESPDD", "R_ENTITY", "R_BC", "R_NOTE"]
 
@@ -25,6 +27,11 @@ def _rec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FX.eav_records(spark, sf_dir)
 
 
+def _ord():
+    """The place in the file as the SQL has it."""
+    return F.col("ord").cast("bigint").alias("ord")
+
+
 def _risk_rows(spark, sf_dir):
     return _rec(spark, sf_dir).where(F.col("group_") == RISK.group)
 
@@ -32,7 +39,7 @@ def _risk_rows(spark, sf_dir):
 # -- reshape ---------------------------------------------------------------
 
 def q_record_filter(spark, sf_dir):
-    return record_filter(_rec(spark, sf_dir), RISK.group, []).select("src", "ord", "form", "id", "data")
+    return record_filter(_rec(spark, sf_dir), RISK.group, []).select("src", _ord(), "form", "id", "data")
 
 
 def q_pivot_last(spark, sf_dir):
@@ -49,7 +56,7 @@ def q_last_attrs(spark, sf_dir):
 def q_ordered_view(spark, sf_dir):
     rows = record_filter(_rec(spark, sf_dir), RISK.group, [])
     return (pivot_last(rows, ["R_IDENTIFIER"])
-            .select("src", "form", F.col("rk").alias("first_ord"),
+            .select("src", "form", F.col("rk").cast("bigint").alias("first_ord"),
                     F.col(attr_col("R_IDENTIFIER")).alias("rid")))
 
 
@@ -57,30 +64,30 @@ def q_ordered_view(spark, sf_dir):
 
 def q_yes_no(spark, sf_dir):
     r = _risk_rows(spark, sf_dir).where(F.col("id").isin("R_SIGNIFICANT", "R_AUDRESPDD"))
-    return r.select("src", "ord", "id", "data", V.yes_no("data").alias("yn"))
+    return r.select("src", _ord(), "id", "data", V.yes_no("data").alias("yn"))
 
 
 def q_yes_no_some(spark, sf_dir):
     r = _risk_rows(spark, sf_dir).where(F.col("id").isin("R_MANRESPDD", "R_SIGNIFICANT", "R_AUDRESPDD"))
-    return r.select("src", "ord", "id", "data", V.yes_no_some("data").alias("yns"))
+    return r.select("src", _ord(), "id", "data", V.yes_no_some("data").alias("yns"))
 
 
 def q_date_norm(spark, sf_dir):
     r = _risk_rows(spark, sf_dir).where(F.col("id").isin("ISMODDATE", "R_NEWNAME"))
-    return r.select("src", "ord", "data", V.date_norm("data").alias("day"))
+    return r.select("src", _ord(), "data", V.date_norm("data").alias("day"))
 
 
 def q_token_split(spark, sf_dir):
     r = _risk_rows(spark, sf_dir).where((F.col("id") == "R_FSA") & F.col("data").isNotNull())
     t = r.select("src", "ord", F.posexplode(V.token_split("data")).alias("pos", "tok"))
-    return t.select("src", "ord", F.col("pos").cast("bigint").alias("pos"), "tok",
+    return t.select("src", _ord(), F.col("pos").cast("bigint").alias("pos"), "tok",
                     F.col("tok").contains(RISK.lookups.name_marker).alias("is_name"),
                     F.col("tok").contains(RISK.lookups.label_marker).alias("is_label"))
 
 
 def q_path_label(spark, sf_dir):
     r = _rec(spark, sf_dir).where(F.col("id").contains(RISK.lookups.label_marker))
-    return r.select("src", "ord", "id", "data", V.path_label("data").alias("label"))
+    return r.select("src", _ord(), "id", "data", V.path_label("data").alias("label"))
 
 
 # -- lookups ---------------------------------------------------------------
@@ -93,16 +100,14 @@ def q_category_lookup(spark, sf_dir):
     idx = _index(spark, sf_dir)
     raw = attr_col("R_FSA")
     recs = idx.records.where(F.col(raw).isin(list(RISK.lookups.sentinels)))
-    cat = idx.dictionary.select("src", F.col("form").alias(raw), "cat")
-    return recs.join(cat, ["src", raw], "left").select("src", "form", F.col(raw).alias("code"), "cat")
+    cat = idx.codes.where(F.col("cat").isNotNull()).select("src", F.col("form").alias(raw), "cat")
+    return lookup(recs, cat, ["src", raw], "left", idx.sizes["codes"]).select("src", "form", F.col(raw).alias("code"), "cat")
 
 
 def _with_form(spark, sf_dir, out: str) -> DataFrame:
     tpl = S.Template(RISK.name, RISK.group, (), tuple(f for f in RISK.fields if f.out == out),
                      lookups=RISK.lookups)
-    conv = pipeline.convert(_rec(spark, sf_dir), tpl)
-    forms = conv.index.records.select("src", F.col("rk").alias("first_ord"), "form")
-    return conv.view.join(forms, ["src", "first_ord"]).select("src", "form", out)
+    return pipeline.convert(_rec(spark, sf_dir), tpl).view.select("src", "form", out)
 
 
 def q_token_names(spark, sf_dir):
@@ -218,7 +223,7 @@ def q_has_pending(spark, sf_dir):
 
 def _outcomes(spark, sf_dir):
     return selection.outcomes(_listed(spark, sf_dir), FX.ledger_rows(spark, sf_dir),
-                              FX.output_rows(spark, sf_dir), FX.property_rows(spark, sf_dir), RISK)
+                              FX.output_rows(spark, sf_dir), FX.property_rows(spark, sf_dir), RISK, FX.OUT_ROOT)
 
 
 def q_convert_status(spark, sf_dir):
@@ -251,7 +256,7 @@ QUERIES.update({
 
 import uuid  # noqa: E402
 
-from eavflow.plans import catalog, writer  # noqa: E402
+from eavflow.plans import catalog, run, writer  # noqa: E402
 from eavflow.session import scratch_path  # noqa: E402
 from eavflow.sources import records as RD  # noqa: E402
 from eavflow.sources import tables as TB  # noqa: E402
@@ -260,10 +265,20 @@ from eavflow.streaming import intake  # noqa: E402
 
 
 def q_csv_scan(spark, sf_dir):
+    """Four files with awkward names and three headers."""
     root = scratch_path(spark, "records")
-    FX.write_record_files(_rec(spark, sf_dir), root, reverse_header=["f3"])
-    df = RD.read_records(spark, root, base_path=root)
-    return df.select("file", *FX.HEADER_COLS, "form", "group_", "id", "data")
+    rec = _rec(spark, sf_dir)
+    names = {"f0": "a b.csv", "f1": "x&y%2B+.csv", "f2": "z[1]{2}.csv", "f3": "plain.csv"}
+    path = {k: f"{root}/{v}" for k, v in names.items()}
+    FX.write_objects(rec, {k: path[k] for k in ("f0", "f1")})
+    FX.write_objects(rec, {"f2": path["f2"]}, ["extra", *RD.RECORD_COLS])
+    FX.write_objects(rec, {"f3": path["f3"]}, list(reversed(RD.RECORD_COLS)))
+    df = RD.read_records(spark, list(path.values()))
+    name = F.element_at(F.split("src", "/"), -1)
+    file = F.lit(None).cast("string")
+    for k, v in names.items():
+        file = F.when(name == v, F.lit(k)).otherwise(file)
+    return df.select(file.alias("file"), *S.HEADER_COLS, "form", "group_", "id", "data")
 
 
 def q_property_scan(spark, sf_dir):
@@ -273,37 +288,65 @@ def q_property_scan(spark, sf_dir):
     (props.join(pages, "src").select("p_page", "propertyname")
           .repartition("p_page").write.partitionBy("p_page")
           .option("header", "true").option("escape", '"').csv(root))
-    df = RD.read_properties(spark, root, base_path=root)
-    return df.select(F.col("p_page").cast("bigint").alias("p_page"), "propertyname")
+    df = RD.read_properties(spark, root)
+    return df.select(F.regexp_extract("src", r"/p_page=(\d+)/", 1).cast("bigint").alias("p_page"), "propertyname")
 
 
 def _written_view(spark, sf_dir):
     root = scratch_path(spark, "cvrisk")
-    view = pipeline.convert(_rec(spark, sf_dir), RISK).view
+    view = pipeline.convert(FX.with_urls(_rec(spark, sf_dir)), RISK).view
     writer.write_view(view, root, RISK.columns)
     return root
 
 
 def q_csv_roundtrip(spark, sf_dir):
-    root = _written_view(spark, sf_dir)
-    # ``file`` (the output folder) is a hash-tagged name for non-URL inputs; not compared
-    return writer.read_view(spark, root, RISK.columns).drop("file")
+    return writer.read_view(spark, _written_view(spark, sf_dir), RISK.columns)
+
+
+def q_multi_bucket_write(spark, sf_dir):
+    """The same tenant and file in two buckets, several tenants; one file has no record on the second run."""
+    root = scratch_path(spark, "cvrisk")
+    urls = {"f0": "s3://b0/t-1/cv/x.csv", "f1": "s3://b1/t-1/cv/x.csv", "f2": "s3://b1/t-2/cv/y=1.csv", "f3": "s3://b1/t-3/cv/z.csv"}
+    ids = S.Template(RISK.name, RISK.group, RISK.header, tuple(f for f in RISK.fields if f.out == "rid"))
+    view = pipeline.convert(FX.with_urls(_rec(spark, sf_dir), urls), ids).view
+    writer.write_view(view, root, ids.columns)
+    writer.write_view(view.where(F.col("src") != urls["f3"]), root, ids.columns)
+    gone = spark.range(1).select(P.output_location(F.lit(urls["f3"]), root)).first()[0]
+    writer.write_empty(spark, [gone], ids.columns)
+    return writer.read_view(spark, root, ids.columns).select("bucket", "tenant", "file", "rid")
+
+
+def _registered(spark, sf_dir) -> str:
+    root, db = _written_view(spark, sf_dir), f"conv_{uuid.uuid4().hex[:10]}"
+    catalog.create_database(spark, db, scratch_path(spark, db))
+    catalog.register_csv_table(spark, f"{db}.cvrisk", root)
+    return db
 
 
 def q_typed_view(spark, sf_dir):
-    root = _written_view(spark, sf_dir)
-    name = f"cvrisk_{uuid.uuid4().hex[:10]}"
-    catalog.register_csv_table(spark, name, root)
-    return catalog.create_typed_view(spark, f"{name}_typed", name)
+    db = _registered(spark, sf_dir)
+    return catalog.create_typed_view(spark, f"{db}.cvrisk_typed", f"{db}.cvrisk", temporary=False)
 
 
 def q_catalog_query(spark, sf_dir):
-    name = f"cvrisk_{uuid.uuid4().hex[:10]}"
-    pipeline.wide_view(_rec(spark, sf_dir), RISK).createOrReplaceTempView(name)
+    db = _registered(spark, sf_dir)
+    catalog.create_typed_view(spark, f"{db}.cvrisk_typed", f"{db}.cvrisk", temporary=False)
     return catalog.query(spark, f"""
         SELECT yearend, significant, count(*) AS n_risks, count(assocd_ctrl) AS n_with_ctrl,
                count(assocd_item) AS n_with_item
-        FROM {name} GROUP BY yearend, significant""")
+        FROM {db}.cvrisk_typed GROUP BY yearend, significant""")
+
+
+def q_tenant_database(spark, sf_dir):
+    """K3: one database per tenant of the listing, seen in the catalog."""
+    prefix = f"k3_{uuid.uuid4().hex[:8]}_"
+    tenants = [r[0] for r in FX.objects(spark, sf_dir).select("tenant").distinct().collect()]   # one DDL statement each
+    for t in tenants:
+        catalog.create_database(spark, catalog.db_name(t, prefix), scratch_path(spark, "db"))
+    shown = catalog.query(spark, f"SHOW DATABASES LIKE '{prefix}*'").select(F.col("namespace").alias("made"))
+    wanted = FX.objects(spark, sf_dir).groupBy("tenant").agg(F.count(F.lit(1)).alias("n_objects"))
+    return (wanted.join(shown, P.tenant_db_name("tenant", prefix) == F.col("made"))
+            .select("tenant", F.replace("made", F.lit(prefix), F.lit("tenant_")).alias("db_name"), "n_objects"))
 
 
 def q_queue_pending(spark, sf_dir):
@@ -346,48 +389,95 @@ def q_stream_notifications(spark, sf_dir):
     return TB.read_table(spark, queue, TB.QUEUE_SCHEMA).select("src", "bucket")
 
 
-def _gate_props(listed: DataFrame) -> DataFrame:
-    """Sidecar rows for written record files: every file but ``f3`` carries a gate name."""
-    return listed.select("src", F.when(F.col("src").contains("/file=f3/"), F.lit("Title"))
-                                 .otherwise(F.lit(RISK.gate_properties[-1])).alias("propertyname"))
+GATE_ROWS = "propertyname,value\nTitle,x\n"
+
+
+def _sidecar(spark, store: P.Store, k: int, passes: bool) -> None:
+    url = FX.file_url(k).replace("/cv/", "/metadata/")
+    FX.put(spark, store.root + url[len(store.scheme):], GATE_ROWS + (f"{RISK.gate_properties[-1]},y\n" if passes else ""))
+
+
+def _arrive(spark, store: P.Store, rec: DataFrame, files: list[int]) -> None:
+    FX.write_objects(rec, {f"f{k}": store.root + FX.file_url(k)[len(store.scheme):] for k in files})
+
+
+def _bucket(spark, rec: DataFrame) -> P.Store:
+    """A store whose buckets also hold an old output, a deep path, a record that is no CSV and an empty sidecar."""
+    store = P.Store(scratch_path(spark, "store"))
+    for path in ("b0/tenant-0/cvrisk/old.csv", "b0/tenant-0/cv/deep/d.csv", "b0/tenant-0/cv/note.json", "b1/tenant-1/cv/e.csv"):
+        FX.put(spark, store.at(path), ",".join(RD.RECORD_COLS) + "\n")
+    FX.put(spark, store.at("b1/tenant-1/metadata/e.csv"), "")
+    return store
 
 
 def q_stream_convert(spark, sf_dir):
-    root, out = scratch_path(spark, "inbox"), scratch_path(spark, "cvrisk")
-    ledger, ckpt = scratch_path(spark, "ledger"), scratch_path(spark, "convert-ckpt")
-    rec = _rec(spark, sf_dir)
-    for files in (["f0", "f1"], ["f2", "f3"]):
-        FX.write_record_files(rec, root, files=files, reverse_header=["f3"])
-        listed = listing.list_objects(spark, root, suffix=".csv").select(F.col("path").alias("src"))
-        SC.run_conversion_stream(spark, root, out, ledger, _gate_props(listed), FX.LEDGER_TS, ckpt)
-    return writer.read_view(spark, out, RISK.columns).drop("tenant", "file")
+    """Two arrivals, a sidecar that comes after the stream began, and all batches replayed by a second stream."""
+    rec, out, ledger = _rec(spark, sf_dir), scratch_path(spark, "cvrisk"), scratch_path(spark, "ledger")
+    store, ckpt = _bucket(spark, rec), scratch_path(spark, "convert-ckpt")
+    go = lambda c: SC.run_conversion_stream(spark, store, "", out, ledger, c, clock=lambda: FX.LEDGER_TS, max_files=5)
+    _sidecar(spark, store, 0, True)
+    _sidecar(spark, store, 1, True)
+    _arrive(spark, store, rec, [0, 1])
+    go(ckpt)
+    _sidecar(spark, store, 2, True)
+    _sidecar(spark, store, 3, False)
+    _arrive(spark, store, rec, [2, 3])
+    go(ckpt)
+    go(scratch_path(spark, "convert-ckpt"))
+    led = TB.read_ledger(spark, ledger).select(F.col("src").alias("url"), "status", "n_records")
+    view = writer.read_view(spark, out, RISK.columns)
+    url = F.concat(F.lit(store.scheme), "bucket", F.lit("/"), "tenant", F.lit("/cv/"), "file")
+    return view.join(led, url == F.col("url"), "left").drop("url")
 
 
 def q_backfill(spark, sf_dir):
-    root, out, ledger = scratch_path(spark, "bucket"), scratch_path(spark, "cvrisk"), scratch_path(spark, "ledger")
-    rec = _rec(spark, sf_dir)
-    FX.write_record_files(rec, root, files=["f0", "f1", "f2"])
-    props = lambda: _gate_props(listing.list_objects(spark, root, suffix=".csv")
-                                .select(F.col("path").alias("src")))
-    SC.backfill(spark, root, out, ledger, props(), FX.LEDGER_TS)
-    FX.write_record_files(rec, root, files=["f3"], reverse_header=["f3"])
-    SC.backfill(spark, root, out, ledger, props(), FX.LEDGER_TS + 60)
-    SC.backfill(spark, root, out, ledger, props(), FX.LEDGER_TS + 120)   # nothing left: no-op
-    led = TB.read_table(spark, ledger, TB.LEDGER_SCHEMA)
-    counts = writer.read_view(spark, out, RISK.columns).groupBy("tenant", "file").agg(
-        F.count(F.lit(1)).alias("n_records"))
-    tenant, key = writer.output_keys("src")
-    led = led.select(F.regexp_extract("src", r"/file=([^/]+)/", 1).alias("rfile"), "ts", "status",
-                     tenant.alias("tenant"), key.alias("file"))
-    return led.join(counts, ["tenant", "file"], "left").select(
-        F.col("rfile").alias("file"), "ts", "status",
-        F.coalesce(F.col("n_records"), F.lit(0)).cast("bigint").alias("n_records"))
+    """Three runs over a bucket; the second finds a new file, the third nothing.  One ledger row per file."""
+    rec, out, ledger = _rec(spark, sf_dir), scratch_path(spark, "cvrisk"), scratch_path(spark, "ledger")
+    store = _bucket(spark, rec)
+    go = lambda ts: run.backfill(spark, store, "", out, ledger, ts, max_files=4)
+    for k in range(3):
+        _sidecar(spark, store, k, k != 1)
+    _arrive(spark, store, rec, [0, 1, 2])
+    go(FX.LEDGER_TS)
+    _sidecar(spark, store, 3, True)
+    _arrive(spark, store, rec, [3])
+    go(FX.LEDGER_TS + 60)
+    return go(FX.LEDGER_TS + 120).select(
+        F.col("src").alias("url"), "bucket", "ts", "status", "n_records",
+        F.when(F.col("detail").startswith(out), F.substring("detail", len(out) + 1, 1 << 30)).otherwise(F.col("detail")).alias("detail"))
+
+
+def q_diagnostics(spark, sf_dir):
+    return pipeline.convert(_rec(spark, sf_dir), S.DIAGNOSTIC_TEMPLATE).diagnostics
+
+
+DATE_FORMS = ["yyyy-M-d", "yyyy/MM/dd", "yyyyMMdd", "yyyy-MM-dd'T10:11:12Z'", "yyyy-MM-dd'T10:11:12.123'",
+              "yyyy-MM-dd' 10:11:12.0'", "yyyy-MM-dd' 10:11'", "yyyyMMdd'101112'", "M/d/yyyy", "dd-MMM-yyyy", "MMMM d, yyyy", "MMM d yyyy",
+              "d MMM yyyy", "MM-dd-yyyy", "M/d/yyyy' 10:11:12 AM'", "d MMMM yyyy", "MMM d, yyyy", "yyyy-MM-dd'T10:11:12+02:00'"]
+
+
+def q_date_forms(spark, sf_dir):
+    """Every accepted form of every order's date; two-digit years and dotted day-first dates where they are unambiguous."""
+    o = FX.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("d"))
+    forms = [F.struct(F.lit(i).alias("form"), F.date_format("d", f).alias("text")) for i, f in enumerate(DATE_FORMS)]
+    late = F.dayofmonth("d") > 12
+    forms += [F.struct(F.lit(100).alias("form"), F.date_format("d", "M/d/yy").alias("text")),
+              F.struct(F.lit(101).alias("form"), F.when(late, F.date_format("d", "dd.MM.yyyy")).alias("text")),
+              F.struct(F.lit(102).alias("form"), F.when(late, F.date_format("d", "d/M/yyyy")).alias("text")),
+              F.struct(F.lit(103).alias("form"), F.date_format("d", "MMMM yyyy").alias("text")),
+              F.struct(F.lit(104).alias("form"), F.date_format("d", "yyyy-MM-dd' 25:61'").alias("text"))]
+    rows = o.select("o_orderkey", F.explode(F.array(*forms)).alias("f")).select("o_orderkey", "f.form", "f.text")
+    return rows.select("o_orderkey", "form", V.date_norm("text").alias("day"))
 
 
 QUERIES.update({
     "csv_scan": q_csv_scan,
     "property_scan": q_property_scan,
     "csv_roundtrip": q_csv_roundtrip,
+    "multi_bucket_write": q_multi_bucket_write,
+    "tenant_database": q_tenant_database,
+    "diagnostics": q_diagnostics,
+    "date_forms": q_date_forms,
     "typed_view": q_typed_view,
     "catalog_query": q_catalog_query,
     "queue_pending": q_queue_pending,

@@ -7,6 +7,7 @@ when the session has none (tests, local runs) do we create one.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,11 +44,16 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared scratch root: ``spark.checkpoint.dir`` or, if unset, a new local one."""
+    """The shared scratch root: ``spark.checkpoint.dir``, which every cluster must name.
+
+    Only a local master (tests, one machine) gets a folder of its own if unset:
+    on a cluster each executor would write to its own disk.
+    """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # Only reached when nobody configured a shared folder (tests, local runs).
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {sc.master}")
         root = tempfile.mkdtemp(prefix="eavflow-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -57,3 +63,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared scratch root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a path in any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as a listing spells it (``file:///x``)."""
+    fs, p = file_system(spark, path)
+    return re.sub("^file:/+", "file:///", fs.makeQualified(p).toString())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)

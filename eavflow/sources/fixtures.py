@@ -3,7 +3,7 @@
 The record format has no public sample data, so the test inputs are spelled
 from ``orders``, ``lineitem``, ``nation``, ``region``, ``supplier``, ``part``
 and ``customer`` (and ``events`` for a second shape).  Files are simulated by
-``src = 'f' || o_orderkey % 4``; ``ord`` is the row's place inside its file.
+``src = 'f' || o_orderkey % 4``; ``ord`` (decimal(38,0)) is the row's place inside its file.
 Every row is produced by a narrow projection or one N:1 join with a dimension,
 so building the fixture is a map-only job apart from that join.
 
@@ -18,17 +18,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HEADER_COLS = ["filename", "yearend", "entityid", "entityname", "bundleguid",
-               "lastmodified", "cwguid"]
+from eavflow.functions import paths as P
+from eavflow.plans.spec import HEADER_COLS, RECORD_COLS
+from eavflow.session import file_system, scratch_path
+
 EAV_COLS = ["src", "ord"] + HEADER_COLS + ["form", "group_", "id", "data"]
 
 # Fixed values of the fixture recipe (shared with the SQL oracle).
 N_FILES = 4
 SENTINEL_KNOWN = "111111111111"
 SENTINEL_UNKNOWN = "222222222222"
-LINK_ORD_BASE = 10 ** 18          # link rows come after everything else
 LOOKUP_ORD_BASE = 2 * 10 ** 17    # lookup rows sit between records and links
 LOOKUP_CLASS_STEP = 10 ** 12
+ORD = "decimal(38,0)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,14 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrives in fewer partitions than cores.
+    """Deal the rows of a source table out evenly before rows are generated from them.
 
-    The test tables are single-row-group files, read by one task each; the
-    generated rows (3x lineitem, 12x orders) would otherwise be produced and
-    pre-aggregated by that one task.  Real record sets are many files.
+    The test tables are single-row-group files, read by one task each; real
+    record sets are many files.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _s(c) -> Column:
@@ -106,7 +106,7 @@ def record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("a.data").alias("data"), ok.alias("_ok"), ck.alias("_ck"),
                      F.col("o_orderdate"), F.col("c_name")))
     return rows.select(
-        "src", "ord",
+        "src", F.col("ord").cast(ORD).alias("ord"),
         F.concat(F.col("src"), F.lit(".csv")).alias("filename"),
         _s(F.year("o_orderdate")).alias("yearend"),
         _s("_ck").alias("entityid"),
@@ -124,7 +124,6 @@ def link_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     ok, ln, pk, sk = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     odd = ln % 2 == 1
-    base = F.lit(LINK_ORD_BASE) + (((ok * 8 + ln) * 262144 + pk) * 16384 + sk) * 4
     arr = F.array(
         F.struct(F.lit(0).alias("j"), F.lit("MEMBER_B").alias("id"), _cat("R", ok).alias("data")),
         F.struct(F.lit(1).alias("j"), F.lit("RELATION_TYPE").alias("id"),
@@ -133,11 +132,12 @@ def link_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.when(odd, _cat("C", sk)).otherwise(_cat("I", pk)).alias("data")),
     )
     src = _cat("f", ok % N_FILES)
+    # decimal places of their own for each key: 12 + 1 + 11 + 10 + 1 digits, after every other row
+    at = F.concat(_s(ok), _s(ln), F.lpad(_s(pk), 11, "0"), F.lpad(_s(sk), 10, "0"))
     return _with_headers(
-        li.select(src.alias("src"), base.alias("_base"),
-                  _cat("L", ok, "-", ln, "-", pk, "-", sk).alias("form"),
-                  F.explode(arr).alias("a"))
-          .select("src", (F.col("_base") + F.col("a.j")).alias("ord"), "form",
+        li.select(src.alias("src"), _cat("L", ok, "-", ln, "-", pk, "-", sk).alias("form"),
+                  at.alias("_at"), F.explode(arr).alias("a"))
+          .select("src", F.concat("_at", _s("a.j")).cast(ORD).alias("ord"), "form",
                   F.lit("LINK").alias("group_"), F.col("a.id").alias("id"),
                   F.col("a.data").alias("data")))
 
@@ -154,7 +154,7 @@ def _per_file(df: DataFrame, cls: int, key: Column) -> DataFrame:
     files = F.array(*[F.lit(f"f{i}") for i in range(N_FILES)])
     return _with_headers(
         df.select(F.explode(files).alias("src"),
-                  (F.lit(LOOKUP_ORD_BASE + cls * LOOKUP_CLASS_STEP) + key).alias("ord"),
+                  (F.lit(LOOKUP_ORD_BASE + cls * LOOKUP_CLASS_STEP) + key).cast(ORD).alias("ord"),
                   "form", "group_", "id", "data"))
 
 
@@ -207,24 +207,36 @@ def eav_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second shape: append-only events as EAV rows.
+    """Second shape: append-only events as EAV rows, ord = event id * 4 + row of the event.
 
-    form = user id, id = event type, data = value (2 decimals), ord = event id,
-    group ``EVENT``; one simulated file per ``user_id % 4``.
+    form = user id, id = event type, data = value (2 decimals), group
+    ``EVENT``; one simulated file per ``user_id % 4``.  A signup also writes
+    the user's plan code, a view a three-way flag; plan names stand in every file.
     """
     e = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
-    uid = F.col("user_id")
+    uid, eid, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
     src = _cat("e", uid % N_FILES)
-    return e.select(
-        src.alias("src"), F.col("event_id").alias("ord"),
+    attr = F.filter(F.array(
+        F.struct(F.lit(0).alias("j"), kind.alias("id"), F.col("value").cast("decimal(18,2)").cast("string").alias("data")),
+        F.when(kind == "signup", F.struct(F.lit(1).alias("j"), F.lit("plan").alias("id"), _cat("P", uid % 7).alias("data"))),
+        F.when(kind == "view", F.struct(F.lit(2).alias("j"), F.lit("active").alias("id"), _s(eid % 3).alias("data"))),
+    ), lambda x: x.isNotNull())
+    rows = e.select(
+        src.alias("src"), eid.alias("_e"),
         F.concat(src, F.lit(".csv")).alias("filename"),
         _s(F.year("ts")).alias("yearend"), _s(uid).alias("entityid"),
         _cat("user-", uid).alias("entityname"), _cat("bundle-", src).alias("bundleguid"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("lastmodified"),
-        _s(F.col("event_id")).alias("cwguid"),
-        _cat("U", uid).alias("form"), F.lit("EVENT").alias("group_"),
-        F.col("event_type").alias("id"),
-        F.col("value").cast("decimal(18,2)").cast("string").alias("data"))
+        _s(eid).alias("cwguid"), _cat("U", uid).alias("form"), F.lit("EVENT").alias("group_"),
+        F.explode(attr).alias("a"))
+    rows = rows.withColumns({"ord": (F.col("_e") * 4 + F.col("a.j")).cast(ORD), "id": F.col("a.id"), "data": F.col("a.data")})
+    n = table(spark, sf_dir, "nation").where("n_nationkey < 5")
+    files = F.array(*[F.lit(f"e{i}") for i in range(N_FILES)])
+    names = _with_headers(n.select(
+        F.explode(files).alias("src"), (F.lit(LOOKUP_ORD_BASE) + F.col("n_nationkey")).cast(ORD).alias("ord"),
+        _cat("P", F.col("n_nationkey")).alias("form"), F.lit("FRFTYPE").alias("group_"),
+        F.lit("FRFTYPENAME").alias("id"), _cat("Plan ", F.col("n_name")).alias("data")))
+    return rows.select(*EAV_COLS).unionByName(names.select(*EAV_COLS))
 
 
 # ---------------------------------------------------------------------------
@@ -270,14 +282,17 @@ def property_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("url").alias("src"), F.explode(props).alias("propertyname"))
 
 
+OUT_ROOT = "s3://outputs"     # where the path fixtures say outputs lie
+
+
 def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files already processed: ``page_id % 9 < 2``."""
     o = record_objects(spark, sf_dir).where(F.col("page_id") % 9 < 2)
     return o.select(F.col("url").alias("src"), "bucket",
                     F.lit(LEDGER_TS).cast("bigint").alias("ts"),
                     F.lit("converted").alias("status"),
-                    F.concat(F.lit("s3://"), F.col("bucket"), F.lit("/"),
-                             F.regexp_replace("key", "/cv/", "/cvrisk/")).alias("detail"))
+                    F.when(P.path_parts("url")["ok"], P.output_location("url", OUT_ROOT))
+                     .otherwise(F.lit("unsupported path")).alias("detail"))
 
 
 def output_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,8 +301,8 @@ def output_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queue puts (with repeats): even page ids, twice when ``page_id % 10 == 0``."""
-    o = record_objects(spark, sf_dir).where(F.col("page_id") % 2 == 0)
+    """Queue puts of every record object, twice when ``page_id % 10 == 0``."""
+    o = record_objects(spark, sf_dir)
     reps = F.when(F.col("page_id") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return o.select(F.col("url").alias("src"), "bucket", F.explode(reps).alias("put_no"))
 
@@ -296,39 +311,65 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON upload notification per page (text column ``body``).
 
     Keys are percent/plus-encoded; every third page carries a second record
-    for a ``/metadata/`` object, which intake must skip.
+    for a ``/metadata/`` object and every fourth one for a ``.json`` object
+    among the records, which intake must skip.
     """
     o = objects(spark, sf_dir).select("page_id", "bucket", "tenant")
     pid = F.col("page_id")
     enc_cv = F.concat(F.col("tenant"), F.lit("/cv/report+"), _s(pid), F.lit("%26v1.csv"))
     enc_md = F.concat(F.col("tenant"), F.lit("/metadata/report+"), _s(pid), F.lit(".csv"))
+    enc_js = F.concat(F.col("tenant"), F.lit("/cv/report+"), _s(pid), F.lit(".json"))
 
     def rec(key):
         return F.concat(F.lit('{"s3":{"bucket":{"name":"'), F.col("bucket"),
                         F.lit('"},"object":{"key":"'), key, F.lit('"}}}'))
     body = F.concat(F.lit('{"Records":['), rec(enc_cv),
                     F.when(pid % 3 == 0, F.concat(F.lit(","), rec(enc_md))).otherwise(F.lit("")),
+                    F.when(pid % 4 == 0, F.concat(F.lit(","), rec(enc_js))).otherwise(F.lit("")),
                     F.lit("]}"))
     return o.select("page_id", body.alias("body"))
 
 
-def write_record_files(rec: DataFrame, root: str, files=None, reverse_header=()) -> None:
-    """Write EAV rows as CSV record files, one file per ``src`` in ``root/file=<src>/``.
+def file_url(k: int) -> str:
+    """The URL of fixture file ``f<k>``: four tenants in two buckets."""
+    return f"s3://b{k % 2}/tenant-{k}/cv/f{k}.csv"
+
+
+def with_urls(rec: DataFrame, urls: dict[str, str] | None = None) -> DataFrame:
+    """The EAV fixture with record URLs for its simulated files."""
+    urls = urls or {f"f{k}": file_url(k) for k in range(N_FILES)}
+    src = F.col("src")
+    for old, new in urls.items():
+        src = F.when(F.col("src") == old, F.lit(new)).otherwise(src)
+    return rec.withColumn("src", src)
+
+
+def put(spark: SparkSession, path: str, text: str) -> None:
+    """One small object."""
+    fs, p = file_system(spark, path)
+    out = fs.create(p)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def write_objects(rec: DataFrame, paths: dict[str, str], columns: list[str] = RECORD_COLS) -> None:
+    """Write the simulated files in ``paths`` (src -> path) as CSV objects of exactly that name.
 
-    Rows keep their ``ord`` order inside the file; files named in
-    ``reverse_header`` get the columns in reverse order (a second header).
+    Rows keep their ``ord`` order; ``columns`` is the header, unknown ones empty.
     """
-    cols = HEADER_COLS + ["form", "group_", "id", "data"]
-    if files is not None:
-        rec = rec.where(F.col("src").isin(list(files)))
-    for rev in (False, True):
-        part = rec.where(F.col("src").isin(list(reverse_header)) if rev
-                         else ~F.col("src").isin(list(reverse_header)) if reverse_header else F.lit(True))
-        if rev and not reverse_header:
-            continue
-        order = list(reversed(cols)) if rev else cols
-        (part.select(F.col("src").alias("file"), "ord", *order)
-             .repartition("file").sortWithinPartitions("file", "ord").drop("ord")
-             .write.mode("append").partitionBy("file")
-             .option("header", "true").option("escape", '"').option("emptyValue", "").option("nullValue", "")
-             .csv(root))
+    spark = rec.sparkSession
+    tmp = scratch_path(spark, "objects")
+    cols = [F.col(c) if c in RECORD_COLS else F.lit("").alias(c) for c in columns]
+    (rec.where(F.col("src").isin(list(paths))).select(F.col("src").alias("_file"), "ord", *cols)
+        .repartition("_file").sortWithinPartitions("_file", "ord").drop("ord")
+        .write.partitionBy("_file")
+        .option("header", "true").option("escape", '"').option("emptyValue", "").option("nullValue", "")
+        .csv(tmp))
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    for src, path in paths.items():
+        fs, folder = file_system(spark, f"{tmp}/_file={src}")
+        target = jpath(path)
+        fs.mkdirs(target.getParent())
+        part = next(f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+        if not fs.rename(part, target):
+            raise OSError(f"cannot place {path}")

@@ -28,6 +28,5 @@ def decode(notes: DataFrame, body: str = "body") -> DataFrame:
 
 
 def record_uploads(notes: DataFrame, body: str = "body") -> DataFrame:
-    """I1 filter: only uploads of record files (keyword in the key)."""
-    d = decode(notes, body)
-    return d.where(F.col("key").contains(P.RECORD_KEYWORD))
+    """I1 filter: only uploads of record files (keyword in the key, suffix at its end)."""
+    return decode(notes, body).where(P.is_record_key("key"))

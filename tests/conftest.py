@@ -9,8 +9,10 @@ from eavflow.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = get_session(master="local[*]", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    # the shared folder that a cluster would name
+    shared = tmp_path_factory.mktemp("shared")
+    s = get_session(master="local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": f"file://{shared}"})
     yield s
 
 

@@ -3,13 +3,17 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from eavflow import session
+from eavflow.functions import paths as P
 from eavflow.operators import select as SEL
-from eavflow.plans import pipeline, writer
+from eavflow.plans import catalog, pipeline, run, writer
 from eavflow.plans.spec import RISK_TEMPLATE
-from eavflow.sources import notifications
+from eavflow.sources import listing, notifications
 from eavflow.sources.records import read_records
+from eavflow.sources.tables import read_ledger
 from eavflow.streaming import convert as SC
 from eavflow.streaming import intake
 from tests.conftest import eav
@@ -57,7 +61,7 @@ def test_csv_write_read_roundtrip(spark):
     writer.write_view(view, out, RISK_TEMPLATE.columns)
     back = writer.read_view(spark, out, RISK_TEMPLATE.columns).collect()
     assert len(back) == 1 and back[0]["desc"] == 'say "hi", ok' and back[0].r_forward is None
-    assert back[0].tenant == "t-1" and back[0].file == "f.csv"
+    assert (back[0].bucket, back[0].tenant, back[0].file) == ("b", "t-1", "f.csv")
     # rerun replaces only that file's folder
     writer.write_view(view, out, RISK_TEMPLATE.columns)
     assert writer.read_view(spark, out, RISK_TEMPLATE.columns).count() == 1
@@ -99,23 +103,161 @@ def test_intake_stream_dedupes_and_reruns(spark):
     assert sorted(r.src for r in spark.read.parquet(q).collect()) == ["s3://bk/t/cv/1.csv", "s3://bk/t/cv/2.csv"]
 
 
-def test_stream_equals_batch(spark):
-    root = tempfile.mkdtemp(prefix="eav-in-")
-    rows = [("R1", "RISK", "R_IDENTIFIER", "R1"), ("R1", "RISK", "R_FSA", "GRP1"),
-            ("GRP1", "FSA", "FSA_NAME", "N1")]
-    for name in ("x", "y"):
-        rec = eav(spark, rows, name)
-        (rec.select(*[c for c in rec.columns if c not in ("src", "ord")])
-            .coalesce(1).write.option("header", "true").option("escape", '"').csv(f"{root}/{name}"))
+def test_outputs_of_two_buckets_do_not_meet(spark):
+    """Same tenant and file in two buckets; a file that has no record any more has an empty output."""
+    rows = [("R1", "RISK", "R_IDENTIFIER", "R1")]
+    urls = ["s3://b1/t/cv/x.csv", "s3://b2/t/cv/x.csv", "s3://b2/t/cv/a=b %.csv"]
+    rec = eav(spark, rows, urls[0]).unionByName(eav(spark, rows, urls[1])).unionByName(eav(spark, rows, urls[2]))
+    view = pipeline.convert(rec, RISK_TEMPLATE).view
     out = tempfile.mkdtemp(prefix="eav-out-")
+    writer.write_view(view.where(F.col("src") == urls[0]), out, RISK_TEMPLATE.columns)
+    writer.write_view(view.where(F.col("src") != urls[0]), out, RISK_TEMPLATE.columns)
+    back = lambda: sorted((r.bucket, r.file) for r in writer.read_view(spark, out, RISK_TEMPLATE.columns).collect())
+    assert back() == [("b1", "x.csv"), ("b2", "a=b %.csv"), ("b2", "x.csv")]
+    at = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(P.output_location("u", out)).collect()]
+    assert all(os.path.isdir(a) for a in at)
+    writer.write_empty(spark, at[1:], RISK_TEMPLATE.columns)
+    assert back() == [("b1", "x.csv")] and all(os.listdir(a) for a in at)
+
+
+def test_paths_are_decoded_and_escaped(spark):
+    d = tempfile.mkdtemp(prefix="eav-names-")
+    names = ["report 1&v1.csv", "a%20b.csv", "x[1].csv", "p+q.csv", "{z}*?.csv", "ü.csv"]
+    for n in names:
+        _write(d, n, HDR + "\n" + "f,2020,1,E,b,t,c,R1,R_IDENTIFIER,R1,RISK,z\n")
+    rec = read_records(spark, [f"{d}/{n}" for n in names])
+    assert sorted(os.path.basename(r.src) for r in rec.collect()) == sorted(names)
+    listed = {r.path for r in listing.list_objects(spark, d, suffix=".csv").collect()}
+    assert listed == {r.src for r in rec.select("src").collect()}
+
+
+def test_scan_jobs_and_driver_rows_do_not_grow_with_files(spark):
+    """One plan for many headers; nothing but a number reaches the driver."""
+    sc = spark.sparkContext
+
+    def jobs(n):
+        d = tempfile.mkdtemp(prefix="eav-many-")
+        for i in range(n):
+            cols = HDR.split(",")
+            cols = cols[i % len(cols):] + cols[:i % len(cols)]
+            _write(d, f"{i}.csv", ",".join(cols) + "\n" + ",".join(cols) + "\n")
+        sc.setJobGroup(f"scan-{n}", "")
+        got = read_records(spark, d)
+        rows = got.collect()
+        assert len(rows) == n and all(r.form == "form" and r.data == "data" for r in rows)
+        return len(sc.statusTracker().getJobIdsForGroup(f"scan-{n}"))
+    assert jobs(30) <= jobs(3) + 2      # a listing of many paths is a job of its own
+
+
+def _bucket():
+    root = tempfile.mkdtemp(prefix="eav-bucket-")
+    line = "f,2020,1,E,b,t,c,{0},R_IDENTIFIER,{0},RISK,z\n"
+    for path, text in {
+            "b/t/cv/ok 1.csv": HDR + "\n" + line.format("R1") + line.format("R2"),
+            "b/t/metadata/ok 1.csv": "propertyname\nCWAuditSource\n",
+            "b/t/cv/none.csv": HDR + "\n", "b/t/metadata/none.csv": "x,propertyname\n1,CWAuditSource\n",
+            "b/t/cv/no-sidecar.csv": HDR + "\n" + line.format("R3"),
+            "b/t/cv/empty-sidecar.csv": HDR + "\n" + line.format("R4"), "b/t/metadata/empty-sidecar.csv": "",
+            "b/t/cv/deep/d.csv": HDR + "\n", "b/t/cv/a.json": "{}", "b/t/cvrisk/old.csv": HDR + "\n" + line.format("R5"),
+            "b2/t/cv/ok 1.csv": HDR + "\n" + line.format("R6"), "b2/t/metadata/ok 1.csv": "propertyname\nCWAuditSource\n"}.items():
+        _write(os.path.join(root, os.path.dirname(path)), os.path.basename(path), text)
+    return P.Store(root)
+
+
+WANT = {"s3://b/t/cv/ok 1.csv": ("converted", 2), "s3://b/t/cv/none.csv": ("converted", 0),
+        "s3://b/t/cv/no-sidecar.csv": ("rejected", None), "s3://b/t/cv/empty-sidecar.csv": ("rejected", None),
+        "s3://b/t/cv/deep/d.csv": ("bad_path", None), "s3://b2/t/cv/ok 1.csv": ("converted", 1)}
+
+
+def test_backfill_over_a_real_bucket(spark):
+    store, out = _bucket(), tempfile.mkdtemp(prefix="eav-out-") + "/o"
     led = tempfile.mkdtemp(prefix="eav-led-") + "/l"
-    ck = tempfile.mkdtemp(prefix="eav-ck-")
-    SC.run_conversion_stream(spark, root, out, led, None, 1, ck)
-    SC.run_conversion_stream(spark, root, out, led, None, 2, ck)       # rerun: nothing new
-    streamed = writer.read_view(spark, out, RISK_TEMPLATE.columns).drop("tenant", "file")
-    batch = pipeline.wide_view(read_records(spark, root + "/*/*.csv"), RISK_TEMPLATE).drop("src")
-    # the CSV sink writes null and '' alike, so compare with '' read as null
-    norm = lambda rows: sorted(str(tuple(None if v == "" else v for v in r)) for r in rows)
-    assert norm(streamed.collect()) == norm(batch.collect())
-    assert spark.read.parquet(led).count() == 2
-    assert [r.fsa for r in streamed.collect()] == ["N1", "N1"]
+    before = set(os.listdir(session.checkpoint_root(spark).removeprefix("file:")))
+    got = {r.src: r for r in run.backfill(spark, store, "", out, led, 7, max_files=4).collect()}
+    assert {k: (r.status, r.n_records) for k, r in got.items()} == WANT
+    assert all(os.path.isdir(r.detail) for r in got.values() if r.status == "converted")
+    back = writer.read_view(spark, out, RISK_TEMPLATE.columns).collect()
+    assert sorted((r.bucket, r.file, r.rid) for r in back) == [("b", "ok 1.csv", "R1"), ("b", "ok 1.csv", "R2"), ("b2", "ok 1.csv", "R6")]
+    # a second run finds nothing; without its ledger it finds the outputs
+    assert run.backfill(spark, store, "", out, led, 8).where("ts = 8").count() == 0
+    again = {r.src: r.status for r in run.backfill(spark, store, "", out, led + "2", 9).collect()}
+    assert {k for k, v in again.items() if v == "already_converted"} == {k for k, v in WANT.items() if v[0] == "converted"}
+    # no staged table is left behind
+    assert set(os.listdir(session.checkpoint_root(spark).removeprefix("file:"))) == before
+
+
+def test_stream_sees_late_sidecars_and_replays_safely(spark):
+    store, out = _bucket(), tempfile.mkdtemp(prefix="eav-out-") + "/o"
+    led, ck = tempfile.mkdtemp(prefix="eav-led-") + "/l", tempfile.mkdtemp(prefix="eav-ck-")
+    times = iter(range(100, 200))
+    go = lambda c: SC.run_conversion_stream(spark, store, "", out, led, c, clock=lambda: next(times))
+    go(ck)
+    line = "f,2020,1,E,b,t,c,R9,R_IDENTIFIER,R9,RISK,z\n"
+    _write(f"{store.root.removeprefix('file://')}b/t/metadata", "late.csv", "propertyname\nCWAuditSource\n")
+    _write(f"{store.root.removeprefix('file://')}b/t/cv", "late.csv", HDR + "\n" + line)
+    go(ck)
+    go(tempfile.mkdtemp(prefix="eav-ck-"))      # every batch again
+    got = {r.src: (r.status, r.n_records) for r in read_ledger(spark, led).collect()}
+    assert got == WANT | {"s3://b/t/cv/late.csv": ("converted", 1)}
+    assert spark.read.parquet(led).count() == len(got)
+    assert writer.read_view(spark, out, RISK_TEMPLATE.columns).count() == 4
+
+
+def test_diagnostics_are_written_beside_the_outputs(spark):
+    store, out = _bucket(), tempfile.mkdtemp(prefix="eav-out-") + "/o"
+    _write(f"{store.root.removeprefix('file://')}b/t/cv", "ok 1.csv", HDR + "\n" +
+           "f,2020,1,E,b,t,c,R1,ISMODDATE,no date,RISK,z\n" + "f,2020,1,E,b,t,c,R1,R_FSA,GRP9,RISK,z\n")
+    run.backfill(spark, store, "b", out, out + "-ledger", 7)
+    got = spark.read.parquet(f"{out}/{run.DIAGNOSTICS}").collect()
+    assert sorted((r.src, r.form, r.token, r.reason) for r in got) == [
+        ("s3://b/t/cv/ok 1.csv", "R1", "GRP9", "no lookup row"), ("s3://b/t/cv/ok 1.csv", "R1", "no date", "unreadable date")]
+
+
+def test_json_uploads_are_not_queued(spark):
+    body = '{"Records":[{"s3":{"bucket":{"name":"bk"},"object":{"key":"t/cv/a.json"}}}]}'
+    assert notifications.record_uploads(spark.createDataFrame([(body,)], "body string")).count() == 0
+
+
+def test_ledger_errors_are_raised(spark):
+    d = tempfile.mkdtemp(prefix="eav-led-")
+    assert read_ledger(spark, d + "/not-there").count() == 0
+    _write(d + "/bad", "part-0.parquet", "this file does not exist as parquet")
+    with pytest.raises(Exception):
+        read_ledger(spark, d + "/bad").collect()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        def __init__(self, master, root=None):
+            self.master, self.root = master, root
+
+        def getCheckpointDir(self):
+            return self.root
+
+        def setCheckpointDir(self, d):
+            self.root = d
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        def __init__(self, *a):
+            self.sparkContext = Context(*a)
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            session.checkpoint_root(Session(master))
+    assert session.checkpoint_root(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert os.path.isdir(session.checkpoint_root(Session("local[8]")))
+
+
+def test_catalog_names_and_locations_are_checked(spark):
+    for bad in ("a b", "a;drop", "a.b.c", "1a", "a`"):
+        with pytest.raises(ValueError):
+            catalog.create_database(spark, bad)
+    with pytest.raises(ValueError):
+        catalog.register_csv_table(spark, "t", "/x\ny")
+    where = tempfile.mkdtemp(prefix="eav-it's-")
+    catalog.create_database(spark, "quoted_db", where)
+    assert "it's" in spark.sql("DESCRIBE DATABASE quoted_db").where("info_name = 'Location'").first()[1]
+    spark.sql("DROP DATABASE quoted_db")
+    assert catalog.db_name("a-b-c") == "tenant_abc" and catalog.db_name("a-b", "p_") == "p_ab"

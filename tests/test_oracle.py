@@ -11,7 +11,8 @@ from tools.check_oracle import TABLES, digest
 SF = "/root/testdata/sf0.001"
 FAST = ["wide_view", "pivot_last", "last_attrs", "token_names", "token_labels", "link_item",
         "date_norm", "path_parts", "notif_decode", "convert_status", "ledger_upsert",
-        "second_template", "csv_roundtrip", "queue_pending"]
+        "second_template", "csv_roundtrip", "queue_pending", "multi_bucket_write", "diagnostics",
+        "date_forms", "csv_scan", "tenant_database", "catalog_query"]
 
 
 @pytest.fixture(scope="module")
@@ -51,11 +52,22 @@ def test_entry_smoke(spark):
 
 
 def test_flagship_plan_shape(spark):
-    """No cross / nested-loop joins, no Python evaluation, no estimate-based broadcast."""
+    """The plan that ran: no cross or nested-loop joins, no Python, every broadcast asked for by a checked size."""
     df = E.queries()["wide_view"](spark, SF)
-    df.write.format("noop").mode("overwrite").save()
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan, bad
     # the staged index is read with partition pruning on ``kind``
-    assert "PartitionFilters: [isnotnull(kind" in plan or "kind = " in plan
+    assert "kind = R" in plan and "kind = D" in plan
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+
+
+def test_jobs_do_not_grow_with_records(spark):
+    sc, n = spark.sparkContext, {}
+    for sf in (SF, SF.replace("0.001", "0.01")):
+        sc.setJobGroup(sf, "")
+        E.queries()["wide_view"](spark, sf).write.format("noop").mode("overwrite").save()
+        n[sf] = len(sc.statusTracker().getJobIdsForGroup(sf))
+    assert len(set(n.values())) == 1, n

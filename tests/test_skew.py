@@ -1,13 +1,14 @@
-"""A code used by almost every record (a hot join key) under forced skew splitting."""
+"""A code used by almost every record: a hot join key, with dictionaries below and beyond the broadcast limit."""
 
 from pyspark.sql import functions as F
 
+from eavflow.operators import skew
 from eavflow.plans import pipeline
 from eavflow.plans.spec import RISK_TEMPLATE
 from tests.conftest import EAV_SCHEMA
 
 
-def test_hot_code_and_hot_target(spark):
+def test_hot_code_and_hot_target(spark, monkeypatch):
     n = 3000
     rows = spark.range(n).select(
         F.lit("f").alias("src"), (F.col("id") * 4).alias("ord"),
@@ -32,20 +33,31 @@ def test_hot_code_and_hot_target(spark):
         ("f", 10**9 + 3, None, None, None, None, None, None, None, "AOF", "ASSERT", "AO1", "x|Label"),
         ("f", 10**9 + 4, None, None, None, None, None, None, None, "C1", "CONTROL", "C_NAME", "Ctrl")], EAV_SCHEMA)
     rec = rows.unionByName(links).unionByName(dicts)
-    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        view = pipeline.wide_view(rec, RISK_TEMPLATE).groupBy("fsa", "assert", "assocd_ctrl").count().collect()
-    finally:
-        for k, v in old.items():
-            if v is not None:
-                spark.conf.set(k, v)
-    got = {(r.fsa, r["assert"], r.assocd_ctrl): r["count"] for r in view}
-    assert got == {("Hot", "Label", "Ctrl"): n - n // 10, ("Cold", "", "Ctrl"): n // 10}
+    want = {("Hot", "Label", "Ctrl"): n - n // 10, ("Cold", "", "Ctrl"): n // 10}
+    seen = {}
+    for limit in (skew.BROADCAST_BYTES, 0):         # dictionaries below and beyond the limit
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", limit)
+        view = pipeline.wide_view(rec, RISK_TEMPLATE)
+        out = view.groupBy("fsa", "assert", "assocd_ctrl").count()
+        got = {(r.fsa, r["assert"], r.assocd_ctrl): r["count"] for r in out.collect()}
+        assert got == want
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        seen[limit] = plan.split("== Initial Plan ==")[0].count("LeftSemi"), plan.count("LeftAnti")
+    # small: broadcast, no split; large: hot codes meet a broadcast of their own rows, the rest is merged
+    assert seen[max(seen)] == (0, 0) and min(seen[0]) > 0
+
+
+def test_hot_key_rows_stay_and_cold_ones_merge(spark, monkeypatch):
+    left = spark.range(5000).select(F.when(F.col("id") < 2500, 1).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.range(0, 5000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).unionByName(
+        spark.createDataFrame([(1, -1)], "k long, v long"))
+    for how in ("left", "inner"):
+        whole = left.join(right, "k", how)
+        for size in (0, skew.BROADCAST_BYTES + 1):
+            out = skew.lookup(left, right, ["k"], how, size)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin" in plan) == (size > 0)
+            assert sorted(map(str, out.select("k", "id", "v").collect())) == sorted(map(str, whole.select("k", "id", "v").collect()))
 
 
 EAV_SCHEMA_COLS = [c.split()[0] for c in EAV_SCHEMA.split(", ")]
