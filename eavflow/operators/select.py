@@ -12,13 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def gate_semi(files: DataFrame, properties: DataFrame, names: Sequence[str],
-              sidecar_of=None) -> DataFrame:
+def gate_semi(files: DataFrame, properties: DataFrame, names: Sequence[str]) -> DataFrame:
     """J6 + P3 + A4: keep files whose sidecar has a row with one of ``names``.
 
-    ``properties`` is (src, propertyname) keyed by the *record* file URL (the
-    sidecar's own URL mapped back by the caller); a missing sidecar has no rows
-    and so fails the gate.
+    ``properties`` is (src, propertyname) keyed by the *record* file URL
+    (``plans.run.sidecar_rows``); a missing sidecar has no rows and so fails the
+    gate.
     """
     ok = properties.where(F.col("propertyname").isin(list(names))).select("src")
     return files.join(ok, "src", "left_semi")
