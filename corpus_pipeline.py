@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eavflow.llm import line_dedup, mixing, packing, quality, simhash
-from eavflow.llm.common import Scratch, col
+from eavflow.llm.common import Scratch, cleared, col
 from eavflow.llm.language_id import held_out
 from eavflow.llm.queries import table, tokenizer_path
 
@@ -78,9 +78,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last stage over all of ``documents``."""
+    """Rows of the last stage over all of ``documents``; what a stage staged goes when its result is written."""
     scratch = Scratch(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
-        docs = scratch.write(stage(spark, docs, sf_dir))
+        with cleared():
+            docs = scratch.write(stage(spark, docs, sf_dir), compression="zstd")
+        scratch.drop(*last)
+        last = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

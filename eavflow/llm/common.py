@@ -11,23 +11,37 @@ import io
 import os
 import zipfile
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from eavflow.session import scratch_path
+from eavflow.session import drop_path, file_system, scratch_path
 
 #: A key with more than 1 / HOT_SHARE of the rows is hot, so at most HOT_SHARE keys are.
 HOT_SHARE = 256
 
 
+_OPEN: list[list[Scratch]] = []
+
+
 class Scratch:
-    """Tables written once under the shared folder.  ``drop`` deletes a table that no plan reads any more."""
+    """Tables written once under the shared folder.
+
+    ``drop`` deletes a table that no plan reads any more, ``close`` all of
+    them.  What a lazy result still reads stays as long as its session, or
+    until the enclosing ``cleared`` block ends.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, scratch_path(spark, name), 0
+        for block in _OPEN:
+            block.append(self)
+
+    def close(self) -> None:
+        drop_path(self.spark, self.root)
 
     def write(self, df: DataFrame, partition_by: Sequence[str] = (), compression: str = "snappy") -> DataFrame:
         self.n += 1
@@ -38,10 +52,19 @@ class Scratch:
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for t in tables:
-            p = jvm.org.apache.hadoop.fs.Path(t._eav_path)
-            p.getFileSystem(conf).delete(p, True)
+            drop_path(self.spark, t._eav_path)
+
+
+@contextmanager
+def cleared():
+    """Deletes at its end what operators staged inside; what is to be kept must be written by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for s in _OPEN.pop():
+            s.close()
 
 
 def _schema(df: DataFrame, partition_by: Sequence[str]):
@@ -146,8 +169,8 @@ def ship(spark: SparkSession) -> None:
                     full = os.path.join(base, n)
                     z.write(full, os.path.relpath(full, os.path.dirname(top)))
     path = f"{scratch_path(spark, 'package')}/eavflow_pkg.zip"
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p)
+    fs, p = file_system(spark, path)
+    out = fs.create(p)
     out.write(bytearray(made.getvalue()))
     out.close()
     sc.addPyFile(path)

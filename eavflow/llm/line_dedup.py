@@ -265,7 +265,9 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
     heads = scratch.write(base.select("text").mapInArrow(_band_rows, "b long, k long").groupBy("b")
                           .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("b"))
     found = scratch.write(_candidates(base, _bit_map(spark, heads)), ["kind"])
-    comps = scratch.write(_components(found, heads, scratch))
+    inner = Scratch(spark, "line-candidates")
+    comps = scratch.write(_components(found, heads, inner))
+    inner.close()
     place = F.struct(F.col("_e_id").isNull().alias("z"), "_e_id", "_e_row", "number")
     lines = found.where("kind = 0").select("_e_row", "_e_id", "number", "key")
     classes = scratch.write(lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")))

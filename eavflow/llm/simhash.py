@@ -162,12 +162,14 @@ def near_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", wo
                                    F.monotonically_increasing_id().alias("_e_row"),
                                    fingerprints(col(text_col), words).alias("fp")))
     first = F.struct(F.col("_e_id").isNull().alias("z"), F.col("_e_id").alias("id"), F.col("_e_row").alias("row"))
-    prints = scratch.write(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("first")))
-    comps = scratch.write(components(links(prints.select("fp"), radius, scratch), scratch))
-    of = scratch.write(prints.join(comps.withColumnRenamed("node", "fp"), "fp", "left")
-                       .withColumn("comp", F.coalesce("comp", "fp")))
-    best = scratch.write(of.groupBy("comp").agg(F.min("first").alias("best"), F.count(F.lit(1)).alias("k")))
+    inner = Scratch(df.sparkSession, "simhash-links")
+    prints = inner.write(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("first")))
+    comps = inner.write(components(links(prints.select("fp"), radius, inner), inner))
+    of = inner.write(prints.join(comps.withColumnRenamed("node", "fp"), "fp", "left")
+                     .withColumn("comp", F.coalesce("comp", "fp")))
+    best = inner.write(of.groupBy("comp").agg(F.min("first").alias("best"), F.count(F.lit(1)).alias("k")))
     found = scratch.write(lookup_join(of.select("fp", "n", "comp"), best, ["comp"], "k").select("fp", "n", "best"))
+    inner.close()
     out = lookup_join(rows, found, ["fp"], "n")
     return out.select(*[F.col("_e_df").getField(c).alias(c) for c in own],
                       F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

@@ -157,23 +157,25 @@ def near_dedup(df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id"
                                    F.monotonically_increasing_id().alias("row"), v.alias("v")))
     good = rows.where(F.col("v").isNotNull() & finite)
     first = F.struct(F.col("_e_id").isNull().alias("z"), F.col("_e_id").alias("id"))
-    nodes = scratch.write(good.groupBy("v").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("m"),
-                                                F.min(first).alias("first"), F.size("v").alias("dim")))
+    inner = Scratch(df.sparkSession, "vector-links")
+    nodes = inner.write(good.groupBy("v").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("m"),
+                                              F.min(first).alias("first"), F.size("v").alias("dim")))
     found = None
     for dim in sorted(r[0] for r in nodes.select("dim").distinct().collect()):
-        part = _join(nodes.where(F.col("dim") == dim).select("node", "m", "v"), dim, cosine, scratch)
+        part = _join(nodes.where(F.col("dim") == dim).select("node", "m", "v"), dim, cosine, inner)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return df.select(*[col(c) for c in own], F.lit(0).cast("long").alias("n_links"),
                          col(id_col).alias("component_id"), F.lit(True).alias("kept"))
-    found = scratch.write(found)
+    found = inner.write(found)
     links = found.where("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))
-    comps = components(found.where("a IS NOT NULL").select("a", "b"), scratch)
-    of = scratch.write(nodes.join(links, "node", "left").join(comps, "node", "left").select(
+    comps = components(found.where("a IS NOT NULL").select("a", "b"), inner)
+    of = inner.write(nodes.join(links, "node", "left").join(comps, "node", "left").select(
         "v", "m", "first", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).cast("long").alias("links"),
         F.coalesce("comp", "node").alias("comp")))
-    best = scratch.write(of.groupBy("comp").agg(F.min("first").alias("best"), F.count(F.lit(1)).alias("k")))
+    best = inner.write(of.groupBy("comp").agg(F.min("first").alias("best"), F.count(F.lit(1)).alias("k")))
     answer = scratch.write(lookup_join(of.drop("first"), best, ["comp"], "k").select("v", "m", "links", "best"))
+    inner.close()
     alone = rows.where(F.col("v").isNull() | ~finite)
     shown = [F.col("_e_df").getField(c).alias(c) for c in own]
     same = F.col("_e_id").eqNullSafe(F.col("component_id"))
