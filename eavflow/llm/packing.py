@@ -12,7 +12,7 @@ or more; as only such bins can move into others, a group hands on its emptiest
 a merge holds at most FAN_IN * (FAN_IN + 1) bins whatever the input.
 
 Tokens: white space never lies inside a token, so words are encoded once and
-looked up afterwards; a worker keeps up to ``KNOWN`` words.
+looked up afterwards; a worker keeps about ``KNOWN`` words.
 
 Defined cases: null text is empty and has the end token alone; repeated rows
 are packed one by one; an empty table gives an empty result.
@@ -32,35 +32,47 @@ from pyspark.sql import types as T
 from eavflow.llm import words as WD
 from eavflow.llm.common import Scratch, arrow_cast, col, nullable, ship, without
 
-SEQUENCE, END_ID, FAN_IN, SLACK, CHUNK, KNOWN = 2048, 0, 8, 8, 100_000, 600_000
+SEQUENCE, END_ID, FAN_IN, SLACK, CHUNK, KNOWN, BYTES = 2048, 0, 8, 8, 100_000, 400_000, 1 << 21
 PIECE = ("piece", "start", "length", "ids")
 RESULT = ("sequence_id", "offset")
-_WORKER: dict = {}      # per worker process: path, tokenizer, ids by word
+_WORKER: dict = {}      # per worker process: path, tokenizer, ids by word (young and old)
 
 
 def tokenizer(path: str):
     from tokenizers import Tokenizer
     if _WORKER.get("path") != path:
-        _WORKER.update(path=path, tokenizer=Tokenizer.from_file(path), ids={})
-    return _WORKER["tokenizer"], _WORKER["ids"]
-
-
-def _learn(words: list[bytes], path: str) -> dict[bytes, bytes]:
-    """Little-endian 32-bit ids of each word, encoding those not known yet as one line each some thousands."""
-    tok, known = tokenizer(path)
-    if len(known) + len(words) > KNOWN:
-        known.clear()
-    new = [w for w in words if w not in known]
-    for lo in range(0, len(new), 20_000):
-        part = [w.decode() for w in new[lo:lo + 20_000]]
+        _WORKER.update(path=path, tokenizer=Tokenizer.from_file(path), young={}, old={})
+    return _WORKER["tokenizer"]
+
+
+def _learn(words: list[bytes], path: str) -> list[bytes]:
+    """Little-endian 32-bit ids of each word, encoding those not known yet as one line each some thousands.
+
+    Known words come in two generations: when the young one is full it becomes
+    the old one, whose words are kept if they are met again.
+    """
+    tok = tokenizer(path)
+    if len(_WORKER["young"]) > KNOWN // 2:
+        _WORKER.update(young={}, old=_WORKER["young"])
+    young, old = _WORKER["young"], _WORKER["old"]
+    new = []
+    for w in words:
+        if w not in young:
+            ids = old.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                young[w] = ids
+    for lo in range(0, len(new), 5_000):
+        part = [w.decode() for w in new[lo:lo + 5_000]]
         e = tok.encode(" ".join(part), add_special_tokens=False)
         starts = np.cumsum([0] + [len(w) + 1 for w in part])[:-1]
-        at = np.array([o[0] for o in e.offsets], np.int64)
+        at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
         ids = np.array(e.ids, "<u4").tobytes()
         cut = np.searchsorted(at, starts).tolist() + [len(at)]
-        for i, w in enumerate(new[lo:lo + 20_000]):
-            known[w] = ids[4 * cut[i]:4 * cut[i + 1]]
-    return known
+        for i, w in enumerate(new[lo:lo + 5_000]):
+            young[w] = ids[4 * cut[i]:4 * cut[i + 1]]
+    return [young[w] for w in words]
 
 
 def token_ids(buf: np.ndarray, offs: np.ndarray, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -69,8 +81,7 @@ def token_ids(buf: np.ndarray, offs: np.ndarray, path: str, end_id: int = END_ID
     _, first, which = np.unique(WD.keys(buf, starts, ends, lower=False), return_index=True, return_inverse=True)
     raw = buf.tobytes()
     words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-    known = _learn(words, path)
-    ids = [known[w] for w in words]
+    ids = _learn(words, path)
     size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     flat, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
     per_word = size[which] if len(which) else np.zeros(0, np.int64)
@@ -96,7 +107,7 @@ def pieces(df: DataFrame, tokenizer_path: str, text_col: str = "text", length: i
     def cut(batches):
         for b in batches:
             buf, offs = WD.as_bytes(b.column("text"))
-            for lo, hi, block, o in WD.pieces(buf, offs, 1 << 22):
+            for lo, hi, block, o in WD.pieces(buf, offs, BYTES):
                 ids, n = token_ids(block, o, tokenizer_path, end_id)
                 k = -(-n // length)
                 row = np.repeat(np.arange(hi - lo), k)
