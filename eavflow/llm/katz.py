@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from eavflow.llm import words as WD
 from eavflow.llm.common import Scratch, arrow_cast, col, lookup_join, nullable, ship, without
 
-K, TAIL, BLOCK, BUCKET = 5, 0.01, 1 << 21, 1 << 20
+K, TAIL, BLOCK, BUCKET = 5, 0.01, 1 << 20, 1 << 19
 END, START = np.uint64(0x9D3F5C1B7A2E4680), np.uint64(0x5B1E93C7D0A8F246)
 RESULT = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
