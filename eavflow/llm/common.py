@@ -110,11 +110,11 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], weight: st
     shuffled by key, where no key can fill a partition.  The rest is a merge
     join whatever its size, so the plan is the same for small and large inputs.
     """
-    total = right.agg(F.sum(weight)).first()[0] or 0
+    total, most = right.agg(F.sum(weight), F.max(weight)).first()
+    if total is None or most * HOT_SHARE <= total:
+        return left.join(right.hint("merge"), list(on))
     is_hot = F.col(weight) * HOT_SHARE > F.lit(total)
     hot = right.where(is_hot)
-    if hot.isEmpty():
-        return left.join(right.hint("merge"), list(on))
     cold = (left.join(F.broadcast(hot.select(*on)), list(on), "left_anti")
             .join(right.where(~is_hot).hint("merge"), list(on)))
     return left.join(F.broadcast(hot), list(on)).unionByName(cold)
@@ -131,12 +131,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """
     e = scratch.write(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                       .where("u <> v").distinct())
-    state = None
     while True:
-        mark = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        if mark == state or not mark[0]:
-            break
-        state = mark
+        ups = e.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+        chained = e.select(F.col("v").alias("u")).join(ups.select("u"), "u", "left_semi")
+        if ups.where("n > 1").select("u").unionByName(chained).isEmpty():
+            break       # every node hangs on one that hangs on none: stars
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
                                                     F.count(F.lit(1)).alias("n")))

@@ -238,7 +238,8 @@ def _components(found: DataFrame, heads: DataFrame, scratch: Scratch) -> DataFra
     members = scratch.write(members.join(comps, "node", "left").select(
         "b", "node", "n", F.coalesce("comp", "node").alias("comp")))
     split = scratch.write(members.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                          .where("lo <> hi").select("b", "n", F.ceil(F.col("n") / TILE).alias("tiles")))
+                          # of two lines the star has compared the only pair
+                          .where("lo <> hi AND n > 2").select("b", "n", F.ceil(F.col("n") / TILE).alias("tiles")))
     tiles = scratch.write(lookup_join(members.select("b", "node", "comp"), split, ["b"], "n")
                           .join(lines.select("node", "line"), "node")
                           .groupBy("b", F.pmod(F.xxhash64("node"), F.col("tiles")).alias("tile"))
