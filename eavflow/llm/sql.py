@@ -36,12 +36,12 @@ FROM n
 OP8 = r"""
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-ok AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, c -> c IS NULL OR NOT isfinite(c))) = 0
-         AND len(list_filter(e, c -> c <> 0)) > 0),
+ok AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len([c for c in e if c IS NULL OR NOT isfinite(c)]) = 0
+         AND len([c for c in e if c <> 0]) > 0),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a, ok b
           WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
-reach(vec_id, at) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.at),
-comp AS (SELECT vec_id, min(at) AS component_id FROM reach GROUP BY vec_id)
+reach(vec_id, node) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.node),
+comp AS (SELECT vec_id, min(node) AS component_id FROM reach GROUP BY vec_id)
 SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.vec_id) AS n_links, c.component_id,
        v.vec_id = c.component_id AS kept
 FROM v JOIN comp c USING (vec_id)
