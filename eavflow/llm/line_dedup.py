@@ -52,16 +52,22 @@ def lines_of(text: str | None) -> list[tuple[int, str]]:
     return [(i, s) for i, s in enumerate(x.strip(BLANK) for x in (text or "").split("\n")) if s]
 
 
-def bands(lines: list[str]) -> np.ndarray:
-    """The band keys of each line: (lines, BANDS)."""
-    low = [x.lower() for x in lines]
-    size = np.fromiter(map(len, low), np.int64, len(low))
-    c = np.frombuffer("".join(low).encode("utf-32-le"), np.uint32).astype(np.uint64)
+def _rolling(text: str) -> np.ndarray:
+    """A 64-bit hash of the SHINGLE characters from each place on (the last places reach beyond the text)."""
+    c = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
     h, power, width = c * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1), int(_STEP), 1
     while width < SHINGLE:
         later = np.zeros_like(h)
         later[:max(0, len(h) - width)] = h[width:]
         h, power, width = h * np.uint64(power) + later, power * power % (1 << 64), 2 * width
+    return h
+
+
+def bands(lines: list[str]) -> np.ndarray:
+    """The band keys of each line: (lines, BANDS)."""
+    low = [x.lower() for x in lines]
+    size = np.fromiter(map(len, low), np.int64, len(low))
+    h = _rolling("".join(low))
     n = np.maximum(size - SHINGLE + 1, 1)
     first = np.cumsum(n) - n
     at = np.arange(int(n.sum())) + np.repeat(np.cumsum(size) - size - first, n)
@@ -79,23 +85,25 @@ def bands(lines: list[str]) -> np.ndarray:
     return out
 
 
-def similarity(a: frozenset, b: frozenset) -> float:
-    both = len(a & b)
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two shingle sets."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (len(a) + len(b) - both)
 
 
-def shingles(line: str) -> frozenset:
-    line = line.lower()
-    return frozenset(line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
+def shingles(line: str) -> np.ndarray:
+    """The line's distinct shingles, as sorted 64-bit hashes."""
+    h = _rolling(line.lower())
+    return np.unique(h[:max(1, len(h) - SHINGLE + 1)])
 
 
 class _Sets:
     """Shingle sets by node, forgotten when they hold too much."""
 
-    def __init__(self, most: int = 2_000_000):
+    def __init__(self, most: int = 4_000_000):
         self.sets, self.held, self.most = {}, 0, most
 
-    def of(self, node: int, line: str) -> frozenset:
+    def of(self, node: int, line: str) -> np.ndarray:
         s = self.sets.get(node)
         if s is None:
             if self.held > self.most:

@@ -282,7 +282,8 @@ def lines_by_hand(rows):
         for k, s in line_dedup.lines_of(t):
             lines.setdefault(s, []).append((d is None, d or 0, i, k))
     keys = list(lines)
-    sets = [line_dedup.shingles(k) for k in keys]
+    n = line_dedup.SHINGLE
+    sets = [{k.lower()[i:i + n] for i in range(max(1, len(k.lower()) - n + 1))} for k in keys]
     up = list(range(len(keys)))
 
     def root(x):
@@ -292,7 +293,7 @@ def lines_by_hand(rows):
     for i in range(len(keys)):
         for j in range(i):
             a, b = sets[i], sets[j]
-            if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and line_dedup.similarity(a, b) >= 0.8:
+            if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and len(a & b) >= 0.8 * len(a | b):
                 up[root(i)] = root(j)
     first = {}
     for i, k in enumerate(keys):
