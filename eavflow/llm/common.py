@@ -46,7 +46,8 @@ class Scratch:
     def write(self, df: DataFrame, partition_by: Sequence[str] = (), compression: str = "snappy") -> DataFrame:
         self.n += 1
         path = f"{self.root}/t{self.n}"
-        df.write.partitionBy(*partition_by).option("compression", compression).parquet(path)
+        with shuffles_freed(self.spark):
+            df.write.partitionBy(*partition_by).option("compression", compression).parquet(path)
         out = self.spark.read.schema(_schema(df, partition_by)).parquet(path)
         out._eav_path = path
         return out
@@ -56,6 +57,18 @@ class Scratch:
             drop_path(self.spark, t._eav_path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """What runs inside runs once: its shuffle files go when it ends, not when the driver's collector gets to them."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def cleared():
     """Deletes at its end what operators staged inside; what is to be kept must be written by then."""

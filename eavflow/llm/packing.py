@@ -78,10 +78,8 @@ def _learn(words: list[bytes], path: str) -> list[bytes]:
 def token_ids(buf: np.ndarray, offs: np.ndarray, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by the end id, and each text's number of ids."""
     starts, ends, n = WD.spans(buf, offs)
-    _, first, which = np.unique(WD.keys(buf, starts, ends, lower=False), return_index=True, return_inverse=True)
-    raw = buf.tobytes()
-    words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-    ids = _learn(words, path)
+    which, words = WD.coded(buf, starts, ends, lower=False)
+    ids = _learn(words.to_pylist(), path)
     size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     flat, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
     per_word = size[which] if len(which) else np.zeros(0, np.int64)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavflow.llm import exact_dedup, katz, language_id, line_dedup, mixing, packing, quality, simhash, url_filter, vector_join
+from eavflow.llm import (collocations, exact_dedup, hard_negatives, katz, language_id, line_dedup, mixing, packing, quality,
+                         simhash, substring_dedup, url_filter, vector_join)
 from eavflow.llm.language_id import held_out
 
 
@@ -88,6 +89,23 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.substring_dedup(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    id_, label = F.col("vec_id"), F.col("label")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(id_ % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return hard_negatives.hard_negatives(vectors, id_ % 100 == 0)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
@@ -99,4 +117,7 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -47,8 +47,61 @@ SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.vec_id) AS n_links,
 FROM v JOIN comp c USING (vec_id)
 """
 
+OP11 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 11)) AS i)),
+lo AS (SELECT k, min(doc_id) AS first FROM win GROUP BY k),
+gone AS (SELECT DISTINCT win.doc_id, i + j AS p FROM win JOIN lo USING (k), range(0, 13) t(j) WHERE first < win.doc_id),
+kept AS (SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.p) AS text, count(*) AS n
+         FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w) x
+         ANTI JOIN gone g ON g.doc_id = x.doc_id AND g.p = x.p GROUP BY x.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+OP12 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest([ws[i:i + k - 1] for i in range(1, len(ws) - k + 2)]) AS ws FROM w, range(1, 6) t(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, ws, count(*) AS a FROM g GROUP BY ALL),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 100),
+inner_ AS (SELECT DISTINCT c.lang, c.ws[i:i + m - 1] AS ws, c.a
+           FROM c, range(2, 5) s(m), LATERAL (SELECT unnest(range(1, c.k - m + 2)) AS i) WHERE m < c.k),
+dropped AS (SELECT DISTINCT c.lang, c.ws FROM c JOIN inner_ i ON i.lang = c.lang AND i.ws = c.ws AND 100 * i.a >= 100 * c.a),
+cuts AS (SELECT c.lang, c.ws, c.a, m, x.a AS l, y.a AS r, n.n,
+                (CAST(1000 AS HUGEINT) * c.a * n.n) // (CAST(x.a AS HUGEINT) * y.a) AS score
+         FROM c ANTI JOIN dropped o ON o.lang = c.lang AND o.ws = c.ws JOIN n ON n.lang = c.lang JOIN range(1, 5) t(m) ON m < c.k
+         JOIN f x ON x.lang = c.lang AND x.ws = c.ws[1:m] JOIN f y ON y.lang = c.lang AND y.ws = c.ws[m + 1:]),
+best AS (SELECT *, array_to_string(ws, ' ') AS phrase FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, m) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best QUALIFY rank <= 2000
+"""
+
+OP13 = r"""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+             CAST(list_sum([a.q[i] * b.q[i] for i in range(1, len(a.q) + 1)]) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
+
 SQL = {
     "op1_mix_sources": OP1,
     "op2_exact_dedup": OP2,
     "op8_embedding_dedup": OP8,
+    "op11_substring_dedup": OP11,
+    "op12_collocations": OP12,
+    "op13_hard_negatives": OP13,
 }

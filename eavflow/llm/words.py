@@ -1,8 +1,9 @@
 """Words of many texts at once, as numpy arrays over their UTF-8 bytes.
 
-A word is a run of ``[^\\x20\\x09-\\x0D]``.  Its 64-bit key is a polynomial
-hash over random byte values, the same on every executor; keys of different
-words are the same with a chance of about 2**-64 a pair.
+A word is a run of ``[^\\x20\\x09-\\x0D]``.  Within a batch words are told apart
+by their bytes (``coded``).  Across batches a word's 64-bit key is its XXH3
+hash, the same on every executor; no structure of words makes keys meet, and
+two given words share a key with a chance of about 2**-64.
 """
 
 from __future__ import annotations
@@ -11,33 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_RNG = np.random.Generator(np.random.PCG64(20240607))
-_BASE = int(_RNG.integers(1 << 62, 1 << 63)) * 2 + 1
-_INV = pow(_BASE, -1, 1 << 64)
-_VALUE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
-_VALUE_LOWER = _VALUE[LOWER]
-_POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; the last table is kept, longer texts get a longer one."""
-    if not _POW or max(_POW) < n:
-        size = max(n, 1 << 21)
-        out = []
-        for b in (_BASE, _INV):
-            a = np.full(size, b, dtype=np.uint64)
-            a[0] = 1
-            out.append(np.cumprod(a, dtype=np.uint64))
-        if size > 1 << 23:          # an exceptionally long text: not worth keeping
-            return out[0], out[1]
-        _POW.clear()
-        _POW[size] = (out[0], out[1])
-    return _POW[max(_POW)]
+SEED = 20240607
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -74,9 +55,9 @@ def pieces(buf: np.ndarray, offs: np.ndarray, most: int = 1 << 20) -> Iterator[t
         lo = hi
 
 
-def spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the number of words of each text."""
-    inside = ~SPACE[buf]
+def spans(buf: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the number of words of each text; ``space`` tells the bytes between words."""
+    inside = ~space[buf]
     before = np.zeros(len(buf) + 1, dtype=bool)
     before[1:] = inside
     before[offs[:-1]] = False
@@ -89,14 +70,24 @@ def spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, ends, counts
 
 
+def coded(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[np.ndarray, pa.Array]:
+    """Each span's number among the distinct ones, and these (binary): spans are the same if their bytes are."""
+    size = ends - starts
+    cuts = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    edge = np.zeros(len(buf) + 1, np.int8)
+    edge[starts] = 1
+    edge[ends] -= 1
+    data = buf[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]
+    data = LOWER[data] if lower else data
+    words = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+    found = words.dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
+
+
 def keys(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """The 64-bit key of each span of bytes."""
+    """The 64-bit key of each span of bytes; spans must not overlap."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _powers(len(buf) + 1)
-    run = np.zeros(len(buf) + 1, dtype=np.uint64)
-    v = (_VALUE_LOWER if lower else _VALUE)[buf]
-    v *= up[:len(buf)]
-    np.cumsum(v, out=run[1:])
-    h = (run[ends] - run[starts]) * down[starts]
-    return mix64(h + (ends - starts).astype(np.uint64))
+    code, words = coded(buf, starts, ends, lower)
+    each = np.fromiter((xxhash.xxh3_64_intdigest(w, SEED) for w in words.to_pylist()), np.uint64, len(words))
+    return each[code]
