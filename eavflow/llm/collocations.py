@@ -57,7 +57,9 @@ def parts(buf: np.ndarray, offs: np.ndarray, most: int) -> tuple[np.ndarray, np.
         after = np.flatnonzero(END[buf[offs[i]:offs[i + 1]]]) + offs[i] + 1
         _, last = np.unique((after - offs[i]) // most, return_index=True)
         cuts.append(after[last][1:])
-    out = np.unique(np.concatenate(cuts)) if len(cuts) > 1 else offs
+    if len(cuts) == 1:
+        return offs, np.arange(len(offs) - 1)
+    out = np.unique(np.concatenate(cuts))       # empty texts are left out
     return out, np.searchsorted(offs, out[:-1], "right") - 1
 
 

@@ -212,6 +212,7 @@ def test_long_texts_are_cut_between_pieces():
     buf, offs = words.as_bytes(pa.array([text, "", "short. text", text[:300]]))
     cuts, of = collocations.parts(buf, offs, 500)
     assert set(offs.tolist()) <= set(cuts.tolist()) and all(b - a <= 1100 for a, b in zip(cuts[:-1], cuts[1:]))
+    assert collocations.parts(buf, offs, 1 << 20)[1].tolist() == [0, 1, 2, 3]
     assert of.tolist() == [int(np.searchsorted(offs, a, "right")) - 1 for a in cuts[:-1]]
 
     def neighbours(o):
