@@ -12,8 +12,9 @@ is joined by single spaces.
    its place are found.  Requests are dealt out by hash, summed up per block,
    so a window that a third of all documents hold is one entry per block.
    Windows side by side in a block whose first occurrences lie side by side
-   too make one passage; its words are read from the document it first stands
-   in, once however many blocks ask for it.
+   too make one passage, cut where the first place is a multiple of ``CELL``, so
+   near copies of a text mostly ask for the same passages.  Their words are read
+   from the document they first stand in, once however many blocks ask.
 3. *Location.*  Each block's passages are its shard of the phrase automaton
    (Aho-Corasick, of at most ``SHARD`` characters at a time), and all of its
    documents run through it.  An occurrence counts where the passage comes from
@@ -43,7 +44,7 @@ from eavflow.llm import words as WD
 from eavflow.llm.common import Scratch, arrow_cast, col, lookup_join, nullable, ship, without
 from eavflow.llm.katz import deal, pack, pack_sorted, unpack, unpack_sorted
 
-WINDOW, GRAM, BLOCK, BUCKET, SHARD = 13, 6, 1 << 21, 1 << 20, 1 << 21
+WINDOW, GRAM, BLOCK, BUCKET, SHARD, CELL = 13, 6, 1 << 21, 1 << 20, 1 << 21, 64
 LAST = np.iinfo(np.int64).max       # a null id
 RUNS = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 RESULT = ("n_words", "n_removed", "removed")
@@ -242,7 +243,7 @@ def _passages(base: pa.Table, answers: pa.Table, size: int, gram: int) -> pa.Tab
         first, to = first[some], to[some]
         block, at = blocks[to], places[to]
         new = np.ones(len(first), bool)
-        new[1:] = (first[1:] != first[:-1] + 1) | (block[1:] != block[:-1]) | (at[1:] != at[:-1] + 1)
+        new[1:] = (first[1:] != first[:-1] + 1) | (block[1:] != block[:-1]) | (at[1:] != at[:-1] + 1) | (at[1:] % CELL == 0)
         lo = np.flatnonzero(new)
         n = np.diff(np.append(lo, len(first))) + size - 1
         block, at, n = np.unique(np.stack([block[lo], at[lo], n]), axis=1) if len(lo) else (none, none, none)
