@@ -236,12 +236,13 @@ def mine(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: i
     blocks = base.where("kind = 0").select("block", "at", "code")
     held = base.where("kind = 1").select("block", "number", "lang", "word", "n")
     buckets = (base.where("kind = 0").agg(F.sum("n")).first()[0] or 0) // BUCKET + 1
-    total = held.groupBy("lang").agg(F.sum("n").alias("n"))
+    total = scratch.write(held.groupBy("lang").agg(F.sum("n").alias("n")))
     known = scratch.write(held.groupBy("lang", "word").agg(F.sum("n").alias("a"), F.count(F.lit(1)).alias("blocks")).where(F.col("a") >= least)
                           .withColumn("id", F.monotonically_increasing_id()))
     numbers = lookup_join(held.drop("n"), known, ["lang", "word"], "blocks").select(
         F.col("block").alias("of"), "number", "id")
     now = scratch.write(blocks.groupBy("block").cogroup(numbers.groupBy("of")).applyInArrow(_numbered, _RELATION))
+    scratch.drop(base)
     phrases = known.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a",
                            F.array("a").alias("heads"), F.array("a").alias("tails"))
     found = []
