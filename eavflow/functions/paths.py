@@ -49,6 +49,11 @@ def sibling_path(url, folder: str) -> Column:
                                                         F.lit(folder), p["file"])))
 
 
+def record_of(url) -> Column:
+    """The record URL that a sidecar URL belongs to; null for any other URL."""
+    return F.when(path_parts(url)["folder"] == METADATA_FOLDER, sibling_path(url, RECORD_FOLDER))
+
+
 def build_url(bucket, key, scheme: str = "s3://") -> Column:
     """V8: scheme + bucket + '/' + key."""
     return F.concat(F.lit(scheme), _c(bucket), F.lit("/"), _c(key))

@@ -60,10 +60,16 @@ def has_pending(queue: DataFrame) -> DataFrame:
     return queue.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_pending"))
 
 
+def newest(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """One row per key: the greatest by ``order``, then by the other columns."""
+    rest = [c for c in rows.columns if c != key and c not in order]
+    best = F.max(F.struct(*order, *rest)).alias("_e_r")
+    return rows.groupBy(key).agg(best).select(*[key if c == key else F.col(f"_e_r.{c}").alias(c) for c in rows.columns])
+
+
 def ledger_upsert(old: DataFrame, new: DataFrame) -> DataFrame:
-    """K4: put-by-key; the newest entry (by ``ts``, then new over old) wins."""
-    both = (old.select("src", "bucket", "ts", "status", "detail", F.lit(0).alias("_gen"))
-               .unionByName(new.select("src", "bucket", "ts", "status", "detail", F.lit(1).alias("_gen"))))
-    last = F.max_by(F.struct("bucket", "ts", "status", "detail"), F.struct("ts", "_gen"))
-    return (both.groupBy("src").agg(last.alias("_r"))
-                .select("src", "_r.bucket", "_r.ts", "_r.status", "_r.detail"))
+    """K4: put-by-key; the newest entry by ``ts`` wins, in the same second the later write (``seq``, else new over old)."""
+    cols, made = new.columns, "seq" in new.columns
+    if not made:
+        old, new = old.withColumn("seq", F.lit(0)), new.withColumn("seq", F.lit(1))
+    return newest(old.select(*new.columns).unionByName(new), "src", ["ts", "seq"]).select(*cols)

@@ -433,7 +433,7 @@ props AS (
 ),
 ledger AS (
   SELECT url AS src, bucket, CAST(1700000000 AS BIGINT) AS ts, 'converted' AS status,
-         CASE WHEN page_id % 13 = 0 THEN 'unsupported path' ELSE out_at END AS detail
+         CASE WHEN page_id % 13 = 0 THEN 'unsupported path' ELSE out_at END AS detail, CAST(page_id % 50 AS BIGINT) AS n_records
   FROM recobj WHERE page_id % 9 < 2
 ),
 outputs AS (SELECT url AS src FROM recobj WHERE page_id % 8 = 0),
@@ -537,9 +537,10 @@ def convert_status() -> str:
 
 def ledger_upsert() -> str:
     return f"""WITH {_OBJ}{_outcome_cte()}
-SELECT src, bucket, ts, status, detail FROM ledger
+SELECT src, bucket, ts, status, detail, n_records FROM ledger
 UNION ALL
-SELECT src, bucket, CAST(1700000060 AS BIGINT) AS ts, status, detail FROM outcome
+SELECT src, bucket, CAST(1700000060 AS BIGINT) AS ts, CASE WHEN status = 'rejected' AND bucket = 'b1' THEN 'converted' ELSE status END AS status,
+  detail, CASE WHEN status = 'rejected' AND bucket = 'b1' THEN CAST(7 AS BIGINT) END AS n_records FROM outcome
 WHERE src NOT IN (SELECT src FROM ledger)"""
 
 
@@ -678,6 +679,15 @@ def stream_convert() -> str:
   count(*) OVER (PARTITION BY src) AS n_records FROM wv WHERE src <> 'f3'""")
 
 
+def queue_convert() -> str:
+    return f"SELECT *, CAST(0 AS BIGINT) AS n_waiting FROM ({stream_convert()}) v"
+
+
+def tenant_tables() -> str:
+    return with_fixture(_pv(["R_IDENTIFIER", "R_SIGNIFICANT"]), body=f"""SELECT 'tenant' || substr(src, 2) AS db, {_KEYS},
+  {q('a__R_IDENTIFIER')} AS rid, nullif({yes_no_sql(q('a__R_SIGNIFICANT'))}, '') AS significant FROM pv WHERE src <> 'f3'""")
+
+
 def backfill() -> str:
     url = f"'s3://b' || CAST({_K} % 2 AS VARCHAR) || '/tenant-' || substr(src, 2) || '/cv/' || src || '.csv'"
     at = f"'/bucket=b' || CAST({_K} % 2 AS VARCHAR) || '/tenant=tenant-' || substr(src, 2) || '/file=' || src || '.csv'"
@@ -708,4 +718,8 @@ ORACLES.update({
     "stream_notifications": stream_notifications,
     "stream_convert": stream_convert,
     "backfill": backfill,
+    "crash_replay": stream_convert,
+    "queue_convert": queue_convert,
+    "late_sidecar": stream_convert,
+    "tenant_tables": tenant_tables,
 })

@@ -24,9 +24,13 @@ class Stage:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
 
+    def path(self, name: str) -> str:
+        """A fresh folder that goes with the run."""
+        self.paths.append(scratch_path(self.spark, name))
+        return self.paths[-1]
+
     def table(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        path = scratch_path(self.spark, name)
-        self.paths.append(path)
+        path = self.path(name)
         df.write.partitionBy(*partition_by).parquet(path)
         out = self.spark.read.schema(_schema(df, partition_by)).parquet(path)
         out.stage_path = path

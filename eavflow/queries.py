@@ -231,8 +231,14 @@ def q_convert_status(spark, sf_dir):
 
 
 def q_ledger_upsert(spark, sf_dir):
-    new = selection.ledger_entries(_outcomes(spark, sf_dir), FX.LEDGER_TS + 60)
-    return SEL.ledger_upsert(FX.ledger_rows(spark, sf_dir), new)
+    """K4 through the ledger that the runs use: earlier rows, this run's outcomes, and a later write of the same second."""
+    ledger = TB.Ledger(spark, scratch_path(spark, "ledger"))
+    ledger.put(FX.ledger_rows(spark, sf_dir))
+    new = selection.ledger_entries(_outcomes(spark, sf_dir), FX.LEDGER_TS + 60).withColumn("n_records", F.lit(None).cast("long"))
+    ledger.put(new)
+    late = new.where("status = 'rejected' AND bucket = 'b1'").withColumns({"status": F.lit("converted"), "n_records": F.lit(7).cast("long")})
+    ledger.put(late)
+    return ledger.read()
 
 
 QUERIES.update({
@@ -350,8 +356,9 @@ def q_tenant_database(spark, sf_dir):
 
 
 def q_queue_pending(spark, sf_dir):
-    path = TB.write_version(SEL.queue_dedupe(FX.queue_puts(spark, sf_dir)), "queue")
-    return TB.read_table(spark, path, TB.QUEUE_SCHEMA).select("src", "bucket")
+    queue = TB.Queue(spark, scratch_path(spark, "queue"))
+    queue.put(FX.queue_puts(spark, sf_dir))
+    return queue.read()
 
 
 # -- templates and dictionary ---------------------------------------------------
@@ -386,7 +393,7 @@ def q_stream_notifications(spark, sf_dir):
         intake.run_intake(spark, src_dir, queue, ckpt)
     # a rerun over the same files adds nothing
     intake.run_intake(spark, src_dir, queue, ckpt)
-    return TB.read_table(spark, queue, TB.QUEUE_SCHEMA).select("src", "bucket")
+    return TB.Queue(spark, queue).read()
 
 
 GATE_ROWS = "propertyname,value\nTitle,x\n"
@@ -424,6 +431,11 @@ def q_stream_convert(spark, sf_dir):
     _arrive(spark, store, rec, [2, 3])
     go(ckpt)
     go(scratch_path(spark, "convert-ckpt"))
+    return _with_ledger(spark, store, out, ledger)
+
+
+def _with_ledger(spark, store: P.Store, out: str, ledger: str) -> DataFrame:
+    """The published view with status and n_records of each row's file."""
     led = TB.read_ledger(spark, ledger).select(F.col("src").alias("url"), "status", "n_records")
     view = writer.read_view(spark, out, RISK.columns)
     url = F.concat(F.lit(store.scheme), "bucket", F.lit("/"), "tenant", F.lit("/cv/"), "file")
@@ -444,7 +456,102 @@ def q_backfill(spark, sf_dir):
     go(FX.LEDGER_TS + 60)
     return go(FX.LEDGER_TS + 120).select(
         F.col("src").alias("url"), "bucket", "ts", "status", "n_records",
-        F.when(F.col("detail").startswith(out), F.substring("detail", len(out) + 1, 1 << 30)).otherwise(F.col("detail")).alias("detail"))
+        F.when(F.col("detail").startswith(out), F.regexp_replace(F.substring("detail", len(out) + 1, 1 << 30), "^/batch=[^/]+", ""))
+         .otherwise(F.col("detail")).alias("detail"))
+
+
+class Crash(Exception):
+    """Stands for a driver that died."""
+
+
+def _crash_after(step: str):
+    """An observer that ends the run after its first batch has done ``step``."""
+    def observe(done: str) -> None:
+        if done == step:
+            raise Crash(step)
+    return observe
+
+
+def _crashed(start, step: str) -> None:
+    try:
+        start(_crash_after(step))
+    except Crash:
+        pass
+
+
+CRASH_STEPS = ["outputs", "rows", "published", "ledger"]
+
+
+def q_crash_replay(spark, sf_dir):
+    """A backfill that dies after each of these steps and is started again each time, one file a batch."""
+    rec, out, ledger = _rec(spark, sf_dir), scratch_path(spark, "cvrisk"), scratch_path(spark, "ledger")
+    store = _bucket(spark, rec)
+    for k in range(4):
+        _sidecar(spark, store, k, k != 3)
+    _arrive(spark, store, rec, [0, 1, 2, 3])
+    go = lambda observe: run.backfill(spark, store, "", out, ledger, FX.LEDGER_TS, max_files=2, on_step=observe)
+    for step in CRASH_STEPS:
+        _crashed(go, step)
+    go(lambda step: None)
+    return _with_ledger(spark, store, out, ledger)
+
+
+def _notify(spark, store: P.Store, folder: str, files: list[int]) -> None:
+    """Upload notifications of record files and their sidecars, as the store would send them, the first one twice."""
+    for k in [*files, files[0]]:
+        bucket, key = FX.file_url(k)[len(store.scheme):].split("/", 1)
+        records = ", ".join('{"s3": {"bucket": {"name": "%s"}, "object": {"key": "%s"}}}' % (bucket, x)
+                            for x in (key, key.replace("/cv/", "/metadata/")))
+        FX.put(spark, f"{folder}/{uuid.uuid4().hex}.json", '{"Records": [' + records + "]}\n")
+
+
+def q_queue_convert(spark, sf_dir):
+    """Notifications -> queue -> conversion -> empty queue, with a crash after a batch was published and a replayed intake."""
+    rec, out, ledger = _rec(spark, sf_dir), scratch_path(spark, "cvrisk"), scratch_path(spark, "ledger")
+    store, notes, path, ckpt = _bucket(spark, rec), scratch_path(spark, "notes"), scratch_path(spark, "queue"), scratch_path(spark, "ckpt")
+    ids = iter(range(1 << 30))
+    go = lambda observe: run.drain(spark, store, path, out, ledger, lambda: f"batch-{next(ids)}", lambda: FX.LEDGER_TS,
+                                   max_files=2, lease=-1, on_step=observe)
+    for k in range(4):
+        _sidecar(spark, store, k, k != 3)
+    _arrive(spark, store, rec, [0, 1, 2, 3])
+    _notify(spark, store, notes, [0, 1, 3])
+    intake.run_intake(spark, notes, path, ckpt)
+    _crashed(go, "published")
+    _notify(spark, store, notes, [2])
+    intake.run_intake(spark, notes, path, ckpt)
+    go(lambda step: None)
+    left = TB.Queue(spark, path).read().agg(F.count(F.lit(1)).alias("n_waiting"))      # one row
+    return _with_ledger(spark, store, out, ledger).join(F.broadcast(left))
+
+
+def q_late_sidecar(spark, sf_dir):
+    """Files that were rejected because their sidecars came later, or came without the gate property first."""
+    rec, out, ledger = _rec(spark, sf_dir), scratch_path(spark, "cvrisk"), scratch_path(spark, "ledger")
+    store, ckpt = _bucket(spark, rec), scratch_path(spark, "sidecar-ckpt")
+    _sidecar(spark, store, 0, True)
+    _arrive(spark, store, rec, [0, 1, 2, 3])
+    run.backfill(spark, store, "", out, ledger, FX.LEDGER_TS)
+    go = lambda: SC.run_sidecar_stream(spark, store, "", out, ledger, ckpt, clock=lambda: FX.LEDGER_TS)
+    _sidecar(spark, store, 1, True)
+    _sidecar(spark, store, 3, False)
+    go()
+    _sidecar(spark, store, 2, True)
+    go()
+    return _with_ledger(spark, store, out, ledger)
+
+
+def q_tenant_tables(spark, sf_dir):
+    """What each tenant's table holds in its own database after a backfill that registers its batches."""
+    rec, out, ledger = _rec(spark, sf_dir), scratch_path(spark, "cvrisk"), scratch_path(spark, "ledger")
+    store, prefix = _bucket(spark, rec), f"run_{uuid.uuid4().hex[:8]}_"
+    for k in range(4):
+        _sidecar(spark, store, k, k != 3)
+    _arrive(spark, store, rec, [0, 1, 2, 3])
+    run.backfill(spark, store, "", out, ledger, FX.LEDGER_TS, max_files=3, catalog_prefix=prefix)
+    made = [r[0] for r in catalog.query(spark, f"SHOW DATABASES LIKE '{prefix}*'").collect()]        # one per tenant
+    one = " UNION ALL ".join(f"SELECT '{db.removeprefix(prefix)}' AS db, bucket, tenant, file, rid, significant FROM {db}.cvrisk" for db in made)
+    return catalog.query(spark, one)
 
 
 def q_diagnostics(spark, sf_dir):
@@ -486,4 +593,8 @@ QUERIES.update({
     "stream_notifications": q_stream_notifications,
     "stream_convert": q_stream_convert,
     "backfill": q_backfill,
+    "crash_replay": q_crash_replay,
+    "queue_convert": q_queue_convert,
+    "late_sidecar": q_late_sidecar,
+    "tenant_tables": q_tenant_tables,
 })

@@ -292,7 +292,8 @@ def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(LEDGER_TS).cast("bigint").alias("ts"),
                     F.lit("converted").alias("status"),
                     F.when(P.path_parts("url")["ok"], P.output_location("url", OUT_ROOT))
-                     .otherwise(F.lit("unsupported path")).alias("detail"))
+                     .otherwise(F.lit("unsupported path")).alias("detail"),
+                    (F.col("page_id") % 50).cast("long").alias("n_records"))
 
 
 def output_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Upload notifications -> queue table, incrementally.
 
 A file-source stream of notification JSON (one per line) is decoded, filtered
-to record uploads and appended to the queue table in ``foreachBatch``: each
-micro-batch is deduplicated by key and anti-joined against the queue, so a
+to record uploads and put into the queue in ``foreachBatch``.  A put reads and
+writes only the queue's slots that the micro-batch's files fall into, and a
 repeated upload is queued once.  The checkpoint makes reruns idempotent.
 """
 
@@ -13,16 +13,11 @@ from pyspark.sql import functions as F
 
 from eavflow.session import scratch_path
 from eavflow.sources import notifications
-from eavflow.sources.tables import QUEUE_SCHEMA, read_table
+from eavflow.sources.tables import Queue
 
 
 def enqueue_batch(batch: DataFrame, queue_path: str) -> None:
-    spark = batch.sparkSession
-    new = (notifications.record_uploads(batch, "value")
-           .select(F.col("url").alias("src"), "bucket")
-           .groupBy("src").agg(F.min("bucket").alias("bucket")))
-    existing = read_table(spark, queue_path, QUEUE_SCHEMA)
-    new.join(existing.select("src"), "src", "left_anti").write.mode("append").parquet(queue_path)
+    Queue(batch.sparkSession, queue_path).put(notifications.record_uploads(batch, "value").select(F.col("url").alias("src"), "bucket"))
 
 
 def run_intake(spark: SparkSession, source_dir: str, queue_path: str,
