@@ -44,7 +44,7 @@ from eavflow.llm import words as WD
 from eavflow.llm.common import Scratch, arrow_cast, col, lookup_join, nullable, ship, without
 from eavflow.llm.katz import deal, pack, pack_sorted, unpack, unpack_sorted
 
-WINDOW, GRAM, BLOCK, BUCKET, SHARD, CELL = 13, 6, 1 << 21, 1 << 20, 1 << 21, 64
+WINDOW, GRAM, BLOCK, BUCKET, SHARD, CELL = 13, 6, 1 << 21, 1 << 20, 1 << 20, 64
 LAST = np.iinfo(np.int64).max       # a null id
 RUNS = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 RESULT = ("n_words", "n_removed", "removed")
