@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from eavflow.llm import words as WD
 from eavflow.llm.common import Scratch, col, lookup_join, ship
 from eavflow.llm.katz import deal, pack, pack_sorted, unpack, unpack_sorted
+from eavflow.session import drop_path
 
 LEAST, LONGEST, TOP, BLOCK, BUCKET, UNKNOWN = 100, 5, 2000, 1 << 22, 1 << 20, "und"
 #: What ends a piece, and what lies between words (ends of pieces too).
@@ -232,17 +233,18 @@ def mine(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: i
     ship(spark)
     scratch = Scratch(spark, "phrases")
     base = scratch.write(df.select(F.coalesce(col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), col(text_col).alias("text")).mapInArrow(
-        _relate, "kind int, block long, at binary, code binary, number int, lang string, word string, n long"), ["kind"])
+        _relate, "kind int, block long, at binary, code binary, number int, lang string, word string, n long"), ["kind"], compression="zstd")
     blocks = base.where("kind = 0").select("block", "at", "code")
     held = base.where("kind = 1").select("block", "number", "lang", "word", "n")
     buckets = (base.where("kind = 0").agg(F.sum("n")).first()[0] or 0) // BUCKET + 1
     total = scratch.write(held.groupBy("lang").agg(F.sum("n").alias("n")))
     known = scratch.write(held.groupBy("lang", "word").agg(F.sum("n").alias("a"), F.count(F.lit(1)).alias("blocks")).where(F.col("a") >= least)
                           .withColumn("id", F.monotonically_increasing_id()))
-    numbers = lookup_join(held.drop("n"), known, ["lang", "word"], "blocks").select(
-        F.col("block").alias("of"), "number", "id")
+    numbers = scratch.write(lookup_join(held.drop("n"), known, ["lang", "word"], "blocks").select(
+        F.col("block").alias("of"), "number", "id"), compression="zstd")
+    drop_path(spark, f"{base._eav_path}/kind=1")
     now = scratch.write(blocks.groupBy("block").cogroup(numbers.groupBy("of")).applyInArrow(_numbered, _RELATION))
-    scratch.drop(base)
+    scratch.drop(base, numbers)
     phrases = known.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a",
                            F.array("a").alias("heads"), F.array("a").alias("tails"))
     found = []
