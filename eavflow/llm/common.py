@@ -7,12 +7,14 @@ them.  Operators that return their input's columns drop those whose name
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import zipfile
 from collections.abc import Sequence
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -164,6 +166,24 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()))
 
 
+def release() -> None:
+    """Give a Python worker's freed memory back to the system: workers live on and would hold their peak through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim:
+        trim(0)
+
+
+def freeing(function):
+    """``function`` from batches to batches, with its memory released at its end."""
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release()
+    return run
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, for the functions that run there.
 

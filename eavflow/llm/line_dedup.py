@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eavflow.llm import words as WD
-from eavflow.llm.common import Scratch, col, components, lookup_join, ship, without
+from eavflow.llm.common import Scratch, col, components, freeing, lookup_join, ship, without
 from eavflow.llm.forest import Forest
 
 SHINGLE, BANDS, ROWS, SIMILAR, TILE, BITS = 8, 10, 3, 0.8, 256, 26
@@ -169,7 +169,7 @@ def _candidates(base: DataFrame, hits: Broadcast) -> DataFrame:
                            T.StructField("_e_id", base.schema["_e_id"].dataType), T.StructField("number", T.IntegerType()),
                            T.StructField("key", T.BinaryType()), T.StructField("line", T.StringType()),
                            T.StructField("bands", T.ArrayType(T.LongType()))])
-    return base.select("_e_row", "_e_id", "text").mapInArrow(of, schema)
+    return base.select("_e_row", "_e_id", "text").mapInArrow(freeing(of), schema)
 
 
 def _bit_map(spark, heads: DataFrame) -> Broadcast:
@@ -189,7 +189,7 @@ def _star(pairs: DataFrame) -> DataFrame:
             a, o, x, y = (b.column(c).to_pylist() for c in ("node", "head", "line", "other"))
             ok = [i for i in range(len(a)) if similarity(sets.of(a[i], x[i]), sets.of(o[i], y[i])) >= SIMILAR]
             yield pa.RecordBatch.from_pydict({"a": pa.array([a[i] for i in ok], pa.int64()), "b": pa.array([o[i] for i in ok], pa.int64())})
-    return pairs.mapInArrow(verify, "a long, b long")
+    return pairs.mapInArrow(freeing(verify), "a long, b long")
 
 
 def _full(tiles: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -227,7 +227,7 @@ def _full(tiles: DataFrame, sizes: DataFrame) -> DataFrame:
             .join(tiles.select("b", F.col("tile").alias("with"), F.col("rows").alias("right")), ["b", "with"])
             .select((F.col("tile") == F.col("with")).alias("same"), "left",
                     F.when(F.col("tile") != F.col("with"), F.col("right")).alias("right")))
-    return work.mapInArrow(verify, "a long, b long")
+    return work.mapInArrow(freeing(verify), "a long, b long")
 
 
 def _components(found: DataFrame, heads: DataFrame, scratch: Scratch) -> DataFrame:
@@ -271,7 +271,7 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
     base = scratch.write(df.select(F.monotonically_increasing_id().alias("_e_row"), col(id_col).alias("_e_id"),
                                    F.struct(F.lit(0).alias("_e_0"), *[col(c) for c in own]).alias("_e_df"),
                                    col(text_col).alias("text")), compression="zstd")
-    heads = scratch.write(base.select("text").mapInArrow(_band_rows, "b long, k long").groupBy("b")
+    heads = scratch.write(base.select("text").mapInArrow(freeing(_band_rows), "b long, k long").groupBy("b")
                           .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("b"))
     found = scratch.write(_candidates(base, _bit_map(spark, heads)), ["kind"])
     inner = Scratch(spark, "line-candidates")

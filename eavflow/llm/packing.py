@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eavflow.llm import words as WD
-from eavflow.llm.common import Scratch, arrow_cast, col, nullable, ship, without
+from eavflow.llm.common import Scratch, arrow_cast, col, freeing, nullable, ship, without
 
 SEQUENCE, END_ID, FAN_IN, SLACK, CHUNK, KNOWN, BYTES = 2048, 0, 8, 8, 100_000, 400_000, 1 << 21
 PIECE = ("piece", "start", "length", "ids")
@@ -121,7 +121,7 @@ def pieces(df: DataFrame, tokenizer_path: str, text_col: str = "text", length: i
     payload = nullable(rows.schema["_e_df"].dataType)
     schema = T.StructType([T.StructField("_e_df", payload), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
                            T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
-    out = rows.mapInArrow(cut, schema)
+    out = rows.mapInArrow(freeing(cut), schema)
     return out.select(*[F.col("_e_df").getField(c).alias(c) for c in own], *PIECE)
 
 
@@ -220,7 +220,7 @@ def pack(df: DataFrame, length_col: str = "length", capacity: int = SEQUENCE) ->
              pa.array(table.column("off").to_numpy() + shift[of]), pa.array(table.column("grp").to_numpy()),
              pa.array(stay)], names)
 
-    packed = scratch.write(rows.mapInArrow(local, schema), ["open"])
+    packed = scratch.write(rows.mapInArrow(freeing(local), schema), ["open"])
     done = packed.where("NOT open")
     left = packed.where("open")
     # the chunks that left something, numbered; one row per chunk of CHUNK pieces

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eavflow.llm import words as WD
-from eavflow.llm.common import col, ship
+from eavflow.llm.common import col, freeing, release, ship
 
 MAX_TRAIN, POOL, RIDGE = 40_000, 0.1, 1e-3
 RESULT = ("score", "predicted")
@@ -161,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", text_col
     rows = (docs.select(col(id_col).alias("_e_id"), col(text_col).alias("text"))
             .join(F.broadcast(train_ids(labels, label_col, id_col, most)), "_e_id")
             .select("text", F.col("_e_y").alias("label")))
-    cells = (rows.mapInArrow(_sums, "label int, cell int, value double")
+    cells = (rows.mapInArrow(freeing(_sums), "label int, cell int, value double")
              .groupBy("label", "cell").agg(F.sum("value").alias("value")).collect())
     size = 1 + statistics(pa.array([""])).shape[1]
     sums = {}
@@ -179,7 +179,9 @@ def score(model: Discriminant, text: Column) -> Column:
     """The probability of class 1 for each whole text."""
     @F.arrow_udf("double")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array(model.score(statistics(texts)))
+        out = pa.array(model.score(statistics(texts)))
+        release()
+        return out
     return of(text)
 
 

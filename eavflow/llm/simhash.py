@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eavflow.llm.common import Scratch, col, components, lookup_join, ship, without
+from eavflow.llm.common import col, components, lookup_join, release, Scratch, ship, without
 from eavflow.llm.forest import Forest
 
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -64,7 +64,9 @@ def fingerprints(text: Column, n: int = WORDS) -> Column:
     """The fingerprint of each whole text, as a signed 64-bit number."""
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array(np.array([fingerprint(t.as_py(), n) for t in texts], np.uint64).view(np.int64))
+        out = pa.array(np.array([fingerprint(t.as_py(), n) for t in texts], np.uint64).view(np.int64))
+        release()
+        return out
     return of(text)
 
 
