@@ -45,10 +45,11 @@ class Scratch:
     def close(self) -> None:
         drop_path(self.spark, self.root)
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] = (), compression: str = "snappy") -> DataFrame:
+    def write(self, df: DataFrame, partition_by: Sequence[str] = (), compression: str = "snappy", writers: int = 0) -> DataFrame:
+        """Stage ``df``; with ``writers``, a task keeps that many partitions' files open instead of sorting its rows."""
         self.n += 1
         path = f"{self.root}/t{self.n}"
-        with shuffles_freed(self.spark):
+        with shuffles_freed(self.spark), setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", str(writers)):
             df.write.partitionBy(*partition_by).option("compression", compression).parquet(path)
         out = self.spark.read.schema(_schema(df, partition_by)).parquet(path)
         out._eav_path = path
@@ -60,15 +61,21 @@ class Scratch:
 
 
 @contextmanager
-def shuffles_freed(spark: SparkSession):
-    """What runs inside runs once: its shuffle files go when it ends, not when the driver's collector gets to them."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
+def setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def shuffles_freed(spark: SparkSession):
+    """What runs inside runs once: its shuffle files go when it ends, not when the driver's collector gets to them."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 @contextmanager
@@ -148,7 +155,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
                       .where("u <> v").distinct())
     while True:
         ups = e.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-        chained = e.select(F.col("v").alias("u")).join(ups.select("u"), "u", "left_semi")
+        chained = e.select(F.col("v").alias("u")).distinct().join(ups.select("u"), "u", "left_semi")
         if ups.where("n > 1").select("u").unionByName(chained).isEmpty():
             break       # every node hangs on one that hangs on none: stars
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -8,14 +8,16 @@ shares a band with probability 0.9992.  Lines linked at ``SIMILAR`` or more,
 directly or through others, are one component, and the whole corpus keeps
 its first line of it: the one of the smallest (id, line number).
 
-1. Band keys of all lines are grouped to a smallest and a largest line hash;
-   keys where these differ hold different lines.  A bit map of fixed size of
-   those keys lets the second pass emit candidate lines alone (a false hit
-   only adds work).  Equal lines are one node.
+1. Lines are cut, hashed and staged once.  Band keys are grouped to a smallest
+   and a largest line hash; keys where these differ hold different lines.  A
+   bit map of fixed size of those keys tells which staged lines to look at (a
+   false hit only adds a row: groups are made of the keys themselves).  Equal
+   lines are one node.
 2. In each band group the lines are compared with one of them (a star).
    Groups that this leaves in several components are compared in full, in tiles
-   of bounded size, skipping pairs that are connected already.  So no pair of a
-   group is emitted and no link is lost.
+   of bounded size, skipping pairs within a tile's most frequent component;
+   bands of the same lines are compared once.  So no pair of a group is emitted
+   and no link is lost.
 3. Components give each line class its first line; lines that are not it are
    taken out of their documents.
 
@@ -26,19 +28,25 @@ keeps its lines; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from eavflow.llm import words as WD
 from eavflow.llm.common import Scratch, col, components, freeing, lookup_join, ship, without
 from eavflow.llm.forest import Forest
+from eavflow.session import drop_path
 
 SHINGLE, BANDS, ROWS, SIMILAR, TILE, BITS = 8, 10, 3, 0.8, 256, 26
+BLOCK, WIDE = 1 << 17, 1 << 14      # characters hashed, and shingles compared, at once
 BLANK = " \t\n\x0b\x0c\r"
 RESULT = ("n_lines", "removed")
 _RNG = np.random.Generator(np.random.PCG64(11))
@@ -63,54 +71,107 @@ def _rolling(text: str) -> np.ndarray:
     return h
 
 
-def bands(lines: list[str]) -> np.ndarray:
-    """The band keys of each line: (lines, BANDS)."""
-    low = [x.lower() for x in lines]
+def _rolling32(text: str) -> np.ndarray:
+    """A 32-bit hash of the SHINGLE characters from each place on: enough for minima, which only find candidates."""
+    h = np.frombuffer(text.encode("utf-32-le"), np.uint32) * np.uint32(0x85EBCA6B) + np.uint32(1)
+    power, width = 0x9E3779B1, 1
+    while width < SHINGLE:
+        later = h
+        h = h * np.uint32(power)
+        if len(h) > width:
+            h[:-width] += later[width:]
+        power, width = power * power % (1 << 32), 2 * width
+    for shift, factor in ((16, 0x7FEB352D), (15, 0x846CA68B)):
+        h ^= h >> np.uint32(shift)
+        h *= np.uint32(factor)
+    return h ^ (h >> np.uint32(16))
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (n[0] of them), start[1], ..."""
+    return np.arange(int(n.sum())) + np.repeat(start - (np.cumsum(n) - n), n)
+
+
+def _hashes(low: list[str], rolling, digest) -> tuple[np.ndarray, np.ndarray]:
+    """The lines' shingle hashes one after another, and how many each line has."""
     size = np.fromiter(map(len, low), np.int64, len(low))
-    h = _rolling("".join(low))
     n = np.maximum(size - SHINGLE + 1, 1)
-    first = np.cumsum(n) - n
-    at = np.arange(int(n.sum())) + np.repeat(np.cumsum(size) - size - first, n)
-    h = h[at]
+    h = rolling("".join(low))[_ranges(np.cumsum(size) - size, n)]
     short = np.flatnonzero(size < SHINGLE)
-    h[first[short]] = [xxhash.xxh3_64_intdigest(low[i]) for i in short]
-    x = (WD.mix64(h) >> np.uint64(32)).astype(np.uint32)
+    h[(np.cumsum(n) - n)[short]] = [digest(low[i].encode()) for i in short]
+    return h, n
+
+
+def _slices(size: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``most`` in all."""
+    lo = held = 0
+    for i, k in enumerate(size):
+        if held and held + k > most:
+            yield lo, i
+            lo, held = i, 0
+        held += k
+    if lo < len(size):
+        yield lo, len(size)
+
+
+def bands(lines: list[str]) -> np.ndarray:
+    """The band keys of each line: (lines, BANDS)."""
+    low = [x.lower() for x in lines]
+    least = np.empty((BANDS * ROWS, len(low)), np.uint32)
+    for lo, hi in _slices([len(x) for x in low], BLOCK):
+        x, n = _hashes(low[lo:hi], _rolling32, xxhash.xxh32_intdigest)
+        first, y = np.cumsum(n) - n, np.empty_like(x)
+        for r in range(BANDS * ROWS):
+            np.multiply(x, _A[r], out=y)
+            y += _B[r]
+            least[r, lo:hi] = np.minimum.reduceat(y, first)
     out = np.empty((len(low), BANDS), np.uint64)
     for b in range(BANDS):
         key = np.full(len(low), b + 1, np.uint64)
         for r in range(b * ROWS, (b + 1) * ROWS):
-            least = np.minimum.reduceat(x * _A[r] + _B[r], first)
-            key = WD.mix64(key * _STEP + least)
+            key = WD.mix64(key * _STEP + least[r])
         out[:, b] = key
     return out
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two shingle sets."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
-
-
-def shingles(line: str) -> np.ndarray:
-    """The line's distinct shingles, as sorted 64-bit hashes."""
-    h = _rolling(line.lower())
-    return np.unique(h[:max(1, len(h) - SHINGLE + 1)])
-
-
-class _Sets:
-    """Shingle sets by node, forgotten when they hold too much."""
-
-    def __init__(self, most: int = 4_000_000):
-        self.sets, self.held, self.most = {}, 0, most
-
-    def of(self, node: int, line: str) -> np.ndarray:
-        s = self.sets.get(node)
-        if s is None:
-            if self.held > self.most:
-                self.sets, self.held = {}, 0
-            s = self.sets[node] = shingles(line)
-            self.held += len(s)
-        return s
+class Sets:
+    """The shingle sets of lines, as numbers that equal shingles share: ``ids[start[i]:start[i] + size[i]]``, sorted."""
+
+    def __init__(self, lines: list[str]):
+        h, n = _hashes([x.lower() for x in lines], _rolling, xxhash.xxh3_64_intdigest)
+        ids = np.unique(h, return_inverse=True)[1].astype(np.uint64)
+        both = np.unique(np.repeat(np.arange(len(n), dtype=np.uint64) << np.uint64(32), n) | ids)
+        self.size = np.bincount((both >> np.uint64(32)).astype(np.int64), minlength=len(n))
+        self.start = np.cumsum(self.size) - self.size
+        self.ids = (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs of lines a[i], b[i] are similar: shingles that occur twice in a pair are counted after one sort."""
+        sa, sb = self.size[a], self.size[b]
+        ok = np.minimum(sa, sb) >= SIMILAR * np.maximum(sa, sb) - 1e-9
+        at = np.flatnonzero(ok)
+        n = np.concatenate([sa[at], sb[at]])
+        pair = np.repeat(np.tile(np.arange(len(at), dtype=np.uint64), 2) << np.uint64(32), n)
+        key = np.sort(pair | self.ids[_ranges(self.start[np.concatenate([a[at], b[at]])], n)].astype(np.uint64))
+        both = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(32)).astype(np.int64), minlength=len(at))
+        ok[at] = both / (sa[at] + sb[at] - both) >= SIMILAR
+        return ok
+
+    def between(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places (i, j) of similar lines a[i], b[j]: products of 0/1 matrices, WIDE shingles at a time."""
+        if not len(a) or not len(b):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        line = np.concatenate([a, b])
+        n = self.size[line]
+        known, local = np.unique(self.ids[_ranges(self.start[line], n)], return_inverse=True)
+        row = np.repeat(np.arange(len(line)), n)
+        both = np.zeros((len(a), len(b)))
+        for lo in range(0, len(known), WIDE):
+            some = (local >= lo) & (local < lo + WIDE)
+            has = np.zeros((len(line), min(WIDE, len(known) - lo)), np.float32)
+            has[row[some], local[some] - lo] = 1
+            both += has[:len(a)] @ has[len(a):].T
+        return np.nonzero(both / (n[:len(a), None] + n[None, len(a):] - both) >= SIMILAR)
 
 
 def _runs(texts: list[str | None], most: int = 1 << 19):
@@ -133,45 +194,59 @@ def _keys(lines: list[str]) -> list[bytes]:
     return [xxhash.xxh3_128_digest(x.encode()) for x in lines]
 
 
-def _band_rows(batches):
-    for b in batches:
-        for _, _, line in _runs(b.column("text").to_pylist()):
-            line = list(dict.fromkeys(line))
-            own = np.frombuffer(b"".join(_keys(line)), np.int64)[::2]
-            yield pa.RecordBatch.from_pydict({"b": bands(line).reshape(-1).view(np.int64), "k": np.repeat(own, BANDS)})
-
-
-def _candidates(base: DataFrame, hits: Broadcast) -> DataFrame:
-    """Kind 0: every line's place and key.  Kind 1: lines with a band key in the bit map."""
+def _cut(base: DataFrame) -> DataFrame:
+    """Kind 0: every line's place and key.  Kind 1: the lines of a run of texts, once, with band keys.  Kind 2: texts' line counts."""
     def of(batches):
-        bits = hits.value
         for b in batches:
             row, id_ = b.column("_e_row").to_numpy(), b.column("_e_id")
+            count = np.zeros(b.num_rows, np.int32)
             for doc, number, line in _runs(b.column("text").to_pylist()):
                 key, n = _keys(line), len(line)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([0] * n, pa.int32()), pa.array(row[doc]), id_.take(pa.array(doc)), pa.array(number, pa.int32()),
-                     pa.array(key, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.int64()))], names)
-                first = dict(zip(reversed(key), range(n - 1, -1, -1)))
-                at = list(first.values())
-                band = bands([line[i] for i in at])
-                slot = band & np.uint64((1 << BITS) - 1)
-                met = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
-                some = np.flatnonzero(met.any(axis=1)).tolist()
-                n = len(some)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([1] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, id_.type), pa.nulls(n, pa.int32()),
-                     pa.array([key[at[i]] for i in some], pa.binary()), pa.array([line[at[i]] for i in some], pa.string()),
-                     pa.array([band[i][met[i]].view(np.int64).tolist() for i in some], pa.list_(pa.int64()))], names)
-
-    names = ["kind", "_e_row", "_e_id", "number", "key", "line", "bands"]
+                count += np.bincount(doc, minlength=len(count)).astype(np.int32)
+                yield rows(0, n, row=pa.array(row[doc]), id_=id_.take(pa.array(doc)), number=pa.array(number, pa.int32()),
+                           key=pa.array(key, pa.binary()))
+                at = list(dict(zip(reversed(key), range(n - 1, -1, -1))).values())
+                own, line = [key[i] for i in at], [line[i] for i in at]
+                band = pa.array(bands(line).reshape(-1).view(np.int64))
+                yield rows(1, len(at), key=pa.array(own, pa.binary()), k=pa.array(np.frombuffer(b"".join(own), np.int64)[::2]),
+                           line=pa.array(line, pa.string()),
+                           bands=pa.ListArray.from_arrays(np.arange(0, len(band) + 1, BANDS, dtype=np.int32), band))
+            yield rows(2, len(row), row=pa.array(row), number=pa.array(count))
+
+    id_type = base.schema["_e_id"].dataType
+    types = {"row": pa.int64(), "id_": to_arrow_type(id_type), "number": pa.int32(), "key": pa.binary(), "k": pa.int64(),
+             "line": pa.string(), "bands": pa.list_(pa.int64())}
+
+    def rows(kind: int, n: int, **known) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32))] + [
+            known[c].cast(t) if c in known else pa.nulls(n, t) for c, t in types.items()], schema.names)
+
     schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("_e_row", T.LongType()),
-                           T.StructField("_e_id", base.schema["_e_id"].dataType), T.StructField("number", T.IntegerType()),
-                           T.StructField("key", T.BinaryType()), T.StructField("line", T.StringType()),
-                           T.StructField("bands", T.ArrayType(T.LongType()))])
+                           T.StructField("_e_id", id_type), T.StructField("number", T.IntegerType()),
+                           T.StructField("key", T.BinaryType()), T.StructField("k", T.LongType()),
+                           T.StructField("line", T.StringType()), T.StructField("bands", T.ArrayType(T.LongType()))])
     return base.select("_e_row", "_e_id", "text").mapInArrow(freeing(of), schema)
 
 
+def _candidates(cut: DataFrame, hits: Broadcast) -> DataFrame:
+    """The lines with a band key in the bit map, and those keys."""
+    def of(batches):
+        bits = hits.value
+        for b in batches:
+            lists = b.column("bands")
+            band = lists.flatten().to_numpy().view(np.uint64)
+            slot = band & np.uint64((1 << BITS) - 1)
+            met = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool).reshape(-1, BANDS)
+            some = np.flatnonzero(met.any(axis=1))
+            met = met[some]
+            ends = np.concatenate([[0], np.cumsum(met.sum(axis=1))]).astype(np.int32)
+            keys = band.view(np.int64).reshape(-1, BANDS)[some][met]
+            yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(some)), b.column("line").take(pa.array(some)),
+                                              pa.ListArray.from_arrays(ends, pa.array(keys))], ["key", "line", "bands"])
+    return (cut.where("kind = 1").select("key", "line", "bands")
+            .mapInArrow(freeing(of), "key binary, line string, bands array<long>"))
+
+
 def _bit_map(spark, heads: DataFrame) -> Broadcast:
     """Which of 2**BITS slots hold a band key: a numpy array of fixed size."""
     slot = F.col("b").bitwiseAND(F.lit((1 << BITS) - 1))
@@ -182,59 +257,76 @@ def _bit_map(spark, heads: DataFrame) -> Broadcast:
     return spark.sparkContext.broadcast(out.view(np.uint64))
 
 
+def _sets(node: np.ndarray, line: pa.Array) -> tuple[Sets, np.ndarray]:
+    """The sets of the lines, equal nodes once, and each row's place among them."""
+    _, first, at = np.unique(node, return_index=True, return_inverse=True)
+    return Sets(line.take(pa.array(first)).to_pylist()), at
+
+
 def _star(pairs: DataFrame) -> DataFrame:
     def verify(batches):
-        sets = _Sets()
         for b in batches:
-            a, o, x, y = (b.column(c).to_pylist() for c in ("node", "head", "line", "other"))
-            ok = [i for i in range(len(a)) if similarity(sets.of(a[i], x[i]), sets.of(o[i], y[i])) >= SIMILAR]
-            yield pa.RecordBatch.from_pydict({"a": pa.array([a[i] for i in ok], pa.int64()), "b": pa.array([o[i] for i in ok], pa.int64())})
+            b = pa.RecordBatch.from_arrays([b.column(c) for c in ("node", "head", "line", "other")], ["node", "head", "line", "other"])
+            size = np.add(*(pc.utf8_length(b.column(c)).to_numpy() for c in ("line", "other")))
+            for lo, hi in _slices(size.tolist(), 4 * BLOCK):
+                run = b.slice(lo, hi - lo)
+                node, head = run.column("node").to_numpy(), run.column("head").to_numpy()
+                sets, at = _sets(np.concatenate([node, head]), pa.concat_arrays([run.column("line"), run.column("other")]))
+                ok = sets.pairs(at[:hi - lo], at[hi - lo:])
+                yield pa.RecordBatch.from_pydict({"a": pa.array(node[ok]), "b": pa.array(head[ok])})
     return pairs.mapInArrow(freeing(verify), "a long, b long")
 
 
 def _full(tiles: DataFrame, sizes: DataFrame) -> DataFrame:
     """Links between lines of different components in the same band group, as a forest for each pair of tiles."""
+    def links(node: np.ndarray, comp: np.ndarray, at: np.ndarray, left: int, sets: Sets):
+        """The links found among rows, of which the first ``left`` are one tile and the others, if any, its partner."""
+        _, first, of, n = np.unique(comp, return_index=True, return_inverse=True, return_counts=True)
+        if len(n) == 1:
+            return
+        forest = Forest(len(node))
+        forest.link(first[of], np.arange(len(node)))
+        forest.edges.clear()        # known links
+        rest = of != n.argmax()     # two rows of the most frequent component need no comparison
+        place = np.arange(len(node))
+        one, two = place[:left], place[left:] if left < len(node) else place
+        for p, q in ((one[rest[:left]], two), (one[~rest[:left]], two[rest[two]] if left < len(node) else two[:0])):
+            i, j = sets.between(at[p], at[q])
+            forest.link(p[i], q[j])
+        e = node[np.array(forest.edges, np.int64).reshape(-1, 2)]
+        yield pa.RecordBatch.from_pydict({"a": pa.array(e[:, 0]), "b": pa.array(e[:, 1])})
+
     def verify(batches):
-        sets = _Sets()
         for b in batches:
-            for i in range(b.num_rows):
-                left = b.column("left")[i].as_py()
-                same = b.column("same")[i].as_py()
-                right = left if same else b.column("right")[i].as_py()
-                rows = left if same else left + right
-                forest = Forest(len(rows))
-                comp: dict[int, int] = {}
-                for k, r in enumerate(rows):
-                    if comp.setdefault(r["comp"], k) != k:
-                        forest.link(np.array([comp[r["comp"]]]), np.array([k]))
-                forest.edges.clear()        # known links
-                for p, x in enumerate(left):
-                    sx = sets.of(x["node"], x["line"])
-                    for q in range(p + 1, len(left)) if same else range(len(left), len(rows)):
-                        if forest.label[p] == forest.label[q]:
-                            continue
-                        y = rows[q]
-                        sy = sets.of(y["node"], y["line"])
-                        if min(len(sx), len(sy)) >= SIMILAR * max(len(sx), len(sy)) and similarity(sx, sy) >= SIMILAR:
-                            forest.link(np.array([p]), np.array([q]))
-                yield pa.RecordBatch.from_pydict({"a": pa.array([rows[x]["node"] for x, _ in forest.edges], pa.int64()),
-                                                  "b": pa.array([rows[y]["node"] for _, y in forest.edges], pa.int64())})
+            sides = [b.column("left"), b.column("right")]
+            n = [pc.fill_null(pc.list_value_length(x), 0).to_numpy().astype(np.int64) for x in sides]
+            ends = [np.concatenate([[0], np.cumsum(x)]) for x in n]
+            flat = [x.flatten() for x in sides]
+            chars = [np.concatenate([[0], np.cumsum(pc.utf8_length(x.field("line")).to_numpy())]) for x in flat]
+            size = sum(c[e[1:]] - c[e[:-1]] for c, e in zip(chars, ends))
+            for lo, hi in _slices(size.tolist(), 4 * BLOCK):
+                part = [x.slice(e[lo], e[hi] - e[lo]) for x, e in zip(flat, ends)]
+                node, comp = (np.concatenate([x.field(c).to_numpy() for x in part]) for c in ("node", "comp"))
+                sets, at = _sets(node, pa.concat_arrays([x.field("line") for x in part]))
+                for i in range(lo, hi):
+                    mine = np.concatenate([np.arange(ends[0][i], ends[0][i + 1]) - ends[0][lo],
+                                           np.arange(ends[1][i], ends[1][i + 1]) - ends[1][lo] + len(part[0])])
+                    yield from links(node[mine], comp[mine], at[mine], int(n[0][i]), sets)
 
     last = F.col("tiles") - 1
     pairs = (sizes.select("b", "tiles", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("tile"))
              .select("b", "tile", F.explode(F.sequence(F.col("tile"), last)).alias("with")))
     work = (pairs.join(tiles.select("b", "tile", F.col("rows").alias("left")), ["b", "tile"])
             .join(tiles.select("b", F.col("tile").alias("with"), F.col("rows").alias("right")), ["b", "with"])
-            .select((F.col("tile") == F.col("with")).alias("same"), "left",
-                    F.when(F.col("tile") != F.col("with"), F.col("right")).alias("right")))
+            .select("left", F.when(F.col("tile") != F.col("with"), F.col("right")).alias("right")))
     return work.mapInArrow(freeing(verify), "a long, b long")
 
 
-def _components(found: DataFrame, heads: DataFrame, scratch: Scratch) -> DataFrame:
+def _components(candidates: DataFrame, scratch: Scratch) -> DataFrame:
     """(key, comp) of the lines that are linked with a different line."""
-    lines = scratch.write(found.where("kind = 1").groupBy("key").agg(F.first("line").alias("line"), F.first("bands").alias("bands"))
+    lines = scratch.write(candidates.groupBy("key").agg(F.first("line").alias("line"), F.first("bands").alias("bands"))
                           .withColumn("node", F.monotonically_increasing_id()))
-    met = lines.select("node", F.explode("bands").alias("b")).join(heads.select("b"), "b")
+    met = lines.select("node", F.explode("bands").alias("b"))
     groups = scratch.write(met.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where("n > 1"))
     members = scratch.write(lookup_join(met, groups, ["b"], "n"))
     pairs = members.where("node <> head").select("node", "head").distinct()
@@ -245,9 +337,12 @@ def _components(found: DataFrame, heads: DataFrame, scratch: Scratch) -> DataFra
     comps = scratch.write(components(star, scratch))
     members = scratch.write(members.join(comps, "node", "left").select(
         "b", "node", "n", F.coalesce("comp", "node").alias("comp")))
-    split = scratch.write(members.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                          # of two lines the star has compared the only pair
-                          .where("lo <> hi AND n > 2").select("b", "n", F.ceil(F.col("n") / TILE).alias("tiles")))
+    # bands of the same lines (by two hashes of their set) are one group; of two lines the star has compared the only pair
+    split = scratch.write(members.groupBy("b").agg(
+        F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("node").alias("least"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+        .where("lo <> hi AND n > 2").groupBy("n", "least", "x", "y").agg(F.min("b").alias("b"))
+        .select("b", "n", F.ceil(F.col("n") / TILE).alias("tiles")))
     tiles = scratch.write(lookup_join(members.select("b", "node", "comp"), split, ["b"], "n")
                           .join(lines.select("node", "line"), "node")
                           .groupBy("b", F.pmod(F.xxhash64("node"), F.col("tiles")).alias("tile"))
@@ -271,14 +366,15 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
     base = scratch.write(df.select(F.monotonically_increasing_id().alias("_e_row"), col(id_col).alias("_e_id"),
                                    F.struct(F.lit(0).alias("_e_0"), *[col(c) for c in own]).alias("_e_df"),
                                    col(text_col).alias("text")), compression="zstd")
-    heads = scratch.write(base.select("text").mapInArrow(freeing(_band_rows), "b long, k long").groupBy("b")
+    cut = scratch.write(_cut(base), ["kind"], compression="zstd", writers=3)
+    heads = scratch.write(cut.where("kind = 1").select("k", F.explode("bands").alias("b")).groupBy("b")
                           .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("b"))
-    found = scratch.write(_candidates(base, _bit_map(spark, heads)), ["kind"])
     inner = Scratch(spark, "line-candidates")
-    comps = scratch.write(_components(found, heads, inner))
+    comps = scratch.write(_components(_candidates(cut, _bit_map(spark, heads)), inner))
     inner.close()
+    drop_path(spark, f"{cut._eav_path}/kind=1")
     place = F.struct(F.col("_e_id").isNull().alias("z"), "_e_id", "_e_row", "number")
-    lines = found.where("kind = 0").select("_e_row", "_e_id", "number", "key")
+    lines = cut.where("kind = 0").select("_e_row", "_e_id", "number", "key")
     classes = scratch.write(lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")))
     linked = scratch.write(classes.join(comps, "key"))
     best = scratch.write(linked.groupBy("comp").agg(F.min("first").alias("best"), F.count(F.lit(1)).alias("k")))
@@ -287,7 +383,9 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
         .unionByName(classes.where("n > 1").join(comps, "key", "left_anti").select("key", "n", F.col("first").alias("best"))))
     out = (lookup_join(lines, answer, ["key"], "n")
            .where((F.col("best._e_row") != F.col("_e_row")) | (F.col("best.number") != F.col("number")))
-           .groupBy("_e_row").agg(F.sort_array(F.collect_list("number")).alias("removed")))
+           .select("_e_row", "number").unionByName(cut.where("kind = 2").select("_e_row", F.col("number").alias("n_lines")),
+                                                   allowMissingColumns=True)
+           .groupBy("_e_row").agg(F.sort_array(F.collect_list("number")).alias("removed"), F.max("n_lines").alias("n_lines")))
 
     @F.arrow_udf("string")
     def rest(texts: pa.Array, removed: pa.Array) -> pa.Array:
@@ -297,9 +395,7 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
             made.append(None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop))
         return pa.array(made, pa.string())
 
-    has = F.col("removed").isNotNull()
-    done = base.join(out, "_e_row", "left")
+    has = F.size("removed") > 0
     text = F.when(has, rest(F.when(has, F.col("text")), F.col("removed"))).otherwise(F.col("text"))
-    count = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: F.length(F.trim(x, F.lit(BLANK))) > 0))
-    return done.select(*[text.alias(c) if c == text_col else F.col("_e_df").getField(c).alias(c) for c in order],
-                       count.alias("n_lines"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    return base.join(out, "_e_row").select(
+        *[text.alias(c) if c == text_col else F.col("_e_df").getField(c).alias(c) for c in order], "n_lines", "removed")

@@ -335,6 +335,36 @@ def test_line_dedup_finds_chains_and_large_groups(spark, monkeypatch):
     assert [got[k] for k in range(30)] == want
 
 
+def test_line_bands_and_sets_against_plain_sets():
+    """Of random pairs of similarity 0.8 to 0.9 nearly all share a band; similarities agree with sets of strings."""
+    rng, n = random.Random(3), line_dedup.SHINGLE
+    letters = "abcdefghijklmnopqrstuvwxyz    éß漢"
+
+    def grams(x):
+        x = x.lower()
+        return {x[i:i + n] for i in range(max(1, len(x) - n + 1))}
+
+    pairs = []
+    while len(pairs) < 2000:
+        a = "".join(rng.choices(letters, k=rng.randint(60, 400)))
+        b = list(a)
+        for _ in range(rng.randint(1, 4)):
+            b[rng.randrange(len(b))] = rng.choice(letters)
+        b = "".join(b)
+        s = len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+        if 0.8 <= s <= 0.9:
+            pairs.append((a, b))
+    keys = line_dedup.bands([x for p in pairs for x in p])
+    assert (keys[::2] == keys[1::2]).any(axis=1).mean() >= 0.99
+    some = [x for p in pairs[:60] for x in p] + ["short", "SHORT", "x", "y" * 4000, "y" * 5000]
+    sets = line_dedup.Sets(some)
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(some)), np.arange(len(some))))
+    want = [len(grams(some[x]) & grams(some[y])) >= 0.8 * len(grams(some[x]) | grams(some[y])) for x, y in zip(i, j)]
+    assert sets.pairs(i, j).tolist() == want
+    p, q = sets.between(np.arange(len(some)), np.arange(len(some)))
+    assert set(zip(p.tolist(), q.tolist())) == {(x, y) for x, y, w in zip(i.tolist(), j.tolist(), want) if w}
+
+
 # -- 9 SimHash ---------------------------------------------------------------------------
 
 def print_by_hand(text, n=4):
