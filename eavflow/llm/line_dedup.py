@@ -46,7 +46,7 @@ from eavflow.llm.forest import Forest
 from eavflow.session import drop_path
 
 SHINGLE, BANDS, ROWS, SIMILAR, TILE, BITS = 8, 10, 3, 0.8, 256, 26
-BLOCK, WIDE = 1 << 17, 1 << 14      # characters hashed, and shingles compared, at once
+BLOCK, SLOTS = 1 << 17, 512         # characters hashed at once; slots of a set's sketch (9 bits)
 BLANK = " \t\n\x0b\x0c\r"
 RESULT = ("n_lines", "removed")
 _RNG = np.random.Generator(np.random.PCG64(11))
@@ -134,45 +134,51 @@ def bands(lines: list[str]) -> np.ndarray:
     return out
 
 
+def _starts(sorted_keys: np.ndarray) -> np.ndarray:
+    """Which keys differ from the one before."""
+    new = np.ones(len(sorted_keys), bool)
+    np.not_equal(sorted_keys[1:], sorted_keys[:-1], out=new[1:])
+    return new
+
+
 class Sets:
-    """The shingle sets of lines, as numbers that equal shingles share: ``ids[start[i]:start[i] + size[i]]``, sorted."""
+    """The shingle sets of lines, as sorted 64-bit hashes, ``ids[start[i]:start[i] + size[i]]``."""
 
     def __init__(self, lines: list[str]):
         h, n = _hashes([x.lower() for x in lines], _rolling, xxhash.xxh3_64_intdigest)
-        ids = np.unique(h, return_inverse=True)[1].astype(np.uint64)
-        both = np.unique(np.repeat(np.arange(len(n), dtype=np.uint64) << np.uint64(32), n) | ids)
-        self.size = np.bincount((both >> np.uint64(32)).astype(np.int64), minlength=len(n))
+        ends = np.cumsum(n)
+        for lo, hi in zip((ends - n).tolist(), ends.tolist()):
+            h[lo:hi].sort()
+        new = _starts(h)
+        new[ends - n] = True
+        line = np.repeat(np.arange(len(n)), n)[new]
+        self.ids = h[new]
+        self.size = np.bincount(line, minlength=len(n))
         self.start = np.cumsum(self.size) - self.size
-        self.ids = (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        # how many shingles of a line fall into each of SLOTS: the sum of two lines' minima bounds what they share
+        slot = (self.ids >> np.uint64(55)).view(np.int64)
+        slot += line * SLOTS
+        self.slots = np.bincount(slot, minlength=len(n) * SLOTS).astype(np.int32).reshape(-1, SLOTS)
+
+    def shared(self, a: int, b: int) -> int:
+        x, y = (self.ids[self.start[i]:self.start[i] + self.size[i]] for i in (a, b))
+        both = np.sort(np.concatenate([x, y]))
+        return int(np.count_nonzero(both[1:] == both[:-1]))
 
     def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Which pairs of lines a[i], b[i] are similar: shingles that occur twice in a pair are counted after one sort."""
-        sa, sb = self.size[a], self.size[b]
-        ok = np.minimum(sa, sb) >= SIMILAR * np.maximum(sa, sb) - 1e-9
-        at = np.flatnonzero(ok)
-        n = np.concatenate([sa[at], sb[at]])
-        pair = np.repeat(np.tile(np.arange(len(at), dtype=np.uint64), 2) << np.uint64(32), n)
-        key = np.sort(pair | self.ids[_ranges(self.start[np.concatenate([a[at], b[at]])], n)].astype(np.uint64))
-        both = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(32)).astype(np.int64), minlength=len(at))
-        ok[at] = both / (sa[at] + sb[at] - both) >= SIMILAR
+        """Which pairs of lines a[i], b[i] are similar; exact sets are compared where the bound leaves it open."""
+        all_ = self.size[a] + self.size[b]
+        least = SIMILAR / (1 + SIMILAR) * all_ - 1e-6      # shingles that similar lines share
+        at = np.flatnonzero(np.minimum(self.size[a], self.size[b]) >= least)
+        ok = np.zeros(len(a), bool)
+        for lo in range(0, len(at), 512):
+            some = at[lo:lo + 512]
+            bound = np.minimum(self.slots[a[some]], self.slots[b[some]]).sum(axis=1)
+            for i in some[bound >= least[some]].tolist():
+                both = self.shared(a[i], b[i])
+                ok[i] = both / (all_[i] - both) >= SIMILAR
         return ok
 
-    def between(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places (i, j) of similar lines a[i], b[j]: products of 0/1 matrices, WIDE shingles at a time."""
-        if not len(a) or not len(b):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        line = np.concatenate([a, b])
-        n = self.size[line]
-        known, local = np.unique(self.ids[_ranges(self.start[line], n)], return_inverse=True)
-        row = np.repeat(np.arange(len(line)), n)
-        both = np.zeros((len(a), len(b)))
-        for lo in range(0, len(known), WIDE):
-            some = (local >= lo) & (local < lo + WIDE)
-            has = np.zeros((len(line), min(WIDE, len(known) - lo)), np.float32)
-            has[row[some], local[some] - lo] = 1
-            both += has[:len(a)] @ has[len(a):].T
-        return np.nonzero(both / (n[:len(a), None] + n[None, len(a):] - both) >= SIMILAR)
-
 
 def _runs(texts: list[str | None], most: int = 1 << 19):
     """Texts of about ``most`` characters at a time: each line's text, number and words, with its 128-bit key."""
@@ -267,8 +273,8 @@ def _star(pairs: DataFrame) -> DataFrame:
     def verify(batches):
         for b in batches:
             b = pa.RecordBatch.from_arrays([b.column(c) for c in ("node", "head", "line", "other")], ["node", "head", "line", "other"])
-            size = np.add(*(pc.utf8_length(b.column(c)).to_numpy() for c in ("line", "other")))
-            for lo, hi in _slices(size.tolist(), 4 * BLOCK):
+            size = np.add(*(pc.utf8_length(b.column(c)).to_numpy() + SLOTS for c in ("line", "other")))
+            for lo, hi in _slices(size.tolist(), 8 * BLOCK):
                 run = b.slice(lo, hi - lo)
                 node, head = run.column("node").to_numpy(), run.column("head").to_numpy()
                 sets, at = _sets(np.concatenate([node, head]), pa.concat_arrays([run.column("line"), run.column("other")]))
@@ -279,22 +285,26 @@ def _star(pairs: DataFrame) -> DataFrame:
 
 def _full(tiles: DataFrame, sizes: DataFrame) -> DataFrame:
     """Links between lines of different components in the same band group, as a forest for each pair of tiles."""
-    def links(node: np.ndarray, comp: np.ndarray, at: np.ndarray, left: int, sets: Sets):
-        """The links found among rows, of which the first ``left`` are one tile and the others, if any, its partner."""
-        _, first, of, n = np.unique(comp, return_index=True, return_inverse=True, return_counts=True)
-        if len(n) == 1:
-            return
-        forest = Forest(len(node))
-        forest.link(first[of], np.arange(len(node)))
-        forest.edges.clear()        # known links
-        rest = of != n.argmax()     # two rows of the most frequent component need no comparison
-        place = np.arange(len(node))
-        one, two = place[:left], place[left:] if left < len(node) else place
-        for p, q in ((one[rest[:left]], two), (one[~rest[:left]], two[rest[two]] if left < len(node) else two[:0])):
-            i, j = sets.between(at[p], at[q])
-            forest.link(p[i], q[j])
-        e = node[np.array(forest.edges, np.int64).reshape(-1, 2)]
-        yield pa.RecordBatch.from_pydict({"a": pa.array(e[:, 0]), "b": pa.array(e[:, 1])})
+    def open_pairs(comp: np.ndarray, left: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows to compare: of different components, of both tiles (the first ``left`` rows and the others) or of the only one."""
+        two = left < len(comp)
+        _, of, n = np.unique(comp, return_inverse=True, return_counts=True)
+        rest, place = of != n.argmax(), np.arange(len(comp))    # most rows may be of one component: not compared with each other
+        one, other = place[:left], place[left:] if two else place
+        found = []
+        for p, q in ((one[rest[one]], other), (one[~rest[one]], other[rest[other]] if two else other[:0])):
+            i, j = np.repeat(p, len(q)), np.tile(q, len(p))
+            # in one tile a pair of two rows outside the most frequent component is met twice
+            open_ = (of[i] != of[j]) & (two | (i < j) | ~rest[j])
+            found.append((i[open_], j[open_]))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def forest(node: np.ndarray, comp: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Of the similar rows i, j those pairs of nodes that connect components."""
+        _, first, of = np.unique(comp, return_index=True, return_inverse=True)
+        links = Forest(len(first))
+        links.link(of[i], of[j])
+        return node[first[np.array(links.edges, np.int64).reshape(-1, 2)]]
 
     def verify(batches):
         for b in batches:
@@ -302,16 +312,19 @@ def _full(tiles: DataFrame, sizes: DataFrame) -> DataFrame:
             n = [pc.fill_null(pc.list_value_length(x), 0).to_numpy().astype(np.int64) for x in sides]
             ends = [np.concatenate([[0], np.cumsum(x)]) for x in n]
             flat = [x.flatten() for x in sides]
-            chars = [np.concatenate([[0], np.cumsum(pc.utf8_length(x.field("line")).to_numpy())]) for x in flat]
-            size = sum(c[e[1:]] - c[e[:-1]] for c, e in zip(chars, ends))
-            for lo, hi in _slices(size.tolist(), 4 * BLOCK):
+            cost = [np.concatenate([[0], np.cumsum(pc.utf8_length(x.field("line")).to_numpy() + SLOTS)]) for x in flat]
+            size = sum(c[e[1:]] - c[e[:-1]] for c, e in zip(cost, ends))
+            for lo, hi in _slices(size.tolist(), 8 * BLOCK):
                 part = [x.slice(e[lo], e[hi] - e[lo]) for x, e in zip(flat, ends)]
                 node, comp = (np.concatenate([x.field(c).to_numpy() for x in part]) for c in ("node", "comp"))
                 sets, at = _sets(node, pa.concat_arrays([x.field("line") for x in part]))
-                for i in range(lo, hi):
-                    mine = np.concatenate([np.arange(ends[0][i], ends[0][i + 1]) - ends[0][lo],
-                                           np.arange(ends[1][i], ends[1][i + 1]) - ends[1][lo] + len(part[0])])
-                    yield from links(node[mine], comp[mine], at[mine], int(n[0][i]), sets)
+                for k in range(lo, hi):
+                    mine = np.concatenate([np.arange(ends[0][k], ends[0][k + 1]) - ends[0][lo],
+                                           np.arange(ends[1][k], ends[1][k + 1]) - ends[1][lo] + len(part[0])])
+                    i, j = open_pairs(comp[mine], int(n[0][k]))
+                    ok = sets.pairs(at[mine[i]], at[mine[j]])
+                    e = forest(node[mine], comp[mine], i[ok], j[ok])
+                    yield pa.RecordBatch.from_pydict({"a": pa.array(e[:, 0]), "b": pa.array(e[:, 1])})
 
     last = F.col("tiles") - 1
     pairs = (sizes.select("b", "tiles", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("tile"))
@@ -332,7 +345,8 @@ def _components(candidates: DataFrame, scratch: Scratch) -> DataFrame:
     pairs = members.where("node <> head").select("node", "head").distinct()
     stars = scratch.write(pairs.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
                           .join(lines.select(F.col("node").alias("head"), F.col("line").alias("other")), "head"))
-    star = scratch.write(_star(lookup_join(pairs, stars, ["head"], "n").join(lines.select("node", "line"), "node")
+    # a head's rows come one after another, so that its set is made once for them
+    star = scratch.write(_star(lookup_join(pairs.join(lines.select("node", "line"), "node"), stars, ["head"], "n")
                                .select("node", "head", "line", "other")))
     comps = scratch.write(components(star, scratch))
     members = scratch.write(members.join(comps, "node", "left").select(
@@ -369,19 +383,25 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
     cut = scratch.write(_cut(base), ["kind"], compression="zstd", writers=3)
     heads = scratch.write(cut.where("kind = 1").select("k", F.explode("bands").alias("b")).groupBy("b")
                           .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("b"))
-    inner = Scratch(spark, "line-candidates")
-    comps = scratch.write(_components(_candidates(cut, _bit_map(spark, heads)), inner))
+    inner, hits = Scratch(spark, "line-candidates"), _bit_map(spark, heads)
+    scratch.drop(heads)
+    comps = scratch.write(_components(_candidates(cut, hits), inner))
     inner.close()
     drop_path(spark, f"{cut._eav_path}/kind=1")
+    # only lines that occur again or are linked can go
+    found = scratch.write(cut.where("kind = 0").groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(comps, "key", "left")
+                          .where("n > 1 OR comp IS NOT NULL"))
     place = F.struct(F.col("_e_id").isNull().alias("z"), "_e_id", "_e_row", "number")
-    lines = cut.where("kind = 0").select("_e_row", "_e_id", "number", "key")
-    classes = scratch.write(lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")))
-    linked = scratch.write(classes.join(comps, "key"))
+    lines = scratch.write(lookup_join(cut.where("kind = 0").select("_e_row", "_e_id", "number", "key"), found, ["key"], "n"))
+    drop_path(spark, f"{cut._eav_path}/kind=0")
+    classes = scratch.write(lines.groupBy("key").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.min(place).alias("first")))
+    linked = classes.where("comp IS NOT NULL")
     best = scratch.write(linked.groupBy("comp").agg(F.min("first").alias("best"), F.count(F.lit(1)).alias("k")))
     answer = scratch.write(
         lookup_join(linked.select("key", "n", "comp"), best, ["comp"], "k").select("key", "n", "best")
-        .unionByName(classes.where("n > 1").join(comps, "key", "left_anti").select("key", "n", F.col("first").alias("best"))))
-    out = (lookup_join(lines, answer, ["key"], "n")
+        .unionByName(classes.where("comp IS NULL").select("key", "n", F.col("first").alias("best"))))
+    scratch.drop(found, classes, best)
+    out = (lookup_join(lines.select("_e_row", "number", "key"), answer, ["key"], "n")
            .where((F.col("best._e_row") != F.col("_e_row")) | (F.col("best.number") != F.col("number")))
            .select("_e_row", "number").unionByName(cut.where("kind = 2").select("_e_row", F.col("number").alias("n_lines")),
                                                    allowMissingColumns=True)
