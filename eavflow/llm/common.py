@@ -45,12 +45,13 @@ class Scratch:
     def close(self) -> None:
         drop_path(self.spark, self.root)
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] = (), compression: str = "snappy", writers: int = 0) -> DataFrame:
+    def write(self, df: DataFrame, partition_by: Sequence[str] = (), compression: str = "snappy", writers: int = 0,
+              options: dict[str, str] | None = None) -> DataFrame:
         """Stage ``df``; with ``writers``, a task keeps that many partitions' files open instead of sorting its rows."""
         self.n += 1
         path = f"{self.root}/t{self.n}"
         with shuffles_freed(self.spark), setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", str(writers)):
-            df.write.partitionBy(*partition_by).option("compression", compression).parquet(path)
+            df.write.partitionBy(*partition_by).option("compression", compression).options(**options or {}).parquet(path)
         out = self.spark.read.schema(_schema(df, partition_by)).parquet(path)
         out._eav_path = path
         return out

@@ -47,6 +47,8 @@ from eavflow.session import drop_path
 
 SHINGLE, BANDS, ROWS, SIMILAR, TILE, BITS = 8, 10, 3, 0.8, 256, 26
 BLOCK, SLOTS = 1 << 17, 512         # characters hashed at once; slots of a set's sketch (9 bits)
+# texts, keys and hashes are mostly distinct: no dictionaries, light compression
+FAST = {"parquet.enable.dictionary": "false", "parquet.compression.codec.zstd.level": "1"}
 BLANK = " \t\n\x0b\x0c\r"
 RESULT = ("n_lines", "removed")
 _RNG = np.random.Generator(np.random.PCG64(11))
@@ -379,8 +381,8 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
     order = [c for c in without(df, RESULT) if c == text_col or c in own]
     base = scratch.write(df.select(F.monotonically_increasing_id().alias("_e_row"), col(id_col).alias("_e_id"),
                                    F.struct(F.lit(0).alias("_e_0"), *[col(c) for c in own]).alias("_e_df"),
-                                   col(text_col).alias("text")), compression="zstd")
-    cut = scratch.write(_cut(base), ["kind"], compression="zstd", writers=3)
+                                   col(text_col).alias("text")), compression="zstd", options=FAST)
+    cut = scratch.write(_cut(base), ["kind"], compression="zstd", writers=3, options=FAST)
     heads = scratch.write(cut.where("kind = 1").select("k", F.explode("bands").alias("b")).groupBy("b")
                           .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("b"))
     inner, hits = Scratch(spark, "line-candidates"), _bit_map(spark, heads)
