@@ -9,7 +9,8 @@ the radius from the plane between the two pivots,
 (d(y, p_i)^2 - d(y, p_j)^2) / 2 d(p_i, p_j) <= radius.  A vector that meets both
 for a cell before its own is replicated there, so each pair meets in exactly
 one cell, that of the smaller number.  Cells join independently, in tiles of
-bounded size, so that a crowded cell is many tasks.
+bounded size, so that a crowded cell is many tasks.  The number of pivots grows with the
+square root of the number of vectors and there are always two where two vectors differ.
 
 Copies of a vector are one node with a count.  A tile pair returns each node's
 number of links and a spanning forest of them, never the pairs of a group.
@@ -32,10 +33,16 @@ from pyspark.sql import functions as F
 from eavflow.llm.common import Scratch, col, components, lookup_join, ship, without
 from eavflow.llm.forest import Forest
 
-COSINE, SAMPLE_BYTES, PIVOTS, PER_PIVOT, TILE, SLACK = 0.9, 16 << 20, 256, 8192, 2048, 1e-9
+COSINE, SAMPLE_BYTES, TILE, SLACK = 0.9, 16 << 20, 2048, 1e-9
+#: sqrt(n) / ROOT_SHARE pivots (SAMPLE_BYTES of them at most), four sampled vectors to choose each from, tile pairs a task.
+ROOT_SHARE, CHOICE, PAIRS_A_TASK = 16, 4, 16
 RESULT = ("n_links", "component_id", "kept")
 
 
+def pivot_count(n: int) -> int:
+    return max(2, math.ceil(math.sqrt(n) / ROOT_SHARE))
+
+
 def choose_pivots(sample: np.ndarray, most: int) -> np.ndarray:
     """Farthest-first traversal from the sample's first vector."""
     chosen = [0]
@@ -70,11 +77,11 @@ def _unit(values: list) -> np.ndarray:
 def _join(nodes: DataFrame, dim: int, cosine: float, scratch: Scratch) -> DataFrame:
     """(node, links, a, b): link counts by node (a null) and forest edges (node null) among ``nodes`` of one length."""
     radius = math.sqrt(2 - 2 * cosine)
-    n = nodes.count()
-    limit = max(64, min(4096, SAMPLE_BYTES // (8 * dim)))
+    most = pivot_count(nodes.count())
+    limit = max(2, min(max(64, CHOICE * most), SAMPLE_BYTES // (8 * dim)))
     # at most SAMPLE_BYTES of vectors, chosen by a hash: pivots only steer the work, any choice gives the same result
     sample = _unit([r[0] for r in nodes.select("v").orderBy(F.xxhash64("v"), "node").limit(limit).collect()])
-    pivots = choose_pivots(sample, min(PIVOTS, max(1, n // PER_PIVOT)))
+    pivots = choose_pivots(sample, most)
 
     def assign(batches):
         for b in batches:
@@ -90,10 +97,11 @@ def _join(nodes: DataFrame, dim: int, cosine: float, scratch: Scratch) -> DataFr
                     "x": pa.array([v.tobytes() for v in x[at]], pa.binary())})
 
     dealt = scratch.write(nodes.mapInArrow(assign, "node long, m long, cell int, guest boolean, x binary"))
-    # one row per cell: at most PIVOTS
+    # one row per cell
     size = dealt.groupBy("cell").agg(F.sum(F.col("guest").cast("long")).alias("g"), F.count(F.lit(1)).alias("n"))
     tiles = size.select("cell", F.ceil((F.col("n") - F.col("g")) / TILE).alias("h_tiles"), F.ceil(F.col("g") / TILE).alias("g_tiles"))
     tiles = scratch.write(tiles)
+    pairs_all = tiles.agg(F.sum(F.col("h_tiles") * (F.col("h_tiles") + 1) / 2 + F.col("h_tiles") * F.col("g_tiles"))).first()[0]
     count = F.when(F.col("guest"), F.col("g_tiles")).otherwise(F.col("h_tiles"))
     data = (dealt.join(F.broadcast(tiles), "cell")
             .withColumn("tile", F.pmod(F.xxhash64("node"), count))
@@ -112,15 +120,18 @@ def _join(nodes: DataFrame, dim: int, cosine: float, scratch: Scratch) -> DataFr
             .select((F.col("guest") | (F.col("t") != F.col("tile"))).alias("two"), "left", "right"))
 
     def read(rows):
-        return (np.array([r["node"] for r in rows], np.int64), np.array([r["m"] for r in rows], np.float64),
-                np.frombuffer(b"".join(r["x"] for r in rows)).reshape(len(rows), dim))
+        node, m, x = rows.values.flatten()
+        x = x.cast(pa.large_binary())
+        at = np.frombuffer(x.buffers()[1], np.int64)[x.offset:x.offset + len(x) + 1]
+        data = np.frombuffer(x.buffers()[2], np.uint8)[at[0]:at[-1]]
+        return node.to_numpy(), m.to_numpy().astype(np.float64), np.frombuffer(data.tobytes()).reshape(len(x), dim)
 
     def compare(batches):
         for b in batches:
             for k in range(b.num_rows):
                 two = b.column("two")[k].as_py()
-                node, m, x = read(b.column("left")[k].as_py())
-                node2, m2, y = read(b.column("right")[k].as_py()) if two else (node, m, x)
+                node, m, x = read(b.column("left")[k])
+                node2, m2, y = read(b.column("right")[k]) if two else (node, m, x)
                 hit = x @ y.T >= cosine
                 if not two:
                     hit = np.triu(hit, 1)
@@ -138,7 +149,7 @@ def _join(nodes: DataFrame, dim: int, cosine: float, scratch: Scratch) -> DataFr
                 yield pa.RecordBatch.from_arrays(
                     [none(len(e)), none(len(e)), pa.array(e[:, 0]), pa.array(e[:, 1])], ["node", "links", "a", "b"])
 
-    return work.repartition(512 if n > PER_PIVOT else 8).mapInArrow(compare, "node long, links long, a long, b long")
+    return work.repartition(max(8, math.ceil(pairs_all / PAIRS_A_TASK))).mapInArrow(compare, "node long, links long, a long, b long")
 
 
 def near_dedup(df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id", cosine: float = COSINE) -> DataFrame:

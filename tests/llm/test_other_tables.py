@@ -53,8 +53,8 @@ def test_vector_join(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     df = df.select("*", F.lit(1).alias("n_links"), F.lit(2).alias("node"), F.lit(3).alias("cell"))
     want = linked_by_hand(rows)
-    for per, tile in ((8192, 2048), (20, 16)):          # one cell; many cells and tiles
-        monkeypatch.setattr(vector_join, "PER_PIVOT", per)
+    for share, tile in ((vector_join.ROOT_SHARE, vector_join.TILE), (1, 16)):       # few cells; many cells and tiles
+        monkeypatch.setattr(vector_join, "ROOT_SHARE", share)
         monkeypatch.setattr(vector_join, "TILE", tile)
         out = vector_join.near_dedup(df)
         assert out.columns == ["vec_id", "embedding", "node", "cell", "n_links", "component_id", "kept"]
@@ -63,6 +63,28 @@ def test_vector_join(spark, monkeypatch):
     assert vector_join.near_dedup(empty).count() == 0
 
 
+def test_pivots_grow_with_the_vectors_and_save_comparisons():
+    assert [vector_join.pivot_count(n) for n in (1, 500, 2000, 51282, 10 ** 8)] == [2, 2, 3, 15, 625]
+    rng = np.random.default_rng(6)
+    x = np.array(vectors(rng, 2400, 32))                # 12 clusters
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    home, also = vector_join.cells(x, vector_join.choose_pivots(x, 12), math.sqrt(0.2))
+    own, guests = np.bincount(home), also.sum(axis=0)
+    assert len(own) == 12 and (own * (own - 1) // 2 + own * guests).sum() < len(x) * (len(x) - 1) // 2 / 2
+    same = vector_join.choose_pivots(np.repeat(x[:1], 5, axis=0), 4)
+    assert len(same) == 1 and len(vector_join.choose_pivots(x[:2], 4)) == 2
+
+
+def test_every_table_is_cut_into_cells(spark, monkeypatch):
+    seen = []
+    choose = vector_join.choose_pivots
+    monkeypatch.setattr(vector_join, "choose_pivots", lambda *a: seen.append(choose(*a)) or seen[-1])
+    rows = list(enumerate(vectors(np.random.default_rng(8), 48)))
+    out = vector_join.near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert collections.Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in out.collect()) == linked_by_hand(rows)
+    assert [len(p) for p in seen] == [2]
+
+
 def test_every_near_pair_meets_in_the_smaller_cell():
     rng = np.random.default_rng(4)
     x = np.array(vectors(rng, 360))
