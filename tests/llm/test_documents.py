@@ -266,6 +266,55 @@ def test_language(spark, docs, rows, no_docs):
     assert language_id.predict(no_docs, model).count() == 0
 
 
+def bayes_by_hand(rows, cells):
+    """(text, lang) rows -> log probabilities by language and cell, one n-gram at a time."""
+    def cells_of(text):
+        t = "".join(c if ord(c) > 127 or c.isalpha() else " " for c in text.lower())
+        for n in (1, 2, 3):
+            for i in range(len(t) - n + 1):
+                h = 0
+                for c in t[i:i + n]:
+                    h = (h * 0x100000001B3 + ord(c)) % 2 ** 64
+                yield (h + n) * 0x9E3779B97F4A7C15 % 2 ** 64 * cells >> 64
+    count = {}
+    for t, l in rows:
+        if t and l and any(c.isalpha() for c in t):
+            count.setdefault(l, collections.Counter()).update(cells_of(t))
+    logs = {l: [math.log((n[c] + 0.1) / (sum(n.values()) + 0.1 * cells)) for c in range(cells)] for l, n in count.items()}
+    return logs, lambda t: {l: sum(p[c] for c in cells_of(t)) for l, p in logs.items()}
+
+
+def test_language_training_and_scores_by_hand(spark, rows, monkeypatch):
+    taught = [(t, l) for _, t, l, *_ in rows if t is None or len(t) < 900]
+    for piece, matrix in ((language_id.PIECE, language_id.MATRIX), (7, 256)):     # one piece and block; many pieces, a block a language
+        monkeypatch.setattr(language_id, "MATRIX", matrix)
+        model = language_id.fit(spark.createDataFrame(taught, "text string, lang string"), cells=256)
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        logs, sums = bayes_by_hand(taught, 256)
+        assert model.langs == sorted(logs) and len(model.blocks) == (1 if piece > 10 else len(logs))
+        assert np.allclose(model.matrix, np.array([logs[x] for x in model.langs]).T, rtol=1e-12)
+        texts = [t for t, _ in taught[:40] if t and any(c.isalpha() for c in t)]
+        for t, name, score in zip(texts, *model.predict(texts)):
+            total = sums(t)
+            best = max(sorted(total), key=total.get)
+            assert name == best
+            assert math.isclose(score, 1 / sum(math.exp(v - total[best]) for v in total.values()), rel_tol=1e-6)
+
+
+def test_pieces_of_a_text_have_its_grams(monkeypatch):
+    texts = ["Ünï cödé xyz", "", "a", "ab", "abc", "ΑΣ ΟΔΟΣ 漢字 and more of it", "x" * 70]
+    whole = [sorted(language_id.grams([t], 1 << 12)[0]) for t in texts]
+    for piece in (1, 2, 3, 8):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        got = collections.defaultdict(list)
+        for at, parts, starts in language_id._runs(texts):
+            assert sum(map(len, parts)) <= piece + 2 * len(parts)
+            cell, n = language_id.grams(parts, 1 << 12, starts)
+            for i, p in zip(at, np.split(cell, np.cumsum(n)[:-1])):
+                got[i] += p.tolist()
+        assert [sorted(got[i]) for i in range(len(texts))] == whole
+
+
 def test_grams_of_a_batch_are_those_of_each_text():
     texts = ["ab", "", "a", "Ünï cödé", "漢字 xyz!"]
     cell, n = language_id.grams(texts, 1 << 12)
