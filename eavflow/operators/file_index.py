@@ -13,6 +13,7 @@ kind      key         rows routed there                             used by
 ``T``     ``form``    names of link targets                         J5
 ``L``     ``id``      rows whose id carries the label marker        J3
 ``B``     ``data``    link rows naming a record (``MEMBER_B``)      J5
+``X_...`` its own     rows of a ``Dictionary``                      F1
 ========  ==========  ============================================  ==========
 
 The grouping key is ``(src, kind, key)``; ``src`` is in every key because
@@ -25,7 +26,9 @@ consumer reads its own rows only and a dictionary's size is known.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
@@ -56,6 +59,31 @@ def rel_col(relation: str) -> str:
     return f"r__{relation}"
 
 
+@dataclass(frozen=True)
+class Dictionary:
+    """A lookup of a caller's own in the rows of each file, built in the same pass as all others.
+
+    ``where`` (a condition) and ``key`` (null: left out) are SQL over a row's
+    columns, ``values`` are (name, SQL aggregate) pairs over the rows of one key
+    (no DISTINCT: it would send every routed row through one more shuffle).
+    """
+    name: str
+    where: str
+    key: str
+    values: tuple
+
+    def __post_init__(self):
+        if not re.fullmatch(r"\w+", self.name, re.ASCII):
+            raise ValueError(f"a dictionary's name is made of letters, digits and underscores: {self.name!r}")
+
+    @property
+    def kind(self) -> str:
+        return f"X_{self.name}"
+
+    def column(self, value: str) -> str:
+        return f"x__{self.name}__{value}"
+
+
 @dataclass
 class FileIndex:
     records: DataFrame      # src, form, rk, header..., a__<id>...
@@ -64,10 +92,12 @@ class FileIndex:
     targets: DataFrame      # src, form, n__*
     labels: DataFrame       # src, id, label, label_hit (always true: marks a match)
     members: DataFrame      # src, data, lf
-    sizes: dict[str, int]   # staged bytes of each of them
+    sizes: dict[str, int]   # staged bytes of each of them, and of the extra ones
+    extra: dict[str, DataFrame] = field(default_factory=dict)      # Dictionary name -> src, key, its values
 
 
-def build_index(rec: DataFrame, tpl: Template, stage: Stage | None = None) -> FileIndex:
+def build_index(rec: DataFrame, tpl: Template, stage: Stage | None = None,
+                dictionaries: Sequence[Dictionary] = ()) -> FileIndex:
     L = tpl.lookups
     g, i, d, frm = F.col("group_"), F.col("id"), F.col("data"), F.col("form")
     is_rec = (g == tpl.group) & i.isNotNull()
@@ -83,6 +113,7 @@ def build_index(rec: DataFrame, tpl: Template, stage: Stage | None = None) -> Fi
         to(i.isin(name_ids) if name_ids else F.lit(False), K_TARGET, frm),
         to(i.contains(L.label_marker), K_LABEL, i),
         to(i == L.link_member_record, K_MEMBER, d),
+        *[to(F.expr(f"({x.where}) AND ({x.key}) IS NOT NULL"), x.kind, F.expr(x.key).cast("string")) for x in dictionaries],
     ), lambda x: x.isNotNull())
     header = list(tpl.header)
     routed = rec.select("src", "ord", *header, "form", "group_", "id", "data",
@@ -104,6 +135,7 @@ def build_index(rec: DataFrame, tpl: Template, stage: Stage | None = None) -> Fi
         *[_first("data", i == n).alias(name_col(n)) for n in name_ids],
         F.min_by(d, F.col("ord")).alias("label"),
         F.min_by(frm, F.col("ord")).alias("lf"),
+        *[F.expr(how).alias(x.column(value)) for x in dictionaries for value, how in x.values],
     ]
     agg = routed.groupBy("src", F.col("_k.kind").alias("kind"), F.col("_k.key").alias("key")).agg(*aggs)
     # Every consumer filters on ``kind``; without a cut the optimizer pushes those
@@ -125,4 +157,7 @@ def build_index(rec: DataFrame, tpl: Template, stage: Stage | None = None) -> Fi
         labels=of(K_LABEL, F.col("key").alias("id"), "label", F.lit(True).alias("label_hit")),
         members=of(K_MEMBER, F.col("key").alias("data"), "lf"),
         sizes={name: stored_bytes(agg, f"kind={k}") for name, k in (
-            ("codes", K_CODE), ("links", K_LINK), ("targets", K_TARGET), ("labels", K_LABEL), ("members", K_MEMBER))})
+            ("codes", K_CODE), ("links", K_LINK), ("targets", K_TARGET), ("labels", K_LABEL), ("members", K_MEMBER),
+            *[(x.name, x.kind) for x in dictionaries])},
+        extra={x.name: of(x.kind, "key", *[F.col(x.column(value)).alias(value) for value, _ in x.values])
+               for x in dictionaries})

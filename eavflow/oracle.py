@@ -643,8 +643,7 @@ def field_dictionary() -> str:
     return with_fixture(*_wide_ctes(), body="\nUNION ALL ".join(parts))
 
 
-def second_template() -> str:
-    ev = """
+_EVENT_ROWS = """
 e0 AS (SELECT *, 'e' || CAST(user_id % 4 AS VARCHAR) AS src FROM events),
 ea AS (
   SELECT *, 0 AS j, event_type AS id, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS data FROM e0
@@ -658,17 +657,38 @@ ev AS (
          CAST(event_id AS VARCHAR) AS cwguid, 'U' || CAST(user_id AS VARCHAR) AS form, id, data
   FROM ea
 )"""
+
+
+def _event_last(i: str) -> str:
+    return f"arg_max_null(data, ord) FILTER (WHERE id = '{i}')"
+
+
+def second_template() -> str:
     hdr = ", ".join(f"arg_max_null({h}, ord) AS {h}" for h in HEADER)
-    last = lambda i: f"arg_max_null(data, ord) FILTER (WHERE id = '{i}')"
+    last = _event_last
     kinds = ["view", "click", "purchase", "error", "signup"]
     cols = ", ".join(f"{last(k)} AS last_{k}" for k in kinds)
-    return f"""WITH {ev},
+    return f"""WITH {_EVENT_ROWS},
 u AS (SELECT src, {hdr}, {cols}, {last('plan')} AS plan0, {last('active')} AS active0 FROM ev WHERE id IS NOT NULL GROUP BY src, form)
 SELECT u.src, {', '.join('u.' + h for h in HEADER)}, {', '.join('u.last_' + k for k in kinds)},
   coalesce('Plan ' || n.n_name, u.plan0) AS plan, {yes_no_some_sql('u.active0')} AS active
 FROM u LEFT JOIN nation n ON n.n_nationkey < 5 AND u.plan0 = 'P' || CAST(n.n_nationkey AS VARCHAR)"""
 
 
+def plugin_template() -> str:
+    hdr = ", ".join(f"arg_max_null({h}, ord) AS {h}" for h in HEADER)
+    return f"""WITH {_EVENT_ROWS},
+u AS (SELECT src, {hdr}, {_event_last('plan')} AS plan, {_event_last('view')} AS view0, {_event_last('active')} AS active0
+      FROM ev WHERE id IS NOT NULL GROUP BY src, form),
+p AS (SELECT src, data AS code, arg_min(form, ord) AS plan_first, CAST(count(*) AS VARCHAR) AS plan_uses
+      FROM ev WHERE id = 'plan' GROUP BY src, data),
+a AS (SELECT src, data AS code, arg_max(form, ord) AS n FROM ev WHERE id = 'active' AND data <> '0' GROUP BY src, data)
+SELECT u.src, {', '.join('u.' + h for h in HEADER)}, u.plan, p.plan_first, p.plan_uses,
+  CASE WHEN CAST(u.view0 AS DECIMAL(18,2)) >= 50 THEN 'high' WHEN u.view0 IS NOT NULL THEN 'low' END AS view_band,
+  coalesce(a.n, u.active0) AS active_alike
+FROM u LEFT JOIN p ON u.src = p.src AND u.plan = p.code LEFT JOIN a ON u.src = a.src AND u.active0 = a.code"""
+
+
 def stream_notifications() -> str:
     return with_objects("""SELECT DISTINCT 's3://' || bucket || '/' || tenant || '/cv/report ' || CAST(page_id AS VARCHAR)
   || '&v1.csv' AS src, bucket FROM objs""")
@@ -714,6 +734,7 @@ ORACLES.update({
     "catalog_query": catalog_query,
     "queue_pending": queue_pending,
     "second_template": second_template,
+    "plugin_template": plugin_template,
     "field_dictionary": field_dictionary,
     "stream_notifications": stream_notifications,
     "stream_convert": stream_convert,

@@ -8,7 +8,8 @@ Plan shape (independent of the number of records or files)::
           forms -> link walk   (narrow N:1 joins)              |
                 -> enrichment rows -> one aggregation by rk ---+-> join on (src, rk) -> 35 columns
 
-No ``collect``; the driver only builds the plan.
+What a field contributes to each step is its transform's (``transforms``), so a
+caller's own kinds join the same plan.  No ``collect``; the driver only builds the plan.
 """
 
 from __future__ import annotations
@@ -16,14 +17,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eavflow.functions import values as V
-from eavflow.operators import links, lookup
 from eavflow.operators.file_index import FileIndex, build_index
-from eavflow.operators.reshape import attr_col
 from eavflow.plans import spec as S
+from eavflow.plans import transforms as T
 from eavflow.plans.stage import Stage
 
 
@@ -34,95 +33,34 @@ class Conversion:
     index: FileIndex
 
 
-def _scalar(kind: str, c: Column) -> Column:
-    if kind == S.COPY:
-        return c
-    if kind == S.YES_NO:
-        return V.yes_no(c)
-    if kind == S.YES_NO_SOME:
-        return V.yes_no_some(c)
-    if kind == S.DATE:
-        return V.date_norm(c)
-    raise ValueError(kind)
-
-
 def _union(parts: list[DataFrame]) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
 
 
 def enrichment(idx: FileIndex, tpl: S.Template) -> tuple[DataFrame | None, DataFrame | None]:
     """All join-backed field values as (src, rk, kind, value, hit) rows, plus diagnostics."""
-    L = tpl.lookups
-    recs = idx.records
     parts, diags = [], []
-    link_fields = []
-    for f in tpl.fields:
-        raw = attr_col(f.source_id)
-        if f.kind == S.CODE_NAMES:
-            e, d = lookup.code_names(recs, raw, idx.codes, L.name_marker, L.sentinels, idx.sizes["codes"], f.out)
-            parts.append(e)
-            diags.append(d)
-        elif f.kind == S.CODE_LABELS:
-            e, d = lookup.code_labels(recs, raw, idx.labels, L.label_marker, idx.sizes["labels"], f.out)
-            parts.append(e)
-            diags.append(d)
-        elif f.kind == S.LOOKUP_OR_SELF:
-            parts.append(lookup.lookup_or_self(recs, raw, idx.codes, idx.sizes["codes"], f.out))
-        elif f.kind == S.LINK_NAME:
-            link_fields.append((f.out, f.param, tpl.link_name_id(f.param)))
-        elif f.kind == S.DATE:
-            diags.append(recs.where(V.date_unreadable(raw)).select(
-                "src", "form", F.lit(f.out).alias("field"), F.col(raw).alias("token"),
-                F.lit("unreadable date").alias("reason")))
-    if link_fields:
-        parts.append(links.link_names(recs, idx, link_fields))
+    for transform, fields in T.by_transform(tpl).items():
+        rows, problems = transform.enrich(idx, tpl, fields)
+        parts += rows
+        diags += problems
     return _union(parts), _union(diags)
 
 
 def fold(enrich: DataFrame, tpl: S.Template) -> DataFrame:
-    """One row per (src, rk) with one column (or two) per join-backed field."""
-    k, v = F.col("kind"), F.col("value")
-    aggs = []
-    for f in tpl.fields:
-        if f.kind in (S.CODE_NAMES, S.CODE_LABELS):
-            aggs.append(V.join_sorted_distinct(F.collect_set(F.when(k == f.out, v))).alias(f"{f.out}__items"))
-            if f.kind == S.CODE_NAMES:
-                aggs.append(F.max(F.when(k == f"{f.out}:cat", v)).alias(f"{f.out}__cat"))
-        elif f.kind == S.LOOKUP_OR_SELF:
-            aggs.append(F.max(F.when(k == f.out, v)).alias(f"{f.out}__val"))
-            aggs.append(F.max(F.when(k == f.out, F.lit(1))).alias(f"{f.out}__hit"))
-        elif f.kind == S.LINK_NAME:
-            aggs.append(F.max(F.when(k == f.out, v)).alias(f"{f.out}__val"))
-    return enrich.groupBy("src", "rk").agg(*aggs)
-
-
-def field_column(f: S.FieldSpec, tpl: S.Template) -> Column:
-    raw = F.col(attr_col(f.source_id))
-    if f.kind in S.SCALAR_KINDS:
-        return _scalar(f.kind, raw)
-    if f.kind == S.CODE_NAMES:
-        return (F.when(raw.isin(list(tpl.lookups.sentinels)), F.col(f"{f.out}__cat"))
-                 .otherwise(F.coalesce(F.col(f"{f.out}__items"), F.lit(""))))
-    if f.kind == S.CODE_LABELS:
-        return F.coalesce(F.col(f"{f.out}__items"), F.lit(""))
-    if f.kind == S.LOOKUP_OR_SELF:
-        return (F.when(V.blank(raw), raw)
-                 .when(F.col(f"{f.out}__hit").isNotNull(), F.col(f"{f.out}__val"))
-                 .otherwise(raw))
-    if f.kind == S.LINK_NAME:
-        return F.col(f"{f.out}__val")
-    raise ValueError(f.kind)
+    """One row per (src, rk) with the columns that the fields' transforms fold."""
+    return enrich.groupBy("src", "rk").agg(*[a for f in tpl.fields for a in T.transform_of(f).folds(f)])
 
 
 def convert(rec: DataFrame, tpl: S.Template = S.RISK_TEMPLATE, stage: Stage | None = None) -> Conversion:
     """EAV rows (src, ord, header..., form, group_, id, data) -> wide view; ``stage`` deletes the index after the run."""
-    idx = build_index(rec, tpl, stage)
+    idx = build_index(rec, tpl, stage, T.dictionaries(tpl))
     enrich, diags = enrichment(idx, tpl)
     wide = idx.records
     if enrich is not None:
         wide = wide.join(fold(enrich, tpl), ["src", "rk"], "left")
     view = wide.select("src", F.col("rk").alias("first_ord"), "form", *list(tpl.header),
-                       *[field_column(f, tpl).cast("string").alias(f.out) for f in tpl.fields])
+                       *[T.transform_of(f).column(f, tpl).cast("string").alias(f.out) for f in tpl.fields])
     if diags is None:
         diags = rec.sparkSession.createDataFrame([], "src string, form string, field string, token string, reason string")
     return Conversion(view, diags, idx)

@@ -1,14 +1,15 @@
 """Declarative field mapping: which attribute feeds which output column, how.
 
 A ``Template`` bundles the record group, the header columns, the field list and
-the lookup conventions of one kind of record file.  The pipeline turns each
-``FieldSpec`` into a Column expression (scalar transforms) or into one of a
-fixed set of join-backed lookups, so a template never adds Python UDFs.
+the lookup conventions of one kind of record file.  The kind of a ``FieldSpec``
+names a built-in transform or is a transform of the caller's own
+(``transforms.Transform``): Columns and joins, so a template needs no Python UDFs.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import Any
 
 # Transform kinds
 COPY = "copy"
@@ -20,15 +21,13 @@ CODE_LABELS = "code_labels"      # token -> label path list
 LOOKUP_OR_SELF = "lookup_or_self"
 LINK_NAME = "link_name"
 
-SCALAR_KINDS = {COPY, YES_NO, YES_NO_SOME, DATE}
-
 
 @dataclass(frozen=True)
 class FieldSpec:
     out: str                 # output column
     source_id: str           # attribute id the value comes from
     desc: str                # human description
-    kind: str = COPY
+    kind: Any = COPY         # a name from above, or a transform
     param: str | None = None  # relation for LINK_NAME
 
 
@@ -68,7 +67,7 @@ class Template:
     def source_ids(self) -> list[str]:
         seen: list[str] = []
         for f in self.fields:
-            if f.kind != LINK_NAME and f.source_id not in seen:
+            if getattr(f.kind, "reads_source", f.kind != LINK_NAME) and f.source_id not in seen:
                 seen.append(f.source_id)
         return seen
 

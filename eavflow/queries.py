@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eavflow.functions import values as V
-from eavflow.operators.file_index import build_index
+from eavflow.operators.file_index import Dictionary, build_index
 from eavflow.operators.reshape import attr_col, pivot_last, record_filter
 from eavflow.operators.skew import lookup
 from eavflow.plans import pipeline
 from eavflow.plans import spec as S
+from eavflow.plans.transforms import KeyedLookup, Scalar
 from eavflow.sources import fixtures as FX
 
 RISK = S.RISK_TEMPLATE
@@ -367,6 +368,27 @@ def q_second_template(spark, sf_dir):
     return pipeline.wide_view(FX.event_records(spark, sf_dir), S.EVENT_TEMPLATE)
 
 
+#: Value functions of a caller's own: a look at other rows of the file, a band, a lookup that keeps unknown values.
+_PLAN = Dictionary("plan", "group_ = 'EVENT' AND id = 'plan'", "data",
+                   (("first_user", "min_by(form, ord)"), ("uses", "count(1)")))
+_ALIKE = Dictionary("alike", "group_ = 'EVENT' AND id = 'active' AND data <> '0'", "data", (("last_user", "max_by(form, ord)"),))
+PLUGIN_TEMPLATE = S.Template(
+    name="EventPlugins", group="EVENT", header=S.RISK_HEADER,
+    fields=(
+        S.FieldSpec("plan", "plan", "Plan code"),
+        S.FieldSpec("plan_first", "plan", "First user of the file with that plan", KeyedLookup(_PLAN, "first_user")),
+        S.FieldSpec("plan_uses", "plan", "How often the file names that plan", KeyedLookup(_PLAN, "uses")),
+        S.FieldSpec("view_band", "view", "Last view value, as a band", Scalar(
+            lambda c: F.when(c.cast("decimal(18,2)") >= 50, "high").when(c.isNotNull(), "low"))),
+        S.FieldSpec("active_alike", "active", "Last user of the file with that state, or the state",
+                    KeyedLookup(_ALIKE, "last_user", or_self=True)),
+    ))
+
+
+def q_plugin_template(spark, sf_dir):
+    return pipeline.wide_view(FX.event_records(spark, sf_dir), PLUGIN_TEMPLATE)
+
+
 def q_field_dictionary(spark, sf_dir):
     view = pipeline.wide_view(_rec(spark, sf_dir), RISK)
     outs = [f.out for f in RISK.fields]
@@ -589,6 +611,7 @@ QUERIES.update({
     "catalog_query": q_catalog_query,
     "queue_pending": q_queue_pending,
     "second_template": q_second_template,
+    "plugin_template": q_plugin_template,
     "field_dictionary": q_field_dictionary,
     "stream_notifications": q_stream_notifications,
     "stream_convert": q_stream_convert,
