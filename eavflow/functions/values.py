@@ -52,29 +52,38 @@ def parse_date(c) -> Column:
     (``8/17/2020``, ``17.08.2020``, ``8/7/20``), or with an English month name
     (``Aug 17, 2020``, ``17-Aug-2020``).  A time of day and a zone may follow.
     """
-    day = F.regexp_replace(F.trim(_c(c)), _TIME, "")
-
-    def ymd(y: Column, m: Column, d: Column) -> Column:
-        short = F.when(y.cast("int") < YEAR_PIVOT, F.lit("20")).otherwise(F.lit("19"))
-        y = F.when(F.length(y) == 2, F.concat(short, y)).otherwise(y)
-        return F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("yyyy-M-d"))
-
-    def read(pattern: str, order: str, month=lambda m: m) -> Column:
-        part = {k: F.regexp_extract(day, pattern, i + 1) for i, k in enumerate(order)}
-        return F.when(day.rlike(pattern), ymd(part["y"], month(part["m"]), part["d"]))
+    def made(y_m_d: Column) -> Column:
+        return F.try_to_timestamp(y_m_d, F.lit("yyyy-M-d"))
 
     def number(name: Column) -> Column:
         at = F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.lower(F.substring(name, 1, 3)))
         return F.floor((at + 2) / 3).cast("string")
 
+    def named(day: Column, pattern: str, month: int, at: int) -> Column:
+        part = lambda i: F.regexp_extract(day, pattern, i)
+        return made(F.concat_ws("-", part(3), number(part(month)), part(at)))
+
     sep = r"([-/.])"
-    return F.coalesce(
-        read(rf"^(\d{{4}}){sep}(\d{{1,2}})\2(\d{{1,2}})$", "y_md"),
-        read(r"^(\d{4})(\d{2})(\d{2})(?:(?:[01]\d|2[0-3])[0-5]\d[0-5]\d)?$", "ymd"),
-        read(rf"^(\d{{1,2}}){sep}(\d{{1,2}})\2(\d{{4}}|\d{{2}})$", "m_dy"),
-        read(rf"^(\d{{1,2}}){sep}(\d{{1,2}})\2(\d{{4}}|\d{{2}})$", "d_my"),
-        read(rf"(?i)^{_MONTH}[ -](\d{{1,2}}),?[ -](\d{{4}})$", "mdy", number),
-        read(rf"(?i)^(\d{{1,2}})[ -]{_MONTH},?[ -](\d{{4}})$", "dmy", number))
+    year_first = rf"^(\d{{4}}){sep}(\d{{1,2}})\2(\d{{1,2}})$"
+    compact = r"^(\d{4})(\d{2})(\d{2})(?:(?:[01]\d|2[0-3])[0-5]\d[0-5]\d)?$"
+    year_last, short_last = (rf"^(\d{{1,2}}){sep}(\d{{1,2}})\2(\d{{{n}}})$" for n in (4, 2))
+    month_day, day_month = rf"(?i)^{_MONTH}[ -](\d{{1,2}}),?[ -](\d{{4}})$", rf"(?i)^(\d{{1,2}})[ -]{_MONTH},?[ -](\d{{4}})$"
+
+    def read(day: Column) -> Column:
+        # the forms exclude each other; a matching one is rewritten at once
+        century = F.when(F.substring(day, -2, 2).cast("int") < YEAR_PIVOT, F.lit("20")).otherwise(F.lit("19"))
+        either = lambda pattern, front: F.coalesce(*[
+            made(F.concat(front, F.regexp_replace(day, pattern, order))) for order in ("$4-$1-$3", "$4-$3-$1")])
+        return (F.when(day.rlike(year_first), made(F.regexp_replace(day, year_first, "$1-$3-$4")))
+                 .when(day.rlike(compact), made(F.regexp_replace(day, compact, "$1-$2-$3")))
+                 .when(day.rlike(year_last), either(year_last, F.lit("")))
+                 .when(day.rlike(short_last), either(short_last, century))
+                 .when(day.rlike(month_day), named(day, month_day, 1, 2))
+                 .when(day.rlike(day_month), named(day, day_month, 2, 1)))
+
+    text = F.trim(_c(c))
+    day = F.when(text.contains(":"), F.regexp_replace(text, _TIME, "")).otherwise(text)
+    return F.get(F.transform(F.array(day), read), 0)    # the text without its time is made once
 
 
 def date_norm(c) -> Column:
