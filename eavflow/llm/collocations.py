@@ -5,9 +5,9 @@ into words.  A place numbers the words of a block of texts in order and skips
 one number between pieces, so neighbours within a piece are neighbours in number.
 
 1. The relation R1 (block, place, word) and each block's dictionary, with the
-   block's own counts, are written.  Dictionaries add up to the words of a
-   language; those with ``least`` occurrences get a number, blocks learn the
-   numbers of their words, and other words leave the relation (semi-join).
+   block's own counts, are written.  Dictionaries are dealt out by hash and add
+   up to the words of a language; those with ``least`` occurrences get a number,
+   blocks learn the numbers of their words, and other words leave the relation.
 2. A phrase of k + 1 words is a pair of phrases of k words at neighbouring
    places, so R(k) is merge-joined with itself.  Blocks count their distinct
    pairs, pairs are dealt out by hash with these counts and added up
@@ -75,10 +75,14 @@ def relation(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.arange(len(starts)) + np.cumsum(apart), code, doc, found
 
 
+_BASE = "kind int, block long, at binary, code binary, lang string, number array<int>, word array<string>, ns array<long>, n long"
+
+
 def _relate(batches):
-    """Kind 0: a block's relation, by the block's own numbers.  Kind 1: its dictionary."""
+    """Kind 0: a block's relation, by the block's own numbers.  Kind 1: its dictionary, a row per language."""
     block = TaskContext.get().partitionId() << 32
-    names = ["kind", "block", "at", "code", "number", "lang", "word", "n"]
+    names = ["kind", "block", "at", "code", "lang", "number", "word", "ns", "n"]
+    lists = [pa.list_(t) for t in (pa.int32(), pa.string(), pa.int64())]
     for b in batches:
         buf, whole = WD.as_bytes(b.column("text"))
         langs = b.column("lang").dictionary_encode()
@@ -89,19 +93,72 @@ def _relate(batches):
             if not len(at):
                 continue
             both, code = np.unique(lang_of[text[lo:hi]][doc] * len(found) + code, return_inverse=True)
-            k, n = len(both), np.bincount(code)
+            k, n, lang = len(both), np.bincount(code), both // len(found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([0], pa.int32()), pa.array([block]), pa.array([pack_sorted(at.astype(np.uint64))], pa.binary()),
-                 pa.array([pack(code.astype(np.int64))], pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.nulls(1, pa.string()),
+                 pa.array([pack(code.astype(np.int64))], pa.binary()), pa.nulls(1, pa.string()), *[pa.nulls(1, t) for t in lists],
                  pa.array([len(at)])], names)
+            first = np.flatnonzero(np.diff(lang, prepend=-1))
+            m = len(first)
+            word = found.take(pa.array(both % len(found))).cast(pa.large_string()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(k, np.int32)), pa.array(np.full(k, block)), pa.nulls(k, pa.binary()),
-                 pa.nulls(k, pa.binary()), pa.array(np.arange(k, dtype=np.int32)),
-                 names_of.take(pa.array(both // len(found))).cast(pa.string()),
-                 found.take(pa.array(both % len(found))).cast(pa.large_string()).cast(pa.string()), pa.array(n)], names)
+                [pa.array(np.ones(m, np.int32)), pa.array(np.full(m, block)), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()),
+                 names_of.take(pa.array(lang[first])).cast(pa.string()),
+                 *[_lists(x, [*first, k]) for x in (pa.array(np.arange(k, dtype=np.int32)), word, pa.array(n))],
+                 pa.array(np.add.reduceat(n, first))], names)
             block += 1
 
 
+def _lists(values: pa.Array, cuts) -> pa.Array:
+    """Lists of the values from each cut to the next."""
+    return pa.ListArray.from_arrays(pa.array(np.asarray(cuts, np.int32)), values)
+
+
+def _offer(batches, buckets: int):
+    """The dictionaries, dealt out by the words' hash."""
+    for b in batches:
+        for i in range(b.num_rows):
+            own = {c: b.column(c).slice(i, 1).flatten() for c in ("number", "word", "ns")}
+            buf, offs = WD.as_bytes(own["word"])
+            dealt = list(deal(WD.keys(buf, offs[:-1], offs[1:], lower=False), buckets))
+            of = pa.array(np.concatenate([x for _, x in dealt]))
+            cuts = np.cumsum([0, *[len(x) for _, x in dealt]])
+            same = pa.array(np.zeros(len(dealt), np.int64))
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array([x for x, _ in dealt], pa.int64()), "block": b.column("block").slice(i, 1).take(same),
+                "lang": b.column("lang").slice(i, 1).take(same), **{c: _lists(x.take(of), cuts) for c, x in own.items()}})
+
+
+def _count_words(table: pa.Table, least: int) -> pa.Table:
+    """Kind 0: a bucket's frequent words, numbered.  Kind 1: to each block, the numbers of those it holds."""
+    lists = {c: table.column(c).combine_chunks() for c in ("number", "word", "ns")}
+    row = np.repeat(np.arange(table.num_rows), lists["number"].value_lengths().to_numpy())
+    langs, words = table.column("lang").combine_chunks().dictionary_encode(), lists["word"].flatten().dictionary_encode()
+    lang, word = langs.indices.to_numpy().astype(np.int64)[row], words.indices.to_numpy()
+    _, first, at = np.unique(lang * len(words.dictionary) + word, return_index=True, return_inverse=True)
+    total = np.zeros(len(first), np.int64)
+    np.add.at(total, at, lists["ns"].flatten().to_numpy())
+    often = total >= least
+    id_ = np.full(len(first), -1)
+    id_[often] = (table.column("bucket")[0].as_py() << 32) + np.arange(int(often.sum()))
+    first = first[often]
+    k = len(first)
+    mine = np.flatnonzero(id_[at] >= 0)
+    rows, lo = np.unique(row[mine], return_index=True)
+    m, cuts = len(rows), [*lo, len(mine)]
+    return pa.concat_tables([
+        pa.table({"kind": np.zeros(k, np.int32), "lang": langs.dictionary.take(pa.array(lang[first])),
+                  "word": words.dictionary.take(pa.array(word[first])), "a": total[often], "id": id_[often],
+                  "block": pa.nulls(k, pa.int64()), "number": pa.nulls(k, pa.list_(pa.int32())), "ids": pa.nulls(k, pa.list_(pa.int64()))}),
+        pa.table({"kind": np.ones(m, np.int32), "lang": pa.nulls(m, pa.string()), "word": pa.nulls(m, pa.string()),
+                  "a": pa.nulls(m, pa.int64()), "id": pa.nulls(m, pa.int64()), "block": table.column("block").combine_chunks().take(pa.array(rows)),
+                  "number": _lists(lists["number"].flatten().take(pa.array(mine)), cuts), "ids": _lists(pa.array(id_[at[mine]]), cuts)})])
+
+
+def _word_counter(least: int):
+    return lambda table: _count_words(table, least)
+
+
 def _numbered(block: pa.Table, known: pa.Table) -> pa.Table:
     """The block's relation by the corpus's numbers, without the words that have none."""
     if not block.num_rows or not known.num_rows:
@@ -109,7 +166,8 @@ def _numbered(block: pa.Table, known: pa.Table) -> pa.Table:
     at = unpack_sorted(block.column("at")[0].as_py())
     code = unpack(block.column("code")[0].as_py(), np.int64)
     to = np.full(int(code.max()) + 1, -1)
-    to[known.column("number").to_numpy()] = known.column("id").to_numpy()
+    number, ids = (known.column(c).combine_chunks().flatten().to_numpy() for c in ("number", "ids"))
+    to[number] = ids
     id_ = to[code]
     some = id_ >= 0
     return _rows([(block.column("block")[0].as_py(), at[some], id_[some])])
@@ -233,18 +291,21 @@ def mine(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: i
     ship(spark)
     scratch = Scratch(spark, "phrases")
     base = scratch.write(df.select(F.coalesce(col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), col(text_col).alias("text")).mapInArrow(
-        _relate, "kind int, block long, at binary, code binary, number int, lang string, word string, n long"), ["kind"], compression="zstd")
-    blocks = base.where("kind = 0").select("block", "at", "code")
-    held = base.where("kind = 1").select("block", "number", "lang", "word", "n")
+        _relate, _BASE), ["kind"], compression="zstd")
+    blocks, held = base.where("kind = 0").select("block", "at", "code"), base.where("kind = 1")
     buckets = (base.where("kind = 0").agg(F.sum("n")).first()[0] or 0) // BUCKET + 1
     total = scratch.write(held.groupBy("lang").agg(F.sum("n").alias("n")))
-    known = scratch.write(held.groupBy("lang", "word").agg(F.sum("n").alias("a"), F.count(F.lit(1)).alias("blocks")).where(F.col("a") >= least)
-                          .withColumn("id", F.monotonically_increasing_id()))
-    numbers = scratch.write(lookup_join(held.drop("n"), known, ["lang", "word"], "blocks").select(
-        F.col("block").alias("of"), "number", "id"), compression="zstd")
+    shares = (held.agg(F.sum(F.size("number"))).first()[0] or 0) // BUCKET + 1
+    offered = held.select("block", "lang", "number", "word", "ns").mapInArrow(
+        lambda x: _offer(x, shares), "bucket long, block long, lang string, number array<int>, word array<string>, ns array<long>")
+    words = scratch.write(offered.groupBy("bucket").applyInArrow(
+        _word_counter(least), "kind int, lang string, word string, a long, id long, block long, number array<int>, ids array<long>"),
+        ["kind"], compression="zstd")
+    known, numbers = words.where("kind = 0"), words.where("kind = 1").select(F.col("block").alias("of"), "number", "ids")
     drop_path(spark, f"{base._eav_path}/kind=1")
     now = scratch.write(blocks.groupBy("block").cogroup(numbers.groupBy("of")).applyInArrow(_numbered, _RELATION))
-    scratch.drop(base, numbers)
+    scratch.drop(base)
+    drop_path(spark, f"{words._eav_path}/kind=1")
     phrases = known.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a",
                            F.array("a").alias("heads"), F.array("a").alias("tails"))
     found = []
