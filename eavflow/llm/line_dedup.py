@@ -46,6 +46,7 @@ from eavflow.llm.forest import Forest
 from eavflow.session import drop_path
 
 SHINGLE, BANDS, ROWS, SIMILAR, TILE, BITS = 8, 10, 3, 0.8, 256, 26
+BAND_BITS = 40      # of a band key, where it only finds candidates
 BLOCK, SLOTS = 1 << 17, 512         # characters hashed at once; slots of a set's sketch (9 bits)
 # texts, keys and hashes are mostly distinct: no dictionaries, light compression
 FAST = {"parquet.enable.dictionary": "false", "parquet.compression.codec.zstd.level": "1"}
@@ -160,7 +161,7 @@ class Sets:
         # how many shingles of a line fall into each of SLOTS: the sum of two lines' minima bounds what they share
         slot = (self.ids >> np.uint64(55)).view(np.int64)
         slot += line * SLOTS
-        self.slots = np.bincount(slot, minlength=len(n) * SLOTS).astype(np.int32).reshape(-1, SLOTS)
+        self.slots = np.bincount(slot, minlength=len(n) * SLOTS).astype(np.int16 if self.size.max(initial=0) < 1 << 15 else np.int32).reshape(-1, SLOTS)
 
     def shared(self, a: int, b: int) -> int:
         x, y = (self.ids[self.start[i]:self.start[i] + self.size[i]] for i in (a, b))
@@ -175,7 +176,7 @@ class Sets:
         ok = np.zeros(len(a), bool)
         for lo in range(0, len(at), 512):
             some = at[lo:lo + 512]
-            bound = np.minimum(self.slots[a[some]], self.slots[b[some]]).sum(axis=1)
+            bound = np.minimum(self.slots[a[some]], self.slots[b[some]]).sum(axis=1, dtype=np.int32)
             for i in some[bound >= least[some]].tolist():
                 both = self.shared(a[i], b[i])
                 ok[i] = both / (all_[i] - both) >= SIMILAR
@@ -383,7 +384,9 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
                                    F.struct(F.lit(0).alias("_e_0"), *[col(c) for c in own]).alias("_e_df"),
                                    col(text_col).alias("text")), compression="zstd", options=FAST)
     cut = scratch.write(_cut(base), ["kind"], compression="zstd", writers=3, options=FAST)
-    heads = scratch.write(cut.where("kind = 1").select("k", F.explode("bands").alias("b")).groupBy("b")
+    # the heads only find candidates: parts of the hashes tell lines and bands apart, and are what is shuffled
+    heads = scratch.write(cut.where("kind = 1").select(F.shiftright("k", 32).cast("int").alias("k"), F.explode("bands").alias("b"))
+                          .select("k", F.col("b").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).alias("b")).groupBy("b")
                           .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("b"))
     inner, hits = Scratch(spark, "line-candidates"), _bit_map(spark, heads)
     scratch.drop(heads)
