@@ -492,3 +492,9 @@ def test_sha_of_the_normalised_text(spark):
     df = spark.createDataFrame([("a b\tc\n\x0b\x0c\rd\x1c\u00a0e",), (None,)], "t string")
     got = [r[0] for r in df.select(F.sha2(exact_dedup.normalised(F.col("t")).cast("binary"), 256)).collect()]
     assert got == [hashlib.sha256("abcd\x1c\u00a0e".encode()).hexdigest(), hashlib.sha256(b"").hexdigest()]
+
+
+def test_line_candidates_are_narrow():
+    sets = line_dedup.Sets(["abcdefghij", "abcdefghijk"])
+    assert sets.slots.dtype.itemsize == 2 and sets.slots.sum(axis=1).tolist() == [3, 4]
+    assert line_dedup.BAND_BITS <= 40

@@ -295,3 +295,12 @@ def test_bounds_hold_and_skip_blocks():
         scores = np.concatenate([a[i] @ x.T for x in q])
         best = np.argsort(-scores, kind="stable")[:6] // 60
         assert read[i, best].all()
+
+
+def test_words_are_counted_in_buckets():
+    table = pa.table({"bucket": [3, 3], "block": [1, 2], "lang": ["en", "en"], "number": pa.array([[0, 1], [0]], pa.list_(pa.int32())),
+                      "word": [["a", "b"], ["b"]], "ns": [[2, 3], [4]]})
+    got = collocations._count_words(table, 3).to_pylist()
+    number = 3 << 32
+    assert [(r["lang"], r["word"], r["a"], r["id"]) for r in got if r["kind"] == 0] == [("en", "b", 7, number)]
+    assert [(r["block"], r["number"], r["ids"]) for r in got if r["kind"] == 1] == [(1, [1], [number]), (2, [0], [number])]

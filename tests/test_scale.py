@@ -4,10 +4,13 @@ import os
 
 from pyspark.sql import functions as F
 
+from eavflow import queries
 from eavflow.functions import values as V
 from eavflow.operators import links, skew
 from eavflow.operators.file_index import build_index
+from eavflow.plans import writer
 from eavflow.plans.spec import RECORD_COLS, RISK_TEMPLATE
+from eavflow.plans.stage import Stage
 from eavflow.sources import fixtures as FX
 from eavflow.sources import records as RD
 from tests.conftest import EAV_SCHEMA
@@ -81,3 +84,55 @@ def test_the_time_of_day_is_cut_off_once(spark):
     out = df.select(V.date_norm("t").alias("day"))
     assert out._jdf.queryExecution().optimizedPlan().toString().count("UTC|GMT") == 1
     assert [r[0] for r in out.collect()] == ["2069-08-17", "1970-08-17", None, "2020-08-07", "2020-09-07", None]
+
+
+def test_sidecars_are_written_by_many_tasks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries, "SIDECARS_A_TASK", 2)
+    monkeypatch.setattr(queries, "scratch_path", lambda s, name: f"{tmp_path}/{name}")
+    spark.range(200).select(F.col("id").alias("page_id")).write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.q_property_scan(spark, str(tmp_path)).count()
+    parts = [n for _, _, names in os.walk(f"{tmp_path}/sidecars") for n in names if n.startswith("part-")]
+    assert got == FX.property_rows(spark, str(tmp_path)).count() > 40
+    assert len({n.split("-")[1] for n in parts}) >= 10
+
+
+def test_staged_tables_are_shuffled_finely(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        made = Stage(spark).table(spark.range(200_000).groupBy(F.sha2(F.col("id").cast("string"), 256).alias("k")).agg(F.max("id").alias("n")), "fine")
+    finally:
+        spark.conf.set(name, before)
+    files = made.inputFiles()
+    assert made.count() == 200_000 and len(files) > 1
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+
+
+def test_a_view_is_made_once_for_its_write(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        made.add(1)
+        return x
+
+    view = spark.range(20).select(F.lit("s3://b/t/cv/x.csv").alias("src"), F.col("id").alias("first_ord"), seen(F.col("id").cast("string")).alias("a"))
+    writer.write_view(view, str(tmp_path), ["a"])
+    assert made.value == 20
+    assert writer.read_view(spark, str(tmp_path), ["a"]).count() == 20
+
+
+def test_rows_are_routed_without_a_lambda_and_sorted_by_key(spark):
+    plans = {}
+
+    class Seen(Stage):
+        def table(self, df, name, partition_by=()):
+            plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+            return super().table(df, name, partition_by)
+
+    rec = spark.createDataFrame([("f", 1, *NONE, "L1", "LINK", "MEMBER_B", "R1"), ("f", 2, *NONE, "R1", "RISK", "R_NOTE", "x")], EAV_SCHEMA)
+    idx = build_index(rec, RISK_TEMPLATE, Seen(spark))
+    plan = plans[f"index-{RISK_TEMPLATE.name}"]
+    assert "lambda" not in plan and "Aggregate [_key" in plan
+    assert [tuple(r) for r in idx.members.collect()] == [("f", "R1", "L1")]
