@@ -12,7 +12,9 @@ or more; as only such bins can move into others, a group hands on its emptiest
 a merge holds at most FAN_IN * (FAN_IN + 1) bins whatever the input.
 
 Tokens: white space never lies inside a token, so words are encoded once and
-looked up afterwards; a worker keeps about ``KNOWN`` words.
+looked up afterwards; a worker keeps about ``KNOWN`` words.  Where the tokenizer
+is known to lower words and to cut them between letters and marks, this is done
+before, as far fewer parts than words are different.
 
 Defined cases: null text is empty and has the end token alone; repeated rows
 are packed one by one; an empty table gives an empty result.
@@ -20,6 +22,9 @@ are packed one by one; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
+import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,63 +37,113 @@ from pyspark.sql import types as T
 from eavflow.llm import words as WD
 from eavflow.llm.common import Scratch, arrow_cast, col, freeing, nullable, ship, without
 
-SEQUENCE, END_ID, FAN_IN, SLACK, CHUNK, KNOWN, BYTES = 2048, 0, 8, 8, 100_000, 400_000, 1 << 21
+SEQUENCE, END_ID, FAN_IN, SLACK, CHUNK, KNOWN, BYTES = 2048, 0, 8, 8, 100_000, 400_000, 1 << 22
 PIECE = ("piece", "start", "length", "ids")
 RESULT = ("sequence_id", "offset")
-_WORKER: dict = {}      # per worker process: path, tokenizer, ids by word (young and old)
+#: Tokenizers like this see lower case alone, and no token lies over the border of a letter and a mark (``_parts``).
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")     # small letters to U+00FF
+KIND = np.array([1 if chr(i).isalpha() else 2 if chr(i) in string.punctuation.replace("'", "") else 0 for i in range(128)] + [0] * 128, np.uint8)
+LOWER = bytes(WD.LOWER)
+_WORKER: dict = {}      # per worker process: path, tokenizer, its added tokens, whether words are cut, ids by word (young and old)
 
 
 def tokenizer(path: str):
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
     if _WORKER.get("path") != path:
-        _WORKER.update(path=path, tokenizer=Tokenizer.from_file(path), young={}, old={})
+        tok = Tokenizer.from_file(path)
+        spec = json.loads(tok.to_str())
+        plain = Tokenizer.from_file(path)
+        plain.normalizer = None
+        plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        special = [t["content"].encode().translate(LOWER) for t in spec["added_tokens"]]
+        _WORKER.update(path=path, tokenizer=tok, plain=plain, young={}, old={}, special=special,
+                       parts=(spec["normalizer"], spec["pre_tokenizer"]) == (NORMALIZER, SPLIT))
     return _WORKER["tokenizer"]
 
 
+def _encode(part: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The words' ids, and where each word's begin."""
+    e = _WORKER["tokenizer"].encode(" ".join(part), add_special_tokens=False)
+    starts = np.cumsum([0] + [len(w) + 1 for w in part])[:-1]
+    return np.array(e.ids, "<u4"), np.searchsorted(np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids)), starts)
+
+
+def _encode_plain(part: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The same for words of small letters, which normalizer and pattern leave whole."""
+    e = _WORKER["plain"].encode(" ".join(part), add_special_tokens=False)
+    return np.array(e.ids, "<u4"), np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(part)))
+
+
 def _learn(words: list[bytes], path: str) -> list[bytes]:
     """Little-endian 32-bit ids of each word, encoding those not known yet as one line each some thousands.
 
     Known words come in two generations: when the young one is full it becomes
     the old one, whose words are kept if they are met again.
     """
-    tok = tokenizer(path)
+    tokenizer(path)
     if len(_WORKER["young"]) > KNOWN // 2:
         _WORKER.update(young={}, old=_WORKER["young"])
     young, old = _WORKER["young"], _WORKER["old"]
+    found = list(map(young.get, words))
     new = []
-    for w in words:
-        if w not in young:
-            ids = old.get(w)
-            if ids is None:
-                new.append(w)
-            else:
-                young[w] = ids
-    for lo in range(0, len(new), 5_000):
-        part = [w.decode() for w in new[lo:lo + 5_000]]
-        e = tok.encode(" ".join(part), add_special_tokens=False)
-        starts = np.cumsum([0] + [len(w) + 1 for w in part])[:-1]
-        at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
-        ids = np.array(e.ids, "<u4").tobytes()
-        cut = np.searchsorted(at, starts).tolist() + [len(at)]
-        for i, w in enumerate(new[lo:lo + 5_000]):
-            young[w] = ids[4 * cut[i]:4 * cut[i + 1]]
-    return [young[w] for w in words]
+    for i in [i for i, ids in enumerate(found) if ids is None]:
+        ids = old.get(words[i])
+        if ids is None:
+            new.append(i)
+        else:
+            found[i] = young[words[i]] = ids
+    plain = [_WORKER["parts"] and PLAIN.fullmatch(words[i]) is not None for i in new]
+    for encode, some in ((_encode, [i for i, p in zip(new, plain) if not p]), (_encode_plain, [i for i, p in zip(new, plain) if p])):
+        for lo in range(0, len(some), 5_000):
+            part = some[lo:lo + 5_000]
+            ids, cut = encode([words[i].decode() for i in part])
+            data, cut = ids.tobytes(), (4 * cut).tolist() + [4 * len(ids)]
+            for i, x, y in zip(part, cut, cut[1:]):
+                found[i] = young[words[i]] = data[x:y]
+    return found
+
+
+def _parts(buf: np.ndarray, low: np.ndarray, offs: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """Words in lower case, cut between letters and marks: bytes, and the parts' starts, ends and number in each text.
+
+    For tokenizers with NORMALIZER and SPLIT, whose tokens stay the same.  A
+    pattern's match ends where a letter (A-Z or Latin-1) meets an ASCII mark; an
+    apostrophe is no mark here, it may begin a contraction.  A capital is left
+    where a combining mark may follow: the tokenizer composes them first.
+    """
+    kind, after = KIND[buf], np.append(buf[1:], np.uint8(0x20))
+    wide = (buf == 0xC3) & (after != 0x97) & (after != 0xB7)        # U+00C0-U+00FF without the signs times and divided by
+    begins, stops, mark = (kind == 1) | wide, kind == 1, kind == 2
+    stops[1:] |= wide[:-1]
+    cut = np.flatnonzero((stops[:-1] & mark[1:]) | (mark[:-1] & begins[1:])) + 1
+    at = np.zeros((2, len(buf) + 1), bool)
+    at[0, starts] = at[0, cut] = at[1, ends] = at[1, cut] = True
+    starts, ends = np.flatnonzero(at[0]), np.flatnonzero(at[1])
+    return np.where((after < 0x80) | (after == 0xC3), low, buf), starts, ends, np.diff(np.searchsorted(starts, offs))
 
 
 def token_ids(buf: np.ndarray, offs: np.ndarray, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by the end id, and each text's number of ids."""
+    tokenizer(path)
     starts, ends, n = WD.spans(buf, offs)
+    if _WORKER["parts"]:
+        low = buf.tobytes().translate(LOWER)
+        if not any(t in low for t in _WORKER["special"]):       # added tokens are looked for before anything else
+            buf, starts, ends, n = _parts(buf, np.frombuffer(low, np.uint8), offs, starts, ends)
     which, words = WD.coded(buf, starts, ends, lower=False)
-    ids = _learn(words.to_pylist(), path)
-    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    flat, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
-    per_word = size[which] if len(which) else np.zeros(0, np.int64)
-    total, doc = int(per_word.sum()), np.repeat(np.arange(len(n)), n)
-    begin = np.cumsum(per_word) - per_word
-    run = np.arange(total)
-    out = np.full(total + len(n), end_id, "<u4")
-    out[run + np.repeat(doc, per_word)] = flat[run + np.repeat(at[which] - begin, per_word)] if total else 0
-    return out, np.bincount(doc, per_word, minlength=len(n)).astype(np.int64) + 1
+    ids = _learn(words.to_pylist(), path) + [np.array([end_id], "<u4").tobytes()]
+    last = np.cumsum(n + 1)     # a text's words and its end
+    all_ = np.full(len(which) + len(n), len(words), np.int64)
+    all_[np.arange(len(which)) + np.repeat(np.arange(len(n)), n)] = which
+    got = pa.array(ids, pa.large_binary()).take(pa.array(all_))
+    cuts = np.frombuffer(got.buffers()[1], np.int64)[:len(got) + 1]
+    out = np.frombuffer(got.buffers()[2], "<u4", int(cuts[-1]) // 4) if len(got) else np.zeros(0, "<u4")
+    return out, np.diff(cuts[np.concatenate([[0], last])]) // 4
 
 
 def pieces(df: DataFrame, tokenizer_path: str, text_col: str = "text", length: int = SEQUENCE,

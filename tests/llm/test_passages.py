@@ -46,6 +46,27 @@ def test_packed_ids_are_the_tokenizers():
     assert ids.tolist() == want[0] + want[1] and n.tolist() == list(map(len, want))
 
 
+def test_ids_of_words_cut_at_marks_are_the_tokenizers():
+    from tokenizers import Tokenizer
+    t, r = Tokenizer.from_file(tokenizer_path()), random.Random(3)
+    signs = [*"aAbBhHsStT''.,;=<>|-_(\"0\x00\x7f\x1c  \t\nÄäß×÷é", "\u0301", "\u0331", "\u0338", "\u037e", "\u212a", "…", "’", "д", "漢",
+             "'ll", "'RE", "H\u0331"]
+    texts = ["".join(r.choices(signs, k=r.randint(0, 40))) for _ in range(3000)] + [None, "It's. (The) END; don't-stop"]
+    special = ["a<|startoftext|>b", "A.<|ENDOFTEXT|>,b Foo.", "<|endoftext"]     # tokens of their own: nothing is cut near them
+    for part in (texts, special):
+        ids, n = packing.token_ids(*words.as_bytes(pa.array(part)), tokenizer_path())
+        want = [t.encode(v or "", add_special_tokens=False).ids + [0] for v in part]
+        assert ids.tolist() == sum(want, []) and n.tolist() == list(map(len, want))
+
+
+def test_a_word_is_encoded_once_whatever_its_case_and_marks(monkeypatch):
+    monkeypatch.setattr(packing, "_WORKER", {})
+    texts = ["Wordish wordish, (WORDISH) \"wordish.\" Schön schön! schön-wordish"]
+    packing.token_ids(*words.as_bytes(pa.array(texts)), tokenizer_path())
+    known = packing._WORKER["young"]
+    assert [w.decode() for w in known if any(c.isalpha() for c in w.decode())] == ["wordish", "schön"]
+
+
 # -- 11 substring dedup --------------------------------------------------------------------
 
 def without_repeats(rows, size=13):
