@@ -8,8 +8,8 @@ shares a band with probability 0.9992.  Lines linked at ``SIMILAR`` or more,
 directly or through others, are one component, and the whole corpus keeps
 its first line of it: the one of the smallest (id, line number).
 
-1. Lines are cut, hashed and staged once.  Band keys are grouped to a smallest
-   and a largest line hash; keys where these differ hold different lines.  A
+1. Lines are cut, hashed and staged once.  Band keys are dealt to buckets, many
+   a row, and grouped there to a smallest and a largest line hash; keys where these differ hold different lines.  A
    bit map of fixed size of those keys tells which staged lines to look at (a
    false hit only adds a row: groups are made of the keys themselves).  Equal
    lines are one node.
@@ -47,6 +47,7 @@ from eavflow.session import drop_path
 
 SHINGLE, BANDS, ROWS, SIMILAR, TILE, BITS = 8, 10, 3, 0.8, 256, 26
 BAND_BITS = 40      # of a band key, where it only finds candidates
+HEADS = 1 << 20     # band keys dealt out at once, and in a bucket
 BLOCK, SLOTS = 1 << 17, 512         # characters hashed at once; slots of a set's sketch (9 bits)
 # texts, keys and hashes are mostly distinct: no dictionaries, light compression
 FAST = {"parquet.enable.dictionary": "false", "parquet.compression.codec.zstd.level": "1"}
@@ -237,6 +238,58 @@ def _cut(base: DataFrame) -> DataFrame:
     return base.select("_e_row", "_e_id", "text").mapInArrow(freeing(of), schema)
 
 
+def _ends(key: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, with the smallest and the largest k of each."""
+    at = np.argsort(key)
+    key, k = key[at], k[at]
+    first = np.flatnonzero(_starts(key))
+    return (key[first], np.minimum.reduceat(k, first), np.maximum.reduceat(k, first)) if len(key) else (key, k, k)
+
+
+def _heads(lines: DataFrame) -> DataFrame:
+    """The band keys, cut to BAND_BITS, that lines of different hashes ``k`` have.
+
+    Keys are dealt to buckets by their first bits.  A row holds what some lines
+    have for a bucket, as bytes: a key's low 32 and high bits and half a hash,
+    for the smallest and the largest hash alone, so that no key fills a bucket.
+    """
+    buckets = max(256, -(-lines.count() * BANDS // HEADS))
+
+    def offer(batches):
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n * BANDS >= HEADS:
+                yield deal(held)
+                held, n = [], 0
+        if n:
+            yield deal(held)
+
+    def deal(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held).combine_chunks()
+        key = t.column("bands").combine_chunks().flatten().to_numpy() & ((1 << BAND_BITS) - 1)
+        key, lo, hi = _ends(key, np.repeat((t.column("k").to_numpy() >> 32).astype(np.int32), BANDS))
+        two = lo != hi
+        at = np.repeat(np.arange(len(key)), 1 + two)
+        second = np.zeros(len(at), bool)
+        second[1:] = at[1:] == at[:-1]
+        key, k = key[at], np.where(second, hi[at], lo[at])
+        of = key * buckets >> BAND_BITS
+        cut = np.append(np.flatnonzero(_starts(of)), len(of)).astype(np.int32)
+        data = {"low": key.astype(np.uint32), "high": (key >> 32).astype(np.uint8), "k": k}
+        return pa.RecordBatch.from_pydict({"bucket": pa.array(of[cut[:-1]].astype(np.int32))} | {
+            c: pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(cut * v.itemsize), pa.py_buffer(v)]) for c, v in data.items()})
+
+    def meet(table: pa.Table) -> pa.Table:
+        low, high, k = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("low", np.uint32), ("high", np.uint8), ("k", np.int32)))
+        key, lo, hi = _ends(high.astype(np.int64) << 32 | low, k)
+        return pa.table({"b": key[lo != hi]})
+
+    return (lines.mapInArrow(freeing(offer), "bucket int, low binary, high binary, k binary")
+            .groupBy("bucket").applyInArrow(meet, "b long"))
+
+
 def _candidates(cut: DataFrame, hits: Broadcast) -> DataFrame:
     """The lines with a band key in the bit map, and those keys."""
     def of(batches):
@@ -338,10 +391,13 @@ def _full(tiles: DataFrame, sizes: DataFrame) -> DataFrame:
     return work.mapInArrow(freeing(verify), "a long, b long")
 
 
-def _components(candidates: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, comp) of the lines that are linked with a different line."""
-    lines = scratch.write(candidates.groupBy("key").agg(F.first("line").alias("line"), F.first("bands").alias("bands"))
-                          .withColumn("node", F.monotonically_increasing_id()))
+def _distinct(candidates: DataFrame) -> DataFrame:
+    return (candidates.groupBy("key").agg(F.first("line").alias("line"), F.first("bands").alias("bands"))
+            .withColumn("node", F.monotonically_increasing_id()))
+
+
+def _components(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, comp) of those of the staged distinct lines that are linked with a different line."""
     met = lines.select("node", F.explode("bands").alias("b"))
     groups = scratch.write(met.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where("n > 1"))
     members = scratch.write(lookup_join(met, groups, ["b"], "n"))
@@ -385,14 +441,13 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
                                    col(text_col).alias("text")), compression="zstd", options=FAST)
     cut = scratch.write(_cut(base), ["kind"], compression="zstd", writers=3, options=FAST)
     # the heads only find candidates: parts of the hashes tell lines and bands apart, and are what is shuffled
-    heads = scratch.write(cut.where("kind = 1").select(F.shiftright("k", 32).cast("int").alias("k"), F.explode("bands").alias("b"))
-                          .select("k", F.col("b").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).alias("b")).groupBy("b")
-                          .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("b"))
+    heads = scratch.write(_heads(cut.where("kind = 1").select("k", "bands")))
     inner, hits = Scratch(spark, "line-candidates"), _bit_map(spark, heads)
     scratch.drop(heads)
-    comps = scratch.write(_components(_candidates(cut, hits), inner))
+    some = inner.write(_distinct(_candidates(cut, hits)))
+    drop_path(spark, f"{cut._eav_path}/kind=1")     # all that is read of these lines from here on
+    comps = scratch.write(_components(some, inner))
     inner.close()
-    drop_path(spark, f"{cut._eav_path}/kind=1")
     # only lines that occur again or are linked can go
     found = scratch.write(cut.where("kind = 0").groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(comps, "key", "left")
                           .where("n > 1 OR comp IS NOT NULL"))
