@@ -8,15 +8,18 @@ shares a band with probability 0.9992.  Lines linked at ``SIMILAR`` or more,
 directly or through others, are one component, and the whole corpus keeps
 its first line of it: the one of the smallest (id, line number).
 
-1. Lines are cut, hashed and staged once.  Band keys are dealt to buckets, many
-   a row, and grouped there to a smallest and a largest line hash; keys where these differ hold different lines.  A
-   bit map of fixed size of those keys tells which staged lines to look at (a
-   false hit only adds a row: groups are made of the keys themselves).  Equal
-   lines are one node.
-2. In each band group the lines are compared with one of them (a star).
-   Groups that this leaves in several components are compared in full, in tiles
-   of bounded size, skipping pairs within a tile's most frequent component;
-   bands of the same lines are compared once.  So no pair of a group is emitted
+1. Lines are cut and hashed once; their places and band keys are staged, not
+   their words.  Band keys are dealt to buckets, many a row, and grouped there
+   to a smallest and a largest line hash; keys where these differ hold different
+   lines.  A bit map of those keys tells which keys to deal again, now with
+   whole hashes, which makes the groups (a false hit only adds a key that is
+   found to be alone).  Bands of the same lines are one group.  Equal lines are
+   one node; the words of the nodes in groups are read again from the texts.
+2. The lines of a group of up to ``TILE`` come together and are compared, first
+   with one of them, then those still in different components.  In larger
+   groups all lines are compared with one (a star); what this leaves in several
+   components is compared in full, in tiles of bounded size, skipping pairs
+   within a tile's most frequent component.  So no pair of a group is emitted
    and no link is lost.
 3. Components give each line class its first line; lines that are not it are
    taken out of their documents.
@@ -204,28 +207,28 @@ def _keys(lines: list[str]) -> list[bytes]:
     return [xxhash.xxh3_128_digest(x.encode()) for x in lines]
 
 
+def _short(keys: list[bytes]) -> np.ndarray:
+    """The first 64 bits of the keys: a line's node.  Of different lines with the same ones only one is compared with others."""
+    return np.frombuffer(b"".join(keys), np.int64)[::2]
+
+
 def _cut(base: DataFrame) -> DataFrame:
-    """Kind 0: every line's place and key.  Kind 1: the lines of a run of texts, once, with band keys.  Kind 2: texts' line counts."""
+    """Kind 0: every line's place and key.  Kind 1: the band keys of the lines of a run of texts, each line once."""
     def of(batches):
         for b in batches:
             row, id_ = b.column("_e_row").to_numpy(), b.column("_e_id")
-            count = np.zeros(b.num_rows, np.int32)
             for doc, number, line in _runs(b.column("text").to_pylist()):
                 key, n = _keys(line), len(line)
-                count += np.bincount(doc, minlength=len(count)).astype(np.int32)
                 yield rows(0, n, row=pa.array(row[doc]), id_=id_.take(pa.array(doc)), number=pa.array(number, pa.int32()),
                            key=pa.array(key, pa.binary()))
                 at = list(dict(zip(reversed(key), range(n - 1, -1, -1))).values())
                 own, line = [key[i] for i in at], [line[i] for i in at]
                 band = pa.array(bands(line).reshape(-1).view(np.int64))
-                yield rows(1, len(at), key=pa.array(own, pa.binary()), k=pa.array(np.frombuffer(b"".join(own), np.int64)[::2]),
-                           line=pa.array(line, pa.string()),
-                           bands=pa.ListArray.from_arrays(np.arange(0, len(band) + 1, BANDS, dtype=np.int32), band))
-            yield rows(2, len(row), row=pa.array(row), number=pa.array(count))
+                yield rows(1, len(at), k=pa.array(_short(own)), bands=pa.ListArray.from_arrays(np.arange(0, len(band) + 1, BANDS, dtype=np.int32), band))
 
     id_type = base.schema["_e_id"].dataType
     types = {"row": pa.int64(), "id_": to_arrow_type(id_type), "number": pa.int32(), "key": pa.binary(), "k": pa.int64(),
-             "line": pa.string(), "bands": pa.list_(pa.int64())}
+             "bands": pa.list_(pa.int64())}
 
     def rows(kind: int, n: int, **known) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32))] + [
@@ -234,7 +237,7 @@ def _cut(base: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("_e_row", T.LongType()),
                            T.StructField("_e_id", id_type), T.StructField("number", T.IntegerType()),
                            T.StructField("key", T.BinaryType()), T.StructField("k", T.LongType()),
-                           T.StructField("line", T.StringType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+                           T.StructField("bands", T.ArrayType(T.LongType()))])
     return base.select("_e_row", "_e_id", "text").mapInArrow(freeing(of), schema)
 
 
@@ -246,6 +249,13 @@ def _ends(key: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return (key[first], np.minimum.reduceat(k, first), np.maximum.reduceat(k, first)) if len(key) else (key, k, k)
 
 
+def _packed(of: np.ndarray, data: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row for each bucket in ``of`` (in order), with the bytes of its part of each array."""
+    cut = np.append(np.flatnonzero(_starts(of)), len(of)).astype(np.int32)
+    return pa.RecordBatch.from_pydict({"bucket": pa.array(of[cut[:-1]].astype(np.int32))} | {
+        c: pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(cut * v.itemsize), pa.py_buffer(v)]) for c, v in data.items()})
+
+
 def _heads(lines: DataFrame) -> DataFrame:
     """The band keys, cut to BAND_BITS, that lines of different hashes ``k`` have.
 
@@ -276,10 +286,7 @@ def _heads(lines: DataFrame) -> DataFrame:
         second[1:] = at[1:] == at[:-1]
         key, k = key[at], np.where(second, hi[at], lo[at])
         of = key * buckets >> BAND_BITS
-        cut = np.append(np.flatnonzero(_starts(of)), len(of)).astype(np.int32)
-        data = {"low": key.astype(np.uint32), "high": (key >> 32).astype(np.uint8), "k": k}
-        return pa.RecordBatch.from_pydict({"bucket": pa.array(of[cut[:-1]].astype(np.int32))} | {
-            c: pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(cut * v.itemsize), pa.py_buffer(v)]) for c, v in data.items()})
+        return _packed(of, {"low": key.astype(np.uint32), "high": (key >> 32).astype(np.uint8), "k": k})
 
     def meet(table: pa.Table) -> pa.Table:
         low, high, k = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("low", np.uint32), ("high", np.uint8), ("k", np.int32)))
@@ -290,35 +297,123 @@ def _heads(lines: DataFrame) -> DataFrame:
             .groupBy("bucket").applyInArrow(meet, "b long"))
 
 
-def _candidates(cut: DataFrame, hits: Broadcast) -> DataFrame:
-    """The lines with a band key in the bit map, and those keys."""
-    def of(batches):
-        bits = hits.value
-        for b in batches:
-            lists = b.column("bands")
-            band = lists.flatten().to_numpy().view(np.uint64)
-            slot = band & np.uint64((1 << BITS) - 1)
-            met = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool).reshape(-1, BANDS)
-            some = np.flatnonzero(met.any(axis=1))
-            met = met[some]
-            ends = np.concatenate([[0], np.cumsum(met.sum(axis=1))]).astype(np.int32)
-            keys = band.view(np.int64).reshape(-1, BANDS)[some][met]
-            yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(some)), b.column("line").take(pa.array(some)),
-                                              pa.ListArray.from_arrays(ends, pa.array(keys))], ["key", "line", "bands"])
-    return (cut.where("kind = 1").select("key", "line", "bands")
-            .mapInArrow(freeing(of), "key binary, line string, bands array<long>"))
-
-
-def _bit_map(spark, heads: DataFrame) -> Broadcast:
-    """Which of 2**BITS slots hold a band key: a numpy array of fixed size."""
-    slot = F.col("b").bitwiseAND(F.lit((1 << BITS) - 1))
-    words = (heads.select(F.shiftright(slot, 6).alias("at"), F.expr("shiftleft(1L, int(b & 63))").alias("bit"))
-             .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())       # at most 2**(BITS - 6) rows
-    out = np.zeros(1 << (BITS - 6), np.int64)
+def _bit_map(spark, table: DataFrame, of: str, bits: int) -> Broadcast:
+    """Which of 2**bits slots hold a value of the column: a numpy array."""
+    slot = F.col(of).bitwiseAND(F.lit((1 << bits) - 1))
+    words = (table.select(F.shiftright(slot, 6).alias("at"), F.expr(f"shiftleft(1L, int({of} & 63))").alias("bit"))
+             .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())       # at most 2**(bits - 6) rows
+    out = np.zeros(1 << (bits - 6), np.int64)
     out[words.column("at").to_numpy()] = words.column("bits").to_numpy()
     return spark.sparkContext.broadcast(out.view(np.uint64))
 
 
+def _wide(n: int) -> int:
+    """Bits of a bit map in which ``n`` values take less than a sixteenth of the slots, up to 32 MB."""
+    return min(28, max(16, (16 * n).bit_length()))
+
+
+def _met(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values' slots are set."""
+    slot = values.view(np.uint64) & np.uint64(64 * len(bits) - 1)
+    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _banded(batch: pa.RecordBatch, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The band keys in the bit map, cut to BAND_BITS, and their lines' nodes."""
+    key = batch.column("bands").flatten().to_numpy() & ((1 << BAND_BITS) - 1)
+    met = np.flatnonzero(_met(bits, key))
+    return key[met], batch.column("k").to_numpy()[met // BANDS]
+
+
+def _sorted(key: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and nodes in order, each pair once, and where the keys start."""
+    at = np.lexsort((k, key))
+    key, k = key[at], k[at]
+    new = _starts(key)
+    one = new | _starts(k)
+    return key[one], k[one], np.flatnonzero(new[one])
+
+
+def _groups(lines: DataFrame, hits: Broadcast, n: int) -> DataFrame:
+    """The nodes of each of ``n`` band keys (about) that has several; null where these are more than TILE.
+
+    Of a key that has more in a row's lines, TILE + 1 are dealt: enough to tell.
+    """
+    most, buckets = TILE, max(64, -(-4 * n // HEADS))
+
+    def offer(batches):
+        held, rows = [], 0
+        for b in batches:
+            held.append(_banded(b, hits.value))
+            rows += len(held[-1][0])
+            if rows >= HEADS:
+                yield deal(held)
+                held, rows = [], 0
+        if rows:
+            yield deal(held)
+
+    def deal(held):
+        key, k, first = _sorted(*(np.concatenate(x) for x in zip(*held)))
+        size = np.diff(np.append(first, len(key)))
+        few = np.arange(len(key)) - np.repeat(first, size) <= most
+        key, k = key[few], k[few]
+        return _packed(key * buckets >> BAND_BITS, {"key": key, "k": k})
+
+    def meet(table: pa.Table) -> pa.Table:
+        key, k, first = _sorted(*(np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("key", "k")))
+        size = np.diff(np.append(first, len(key)))
+        x, y = (np.bitwise_xor.reduceat(WD.mix64(k.view(np.uint64) ^ np.uint64(seed)), first).view(np.int64) for seed in (1, 2))
+        some = np.flatnonzero(size > 1)
+        large = size[some] > most
+        light = some[~large]
+        nodes, ends = pa.array(k[_ranges(first[light], size[light])]), np.append(0, np.cumsum(np.where(large, 0, size[some]))).astype(np.int32)
+        return pa.table({"b": key[first[some]], "x": x[some], "y": np.where(large, key[first[some]], y[some]),
+                         "nodes": pa.ListArray.from_arrays(ends, nodes),
+                         "large": large})
+
+    return (lines.mapInArrow(freeing(offer), "bucket int, key binary, k binary")
+            .groupBy("bucket").applyInArrow(meet, "b long, x long, y long, nodes array<long>, large boolean"))
+
+
+def _members(lines: DataFrame, large: Broadcast) -> DataFrame:
+    """(b, node) of the band keys in the bit map."""
+    def of(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _banded(b, large.value)], ["b", "node"])
+    return lines.mapInArrow(freeing(of), "b long, node long").distinct()
+
+
+def _words(base: DataFrame, nodes: Broadcast) -> DataFrame:
+    """The lines whose nodes are in the bit map, each once of a run of texts."""
+    def of(batches):
+        for b in batches:
+            for _, _, line in _runs(b.column("text").to_pylist()):
+                own = dict(zip(_keys(line), line))
+                key = list(own)
+                node = _short(key)
+                some = np.flatnonzero(_met(nodes.value, node)).tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array([key[i] for i in some], pa.binary()),
+                                                  pa.array([own[key[i]] for i in some], pa.string())], ["node", "key", "line"])
+    return base.select("text").mapInArrow(freeing(of), "node long, key binary, line string")
+
+
+def _candidates(base: DataFrame, lines: DataFrame, heads: DataFrame, scratch: Scratch) -> DataFrame:
+    """The different lines that share bands with others, staged: node, key, line and their groups, ``bands`` of up to TILE lines and ``large``."""
+    spark, n = base.sparkSession, heads.count()
+    groups = scratch.write(_groups(lines, _bit_map(spark, heads, "b", BITS), n).dropDuplicates(["x", "y"]))
+    own = groups.where("NOT large").select("b", F.explode("nodes").alias("node"), F.lit(False).alias("large"))
+    large = groups.where("large").select("b")
+    if not large.isEmpty():
+        # a false hit of the bit map makes no group: it has TILE lines at most
+        found = scratch.write(_members(lines, _bit_map(spark, large, "b", BITS)))
+        sizes = scratch.write(found.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > TILE))
+        own = own.unionByName(lookup_join(found, sizes, ["b"], "n").select("b", "node", F.lit(True).alias("large")))
+    own = scratch.write(own.groupBy("node").agg(F.collect_list(F.when(~F.col("large"), F.col("b"))).alias("bands"),
+                                                F.collect_list(F.when(F.col("large"), F.col("b"))).alias("large")))
+    words = _words(base, _bit_map(spark, own, "node", _wide(own.count())))
+    return scratch.write(words.groupBy("node").agg(F.first("key").alias("key"), F.first("line").alias("line")).join(own.hint("merge"), "node"))
+
+
 def _sets(node: np.ndarray, line: pa.Array) -> tuple[Sets, np.ndarray]:
     """The sets of the lines, equal nodes once, and each row's place among them."""
     _, first, at = np.unique(node, return_index=True, return_inverse=True)
@@ -391,14 +486,53 @@ def _full(tiles: DataFrame, sizes: DataFrame) -> DataFrame:
     return work.mapInArrow(freeing(verify), "a long, b long")
 
 
-def _distinct(candidates: DataFrame) -> DataFrame:
-    return (candidates.groupBy("key").agg(F.first("line").alias("line"), F.first("bands").alias("bands"))
-            .withColumn("node", F.monotonically_increasing_id()))
-
+def _together(rows: DataFrame) -> DataFrame:
+    """Links between the lines of each group ``b`` (a few lines), as a forest for some groups at a time."""
+    def whole(batches):
+        """The rows as they come, but cut between groups."""
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            of = t.column("b").to_numpy()
+            last = int(np.searchsorted(of, of[-1])) if len(of) else 0
+            held = t.slice(last)
+            if last:
+                yield t.slice(0, last).combine_chunks()
+        if held is not None and held.num_rows:
+            yield held.combine_chunks()
 
-def _components(lines: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, comp) of those of the staged distinct lines that are linked with a different line."""
-    met = lines.select("node", F.explode("bands").alias("b"))
+    def verify(batches):
+        for t in whole(batches):
+            first = np.flatnonzero(_starts(t.column("b").to_numpy()))
+            ends = np.append(first, t.num_rows)
+            cost = np.add.reduceat(pc.utf8_length(t.column("line")).to_numpy() + SLOTS, first)
+            for lo, hi in _slices(cost.tolist(), 8 * BLOCK):
+                run = t.slice(ends[lo], ends[hi] - ends[lo])
+                node, size = run.column("node").to_numpy(), np.diff(ends[lo:hi + 1])
+                sets, at = _sets(node, run.column("line").combine_chunks())
+                links, rows = Forest(len(sets.size)), np.arange(len(node))
+                head = np.repeat(ends[lo:hi] - ends[lo], size)
+                i, j = rows[rows != head], head[rows != head]
+                for _ in range(2):
+                    i, j = at[i], at[j]
+                    ok = sets.pairs(i, j)
+                    links.link(i[ok], j[ok])
+                    # then all pairs of a group that are still in different components: each row with those after it
+                    more = np.repeat(ends[lo + 1:hi + 1] - ends[lo], size) - rows - 1
+                    i, j = np.repeat(rows, more), _ranges(rows + 1, more)
+                    open_ = (head[i] != i) & (links.label[at[i]] != links.label[at[j]])
+                    i, j = i[open_], j[open_]
+                own = np.empty(len(sets.size), np.int64)
+                own[at] = node
+                e = own[np.array(links.edges, np.int64).reshape(-1, 2)]
+                yield pa.RecordBatch.from_pydict({"a": pa.array(e[:, 0]), "b": pa.array(e[:, 1])})
+    return rows.repartition("b").sortWithinPartitions("b").mapInArrow(freeing(verify), "a long, b long")
+
+
+def _apart(lines: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links between the lines of the ``large`` groups, with ``links``, those found before."""
+    met = lines.select("node", F.explode("large").alias("b"))
     groups = scratch.write(met.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where("n > 1"))
     members = scratch.write(lookup_join(met, groups, ["b"], "n"))
     pairs = members.where("node <> head").select("node", "head").distinct()
@@ -406,22 +540,29 @@ def _components(lines: DataFrame, scratch: Scratch) -> DataFrame:
                           .join(lines.select(F.col("node").alias("head"), F.col("line").alias("other")), "head"))
     # a head's rows come one after another, so that its set is made once for them
     star = scratch.write(_star(lookup_join(pairs.join(lines.select("node", "line"), "node"), stars, ["head"], "n")
-                               .select("node", "head", "line", "other")))
+                               .select("node", "head", "line", "other"))).unionByName(links)
     comps = scratch.write(components(star, scratch))
     members = scratch.write(members.join(comps, "node", "left").select(
         "b", "node", "n", F.coalesce("comp", "node").alias("comp")))
-    # bands of the same lines (by two hashes of their set) are one group; of two lines the star has compared the only pair
+    # bands of the same lines (by two hashes of their set) are one group
     split = scratch.write(members.groupBy("b").agg(
         F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("node").alias("least"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-        .where("lo <> hi AND n > 2").groupBy("n", "least", "x", "y").agg(F.min("b").alias("b"))
+        .where("lo <> hi").groupBy("n", "least", "x", "y").agg(F.min("b").alias("b"))
         .select("b", "n", F.ceil(F.col("n") / TILE).alias("tiles")))
     tiles = scratch.write(lookup_join(members.select("b", "node", "comp"), split, ["b"], "n")
                           .join(lines.select("node", "line"), "node")
                           .groupBy("b", F.pmod(F.xxhash64("node"), F.col("tiles")).alias("tile"))
                           .agg(F.collect_list(F.struct("node", "comp", "line")).alias("rows")))   # about TILE lines each
-    more = scratch.write(_full(tiles, split.select("b", "tiles")))
-    comps = components(star.unionByName(more), scratch)
+    return star.unionByName(scratch.write(_full(tiles, split.select("b", "tiles"))))
+
+
+def _components(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, comp) of those of the staged distinct lines that are linked with a different line."""
+    links = scratch.write(_together(lines.select("node", "line", F.explode("bands").alias("b"))))
+    if not lines.where("size(large) > 0").isEmpty():
+        links = _apart(lines.where("size(large) > 0"), links, scratch)
+    comps = components(links, scratch)
     return lines.select("node", "key").join(comps, "node").select("key", "comp")
 
 
@@ -442,9 +583,9 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
     cut = scratch.write(_cut(base), ["kind"], compression="zstd", writers=3, options=FAST)
     # the heads only find candidates: parts of the hashes tell lines and bands apart, and are what is shuffled
     heads = scratch.write(_heads(cut.where("kind = 1").select("k", "bands")))
-    inner, hits = Scratch(spark, "line-candidates"), _bit_map(spark, heads)
+    inner = Scratch(spark, "line-candidates")
+    some = _candidates(base, cut.where("kind = 1").select("k", "bands"), heads, inner)
     scratch.drop(heads)
-    some = inner.write(_distinct(_candidates(cut, hits)))
     drop_path(spark, f"{cut._eav_path}/kind=1")     # all that is read of these lines from here on
     comps = scratch.write(_components(some, inner))
     inner.close()
@@ -461,11 +602,17 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
         lookup_join(linked.select("key", "n", "comp"), best, ["comp"], "k").select("key", "n", "best")
         .unionByName(classes.where("comp IS NULL").select("key", "n", F.col("first").alias("best"))))
     scratch.drop(found, classes, best)
-    out = (lookup_join(lines.select("_e_row", "number", "key"), answer, ["key"], "n")
-           .where((F.col("best._e_row") != F.col("_e_row")) | (F.col("best.number") != F.col("number")))
-           .select("_e_row", "number").unionByName(cut.where("kind = 2").select("_e_row", F.col("number").alias("n_lines")),
-                                                   allowMissingColumns=True)
-           .groupBy("_e_row").agg(F.sort_array(F.collect_list("number")).alias("removed"), F.max("n_lines").alias("n_lines")))
+    gone = scratch.write(
+        lookup_join(lines.select("_e_row", "number", "key"), answer, ["key"], "n")
+        .where((F.col("best._e_row") != F.col("_e_row")) | (F.col("best.number") != F.col("number")))
+        .groupBy("_e_row").agg(F.sort_array(F.collect_list("number")).alias("removed")))
+    scratch.drop(lines, answer)
+    # texts that lose no line stay where they are; a false hit of the bit map only moves a text
+    lossy = _bit_map(spark, gone.select(F.xxhash64("_e_row").alias("h")), "h", _wide(gone.count()))
+
+    @F.arrow_udf("boolean")
+    def loses(h: pa.Array) -> pa.Array:
+        return pa.array(_met(lossy.value, h.to_numpy()))
 
     @F.arrow_udf("string")
     def rest(texts: pa.Array, removed: pa.Array) -> pa.Array:
@@ -477,5 +624,13 @@ def line_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
 
     has = F.size("removed") > 0
     text = F.when(has, rest(F.when(has, F.col("text")), F.col("removed"))).otherwise(F.col("text"))
-    return base.join(out, "_e_row").select(
-        *[text.alias(c) if c == text_col else F.col("_e_df").getField(c).alias(c) for c in order], "n_lines", "removed")
+    filled = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(BLANK)) != "")
+    count = F.coalesce(F.when(F.col("text").isNotNull(), F.size(filled)), F.lit(0)).alias("n_lines")
+    none = F.array().cast("array<int>")
+    moved = loses(F.xxhash64("_e_row"))
+
+    def result(rows: DataFrame, made) -> DataFrame:
+        return rows.select(*[made.alias(c) if c == text_col else F.col("_e_df").getField(c).alias(c) for c in order], count, "removed")
+
+    return result(base.where(moved).join(gone.hint("merge"), "_e_row", "left").withColumn("removed", F.coalesce("removed", none)), text).unionByName(
+        result(base.where(~moved).withColumn("removed", none), F.col("text")))

@@ -533,3 +533,56 @@ def test_lines_go_before_candidates_are_compared(spark, docs, monkeypatch):
     assert [x for x in left if x.endswith("kind=0")]
     # other tests' tables may lie there too: of each, what is still read has its lines' places
     assert {x.rsplit("/", 1)[0] for x in left if x.endswith("kind=1")} < {x.rsplit("/", 1)[0] for x in left if x.endswith("kind=0")}
+
+
+def near_lines():
+    """Families of lines that differ in a few letters, some several times, in texts of three lines."""
+    r, out = random.Random(21), []
+    for _ in range(12):
+        base = [r.choice("abcdefghij klmno") for _ in range(r.randint(40, 160))]
+        for _ in range(r.randint(1, 9)):
+            x = list(base)
+            for _ in range(r.randint(0, 4)):
+                x[r.randrange(len(x))] = r.choice("pqrst")
+            out += ["".join(x).strip() or "x"] * r.randint(1, 2)
+    r.shuffle(out)
+    return [(k, "\n".join(out[3 * k:3 * k + 3])) for k in range(len(out) // 3)]
+
+
+@pytest.mark.parametrize("tile", [2, 5, 256])
+def test_lines_of_small_and_of_large_groups(spark, monkeypatch, tile):
+    monkeypatch.setattr(line_dedup, "TILE", tile)
+    monkeypatch.setattr(line_dedup, "HEADS", 60)
+    rows = near_lines()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in line_dedup.line_dedup(df).collect()}
+    assert [got[k]["text"] for k, _ in rows] == lines_by_hand(rows)
+    assert [got[k]["n_lines"] for k, _ in rows] == [len(line_dedup.lines_of(t)) for _, t in rows]
+
+
+def test_full_bit_maps_add_no_lines(spark, monkeypatch):
+    """As on large corpora: every slot is set, and still only lines that share a band with another are compared."""
+    monkeypatch.setattr(line_dedup, "BITS", 6)
+    monkeypatch.setattr(line_dedup, "_wide", lambda n: 6, raising=False)
+    r = random.Random(5)
+    rows = near_lines() + [(1000 + k, "".join(r.choices("abcdefghijklmnop ", k=90)) + "z") for k in range(30)] + [(2000, None), (2001, " \n\n\x0b x \n")]
+    lines = sorted({x for _, t in rows for _, x in line_dedup.lines_of(t)})
+    keys = line_dedup.bands(lines)
+    often = collections.Counter(int(b) for k in keys for b in set(k.tolist()))
+    want = {x for x, k in zip(lines, keys) if any(often[int(b)] > 1 for b in k)}
+    seen, compare = [], line_dedup._components
+
+    def watched(lines, scratch):
+        seen.extend(r["line"] for r in lines.select("line").collect())
+        return compare(lines, scratch)
+    monkeypatch.setattr(line_dedup, "_components", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in line_dedup.line_dedup(df).collect()}
+    assert sorted(seen) == sorted(want) and len(want) < len(lines)
+    assert [got[k]["text"] for k, _ in rows] == lines_by_hand(rows)
+    assert [got[k]["n_lines"] for k, _ in rows][-2:] == [0, 1]
+
+
+def test_lines_are_not_staged_before_they_are_candidates(spark, docs):
+    cut = line_dedup._cut(docs.select(F.monotonically_increasing_id().alias("_e_row"), F.col("doc_id").alias("_e_id"), "text"))
+    assert "string" not in dict(cut.dtypes).values()
