@@ -155,13 +155,12 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     e = scratch.write(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                       .where("u <> v").distinct())
     while True:
-        ups = e.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-        chained = e.select(F.col("v").alias("u")).distinct().join(ups.select("u"), "u", "left_semi")
-        if ups.where("n > 1").select("u").unionByName(chained).isEmpty():
-            break       # every node hangs on one that hangs on none: stars
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
                                                     F.count(F.lit(1)).alias("n")))
+        if least.where("m < u AND n > 1").isEmpty():
+            scratch.drop(least)
+            break       # every node that hangs on one has no other neighbour: stars
         large = scratch.write(lookup_join(both, least, ["u"], "n").where("v > u")
                               .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = scratch.write(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))

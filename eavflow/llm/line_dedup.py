@@ -530,8 +530,8 @@ def _together(rows: DataFrame) -> DataFrame:
     return rows.repartition("b").sortWithinPartitions("b").mapInArrow(freeing(verify), "a long, b long")
 
 
-def _apart(lines: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links between the lines of the ``large`` groups, with ``links``, those found before."""
+def _apart(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links between the lines of the ``large`` groups."""
     met = lines.select("node", F.explode("large").alias("b"))
     groups = scratch.write(met.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where("n > 1"))
     members = scratch.write(lookup_join(met, groups, ["b"], "n"))
@@ -540,9 +540,10 @@ def _apart(lines: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
                           .join(lines.select(F.col("node").alias("head"), F.col("line").alias("other")), "head"))
     # a head's rows come one after another, so that its set is made once for them
     star = scratch.write(_star(lookup_join(pairs.join(lines.select("node", "line"), "node"), stars, ["head"], "n")
-                               .select("node", "head", "line", "other"))).unionByName(links)
-    comps = scratch.write(components(star, scratch))
-    members = scratch.write(members.join(comps, "node", "left").select(
+                               .select("node", "head", "line", "other")))
+    # what the star has linked with a group's head is one component there
+    linked = star.select(F.col("a").alias("node"), F.col("b").alias("head"), F.col("b").alias("comp"))
+    members = scratch.write(members.join(linked, ["node", "head"], "left").select(
         "b", "node", "n", F.coalesce("comp", "node").alias("comp")))
     # bands of the same lines (by two hashes of their set) are one group
     split = scratch.write(members.groupBy("b").agg(
@@ -561,7 +562,7 @@ def _components(lines: DataFrame, scratch: Scratch) -> DataFrame:
     """(key, comp) of those of the staged distinct lines that are linked with a different line."""
     links = scratch.write(_together(lines.select("node", "line", F.explode("bands").alias("b"))))
     if not lines.where("size(large) > 0").isEmpty():
-        links = _apart(lines.where("size(large) > 0"), links, scratch)
+        links = links.unionByName(_apart(lines.where("size(large) > 0"), scratch))
     comps = components(links, scratch)
     return lines.select("node", "key").join(comps, "node").select("key", "comp")
 
