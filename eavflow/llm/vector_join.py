@@ -8,8 +8,10 @@ triangle inequality d(y, p_i) - d(y, p_j) <= 2 radius, and y is no further than
 the radius from the plane between the two pivots,
 (d(y, p_i)^2 - d(y, p_j)^2) / 2 d(p_i, p_j) <= radius.  A vector that meets both
 for a cell before its own is replicated there, so each pair meets in exactly
-one cell, that of the smaller number.  Cells join independently, in tiles of
-bounded size, so that a crowded cell is many tasks.  The number of pivots grows with the
+one cell, that of the smaller number.  Cells are put into blocks of bounded size,
+a crowded one into many, and a task compares two blocks, in tiles.  A vector is sent
+once to each block it is compared in, so what is shuffled is the vectors times the number of
+blocks and no pair of tiles is ever staged.  The number of pivots grows with the
 square root of the number of vectors and there are always two where two vectors differ.
 
 Copies of a vector are one node with a count.  A tile pair returns each node's
@@ -33,9 +35,13 @@ from pyspark.sql import functions as F
 from eavflow.llm.common import Scratch, col, components, lookup_join, ship, without
 from eavflow.llm.forest import Forest
 
-COSINE, SAMPLE_BYTES, TILE, SLACK = 0.9, 16 << 20, 2048, 1e-9
-#: sqrt(n) / ROOT_SHARE pivots (SAMPLE_BYTES of them at most), four sampled vectors to choose each from, tile pairs a task.
-ROOT_SHARE, CHOICE, PAIRS_A_TASK = 16, 4, 16
+COSINE, SAMPLE_BYTES, TILE, SLACK = 0.9, 16 << 20, 2048, 1e-7
+#: sqrt(n) / ROOT_SHARE pivots (SAMPLE_BYTES of them at most), four sampled vectors to choose each from.
+ROOT_SHARE, CHOICE = 16, 4
+#: Bytes of a block's vectors in double precision at most, and how many blocks there are at least where they fill a tile;
+#: beyond one candidate in CROWDED pairs of a tile all of them are computed in double precision.
+BLOCK_BYTES, BLOCKS, CROWDED = 32 << 20, 8, 16
+RETURNED = ["node", "links", "a", "b"]
 RESULT = ("n_links", "component_id", "kept")
 
 
@@ -56,10 +62,10 @@ def choose_pivots(sample: np.ndarray, most: int) -> np.ndarray:
     return sample[chosen]
 
 
-def cells(x: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-    """Each unit vector's own cell, and whether it must also be seen in each cell (those before its own)."""
+def cells(x: np.ndarray, pivots: np.ndarray, radius: float, home: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Each unit vector's own cell (``home``, if it is known), and whether it must also be seen in each cell (those before its own)."""
     d2 = np.maximum((x ** 2).sum(1)[:, None] - 2 * x @ pivots.T + (pivots ** 2).sum(1)[None], 0)
-    home = d2.argmin(axis=1)
+    home = d2.argmin(axis=1) if home is None else home      # found once: sums of another batch may round a tie otherwise
     own = d2[np.arange(len(x)), home][:, None]
     between = np.maximum((pivots ** 2).sum(1)[:, None] - 2 * pivots @ pivots.T + (pivots ** 2).sum(1)[None], 0)
     triangle = np.sqrt(d2) - np.sqrt(own) <= 2 * radius + SLACK
@@ -67,89 +73,177 @@ def cells(x: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.ndarray,
     return home, triangle & plane & (np.arange(len(pivots))[None] < home[:, None])
 
 
-def _unit(values: list) -> np.ndarray:
+def _unit(values) -> np.ndarray:
     x = np.array(values, dtype=np.float64)
     # scaled first: squares of very large or small components must not overflow
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def pack(x: np.ndarray) -> list[bytes]:
+    """Vectors as bytes, of half the size where single precision holds all components exactly."""
+    with np.errstate(over="ignore"):
+        single = x.astype(np.float32)
+    exact = (single == x).all(axis=1)
+    return [(s if e else d).tobytes() for s, d, e in zip(single, x, exact)]
+
+
+def unpack(packed: pa.ChunkedArray, dim: int) -> np.ndarray:
+    x = np.empty((len(packed), dim))
+    at = 0
+    for part in packed.chunks:
+        part = part.cast(pa.large_binary())
+        ends = np.frombuffer(part.buffers()[1], np.int64)[part.offset:part.offset + len(part) + 1]
+        data, wide = part.buffers()[2], np.diff(ends) > 4 * dim
+        if wide.any():
+            for k, (a, z, w) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), wide.tolist())):
+                x[at + k] = np.frombuffer(data[a:z], np.float64 if w else np.float32)
+        elif len(part):
+            x[at:at + len(part)] = np.frombuffer(data[int(ends[0]):int(ends[-1])], np.float32).reshape(-1, dim)
+        at += len(part)
+    return x
+
+
+class Blocks:
+    """Cells as blocks of at most ``most`` vectors of their own: neighbouring small cells share one, larger cells have several.
+
+    Blocks are numbered in the order of cells.  ``meet[a, b]`` (a <= b) says that a vector of block b is seen in block a.
+    """
+
+    def __init__(self, sizes: np.ndarray, seen: np.ndarray, most: int):
+        self.first, self.pieces, at, room = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64), -1, 0
+        for c, n in enumerate(sizes.tolist()):
+            if n > room:
+                at, self.pieces[c] = at + 1, max(1, -(-n // most))
+                self.first[c], room = at, most - n
+                at += self.pieces[c] - 1
+            else:
+                self.first[c], room = max(at, 0), room - n
+        self.n = max(at, 0) + 1
+        # which cells a block holds vectors of
+        self.holds = np.zeros((len(sizes), self.n), bool)
+        for c in np.flatnonzero(sizes):
+            self.holds[c, self.first[c]:self.first[c] + self.pieces[c]] = True
+        of = self.holds.astype(np.int64)
+        self.meet = np.triu(of.T @ (seen | np.eye(len(sizes), dtype=bool)).astype(np.int64) @ of > 0)
+
+    def of(self, node: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        dealt = (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        return self.first[cell] + (dealt % self.pieces[cell].astype(np.uint64)).astype(np.int64)
+
+    def visits(self, block: np.ndarray, cell: np.ndarray, also: np.ndarray) -> np.ndarray:
+        """The blocks that each vector is compared in: as a guest those before its own, as a host those that have guests for it."""
+        number = np.arange(self.n)[None]
+        cells_seen = also.copy()
+        cells_seen[np.arange(len(cell)), cell] = True
+        guest = (cells_seen.astype(np.float32) @ self.holds.astype(np.float32) > 0) & (number < block[:, None])
+        return guest | (self.meet[block] & (number >= block[:, None]))
+
+
+def linked(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in x, in y) of the pairs of unit vectors at ``cosine`` or more.
+
+    Single precision finds what can be one, with room for its rounding; double precision decides.
+    """
+    slack = (x.shape[1] + 16) * 2.0 ** -23
+    i, j = np.nonzero(x.astype(np.float32) @ y.astype(np.float32).T >= np.float32(cosine - slack))
+    if len(i) * CROWDED > len(x) * len(y):
+        return np.nonzero(x @ y.T >= cosine)
+    sure = np.einsum("ij,ij->i", x[i], y[j]) >= cosine
+    return i[sure], j[sure]
+
+
 def _join(nodes: DataFrame, dim: int, cosine: float, scratch: Scratch) -> DataFrame:
     """(node, links, a, b): link counts by node (a null) and forest edges (node null) among ``nodes`` of one length."""
-    radius = math.sqrt(2 - 2 * cosine)
-    most = pivot_count(nodes.count())
+    radius, n, tile = math.sqrt(2 - 2 * cosine), nodes.count(), TILE
+    most = pivot_count(n)
     limit = max(2, min(max(64, CHOICE * most), SAMPLE_BYTES // (8 * dim)))
     # at most SAMPLE_BYTES of vectors, chosen by a hash: pivots only steer the work, any choice gives the same result
     sample = _unit([r[0] for r in nodes.select("v").orderBy(F.xxhash64("v"), "node").limit(limit).collect()])
     pivots = choose_pivots(sample, most)
 
-    def assign(batches):
+    def read(b):
+        return b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, dim)
+
+    def count(batches):
+        seen = np.zeros((len(pivots), len(pivots)), np.int64)       # [cell, own cell]
         for b in batches:
             if b.num_rows:
-                x = _unit(b.column("v").to_pylist())
-                home, also = cells(x, pivots, radius)
+                home, also = cells(_unit(read(b)), pivots, radius)
+                np.add.at(seen, (home, home), 1)
                 row, cell = np.nonzero(also)
-                at = np.concatenate([np.arange(len(x)), row])
-                yield pa.RecordBatch.from_pydict({
-                    "node": b.column("node").to_numpy()[at], "m": b.column("m").to_numpy()[at],
-                    "cell": pa.array(np.concatenate([home, cell]), pa.int32()),
-                    "guest": np.concatenate([np.zeros(len(x), bool), np.ones(len(row), bool)]),
-                    "x": pa.array([v.tobytes() for v in x[at]], pa.binary())})
-
-    dealt = scratch.write(nodes.mapInArrow(assign, "node long, m long, cell int, guest boolean, x binary"))
-    # one row per cell
-    size = dealt.groupBy("cell").agg(F.sum(F.col("guest").cast("long")).alias("g"), F.count(F.lit(1)).alias("n"))
-    tiles = size.select("cell", F.ceil((F.col("n") - F.col("g")) / TILE).alias("h_tiles"), F.ceil(F.col("g") / TILE).alias("g_tiles"))
-    tiles = scratch.write(tiles)
-    pairs_all = tiles.agg(F.sum(F.col("h_tiles") * (F.col("h_tiles") + 1) / 2 + F.col("h_tiles") * F.col("g_tiles"))).first()[0]
-    count = F.when(F.col("guest"), F.col("g_tiles")).otherwise(F.col("h_tiles"))
-    data = (dealt.join(F.broadcast(tiles), "cell")
-            .withColumn("tile", F.pmod(F.xxhash64("node"), count))
-            .groupBy("cell", "guest", "tile")
-            .agg(F.collect_list(F.struct("node", "m", "x")).alias("rows")))     # about TILE rows each
-    data = scratch.write(data)
-    own = data.where("NOT guest").select("cell", F.col("tile").alias("t"), F.col("rows").alias("left"))
-    pairs = tiles.select("cell", F.explode(F.sequence(F.lit(0), F.col("h_tiles") - 1)).alias("t"), "h_tiles", "g_tiles")
-    partner = F.concat(
-        F.transform(F.sequence(F.col("t"), F.col("h_tiles") - 1), lambda i: F.struct(F.lit(False).alias("guest"), i.alias("tile"))),
-        F.when(F.col("g_tiles") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("g_tiles") - 1),
-                                                 lambda i: F.struct(F.lit(True).alias("guest"), i.alias("tile"))))
-        .otherwise(F.array().cast("array<struct<guest:boolean,tile:bigint>>")))
-    work = (pairs.where("h_tiles > 0").select("cell", "t", F.explode(partner).alias("p")).select("cell", "t", "p.*")
-            .join(own, ["cell", "t"]).join(data.withColumnRenamed("rows", "right"), ["cell", "guest", "tile"])
-            .select((F.col("guest") | (F.col("t") != F.col("tile"))).alias("two"), "left", "right"))
-
-    def read(rows):
-        node, m, x = rows.values.flatten()
-        x = x.cast(pa.large_binary())
-        at = np.frombuffer(x.buffers()[1], np.int64)[x.offset:x.offset + len(x) + 1]
-        data = np.frombuffer(x.buffers()[2], np.uint8)[at[0]:at[-1]]
-        return node.to_numpy(), m.to_numpy().astype(np.float64), np.frombuffer(data.tobytes()).reshape(len(x), dim)
-
-    def compare(batches):
+                np.add.at(seen, (cell, home[row]), 1)
+        cell, home = np.nonzero(seen)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(cell, pa.int32()), "home": pa.array(home, pa.int32()), "n": pa.array(seen[cell, home], pa.int64())})
+
+    # one row per pair of cells that meet
+    met = nodes.select("v").mapInArrow(count, "cell int, home int, n long").groupBy("cell", "home").agg(F.sum("n")).collect()
+    seen = np.zeros((len(pivots), len(pivots)), np.int64)
+    for cell, home, k in met:
+        seen[cell, home] = k
+    blocks = Blocks(seen.diagonal(), seen > 0, max(tile, min(BLOCK_BYTES // (8 * dim), -(-n // BLOCKS))))
+
+    def assign(batches):
         for b in batches:
-            for k in range(b.num_rows):
-                two = b.column("two")[k].as_py()
-                node, m, x = read(b.column("left")[k])
-                node2, m2, y = read(b.column("right")[k]) if two else (node, m, x)
-                hit = x @ y.T >= cosine
-                if not two:
-                    hit = np.triu(hit, 1)
-                forest = Forest(len(x) + (len(y) if two else 0))
-                i, j = np.nonzero(hit)
-                forest.link(i, j + (len(x) if two else 0))
-                each = np.concatenate([node, node2]) if two else node
-                links = np.concatenate([hit @ m2, hit.T @ m]) if two else hit @ m + hit.T @ m
-                some = np.flatnonzero(links)
-                e = each[np.array(forest.edges, np.int64).reshape(-1, 2)]
-                none = lambda n: pa.nulls(n, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(each[some]), pa.array(links[some].astype(np.int64)), none(len(some)), none(len(some))],
-                    ["node", "links", "a", "b"])
-                yield pa.RecordBatch.from_arrays(
-                    [none(len(e)), none(len(e)), pa.array(e[:, 0]), pa.array(e[:, 1])], ["node", "links", "a", "b"])
-
-    return work.repartition(max(8, math.ceil(pairs_all / PAIRS_A_TASK))).mapInArrow(compare, "node long, links long, a long, b long")
+            if b.num_rows:
+                v, node = read(b), b.column("node").to_numpy()
+                home, also = cells(_unit(v), pivots, radius)
+                own = blocks.of(node, home)
+                row, other = np.nonzero(blocks.visits(own, home, also))
+                guest = other < own[row]
+                packed = pa.array(pack(v), pa.binary())
+                yield pa.RecordBatch.from_pydict({
+                    "unit": np.where(guest, other * blocks.n + own[row], own[row] * blocks.n + other), "guest": guest,
+                    "cell": pa.array(home[row], pa.int32()), "node": node[row], "m": b.column("m").to_numpy()[row], "v": packed.take(pa.array(row))})
+
+    def compare(rows):
+        """One pair of blocks, or one block: cell by cell, a tile at a time."""
+        rows = rows.combine_chunks()
+        if not rows.num_rows:
+            return none()
+        first, second = divmod(rows.column("unit")[0].as_py(), blocks.n)
+        node, m = rows.column("node").to_numpy(), rows.column("m").to_numpy().astype(np.float64)
+        guest = rows.column("guest").to_numpy(zero_copy_only=False)
+        x = _unit(unpack(rows.column("v"), dim))
+        home, also = cells(x, pivots, radius, rows.column("cell").to_numpy())
+        links, forest = np.zeros(len(x)), Forest(len(x))
+        for cell in np.unique(home[~guest]):
+            host = np.flatnonzero(~guest & (home == cell))
+            # in a block of its own a pair of one cell is met once, above the diagonal
+            come = np.flatnonzero((guest & (home == cell)) | (guest if first != second else ~guest) & also[:, cell])
+            for s in range(0, len(host), tile):
+                left = host[s:s + tile]
+                if first == second:
+                    for t in range(s, len(host), tile):
+                        right = host[t:t + tile]
+                        i, j = linked(x[left], x[right], cosine)
+                        _note(links, forest, m, left[i], right[j], left[i] < right[j] if s == t else None)
+                for t in range(0, len(come), tile):
+                    right = come[t:t + tile]
+                    i, j = linked(x[left], x[right], cosine)
+                    _note(links, forest, m, left[i], right[j])
+        some = np.flatnonzero(links)
+        e = node[np.array(forest.edges, np.int64).reshape(-1, 2)]
+        gap = lambda k: pa.nulls(k, pa.int64())
+        return pa.concat_tables([none(), *[pa.Table.from_arrays(a, names=RETURNED) for a in (
+            [pa.array(node[some]), pa.array(links[some].astype(np.int64)), gap(len(some)), gap(len(some))],
+            [gap(len(e)), gap(len(e)), pa.array(e[:, 0]), pa.array(e[:, 1])])]])
+
+    def none():
+        return pa.schema([(c, pa.int64()) for c in RETURNED]).empty_table()
+
+    # a vector is sent to each block it is compared in, of which there are n / their size: the size of a block decides what is shuffled
+    dealt = nodes.select("node", "m", "v").mapInArrow(assign, "unit long, guest boolean, cell int, node long, m long, v binary")
+    return dealt.repartition(max(8, 2 * int(blocks.meet.sum())), "unit").groupBy("unit").applyInArrow(compare, ", ".join(f"{c} long" for c in RETURNED))
+
+
+def _note(links: np.ndarray, forest: Forest, m: np.ndarray, i: np.ndarray, j: np.ndarray, where: np.ndarray | None = None) -> None:
+    if where is not None:
+        i, j = i[where], j[where]
+    if len(i):
+        np.add.at(links, i, m[j])
+        np.add.at(links, j, m[i])
+        forest.link(i, j)
 
 
 def near_dedup(df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id", cosine: float = COSINE) -> DataFrame:
@@ -181,11 +275,13 @@ def near_dedup(df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id"
     found = inner.write(found)
     links = found.where("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))
     comps = components(found.where("a IS NOT NULL").select("a", "b"), inner)
-    of = inner.write(nodes.join(links, "node", "left").join(comps, "node", "left").select(
-        "v", "m", "first", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).cast("long").alias("links"),
+    # vectors are brought to the answers once, at the end
+    of = inner.write(nodes.select("node", "m", "first").join(links, "node", "left").join(comps, "node", "left").select(
+        "node", "first", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).cast("long").alias("links"),
         F.coalesce("comp", "node").alias("comp")))
     best = inner.write(of.groupBy("comp").agg(F.min("first").alias("best"), F.count(F.lit(1)).alias("k")))
-    answer = scratch.write(lookup_join(of.drop("first"), best, ["comp"], "k").select("v", "m", "links", "best"))
+    small = inner.write(lookup_join(of.drop("first"), best, ["comp"], "k").select("node", "links", "best"))
+    answer = scratch.write(nodes.select("node", "v", "m").join(small, "node").select("v", "m", "links", "best"))
     inner.close()
     alone = rows.where(F.col("v").isNull() | ~finite)
     shown = [F.col("_e_df").getField(c).alias(c) for c in own]

@@ -96,6 +96,36 @@ def test_every_near_pair_meets_in_the_smaller_cell():
         assert also[i, min(home[i], home[j])] and also[j, min(home[i], home[j])]
 
 
+def test_vectors_are_sent_once_to_a_block_and_every_near_pair_meets_once(spark):
+    rng = np.random.default_rng(9)
+    x = np.array(vectors(rng, 600))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    pivots = vector_join.choose_pivots(x, 9)
+    home, also = vector_join.cells(x, pivots, math.sqrt(0.2))
+    seen = np.eye(len(pivots), dtype=bool)
+    for i, j in zip(*np.nonzero(also)):
+        seen[j, home[i]] = True
+    node = np.arange(len(x)) * 7
+    for most in (20, 100, 1000):
+        blocks = vector_join.Blocks(np.bincount(home, minlength=len(pivots)), seen, most)
+        own = blocks.of(node, home)
+        assert blocks.n <= 2 * len(x) / most + 1 + len(pivots) and own.max() < blocks.n
+        visits = blocks.visits(own, home, also)
+        for i, j in zip(*np.nonzero(np.triu(x @ x.T >= 0.9, 1))):
+            # the block of the smaller number and that of the larger make the one unit of the pair
+            a, b = min(own[i], own[j]), max(own[i], own[j])
+            first, second = (i, j) if own[i] <= own[j] else (j, i)
+            assert visits[first, b] and visits[second, a]
+
+
+def test_vectors_are_packed_without_loss():
+    x = np.array([[1.5, 0.25, -3.0], [0.1, 0.2, 0.3], [1e300, 0.0, 1.0], [float(np.float32(0.1)), 0.0, 2.0]])
+    packed = vector_join.pack(x)
+    assert [len(p) for p in packed] == [12, 24, 24, 12]
+    assert (vector_join.unpack(pa.chunked_array([pa.array(packed[:2], pa.binary()), pa.array(packed[2:], pa.binary())]), 3) == x).all()
+    assert (vector_join.unpack(pa.chunked_array([pa.array([packed[3], packed[0]], pa.binary())]), 3) == x[[3, 0]]).all()
+
+
 # -- 10 URLs -------------------------------------------------------------------------
 
 def judged_by_hand(url):
