@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from eavflow.session import drop_path, file_system, scratch_path
+from eavflow.session import drop_path, file_system, scratch_path, setting, shuffles_freed
 
 #: A key with more than 1 / HOT_SHARE of the rows is hot, so at most HOT_SHARE keys are.
 HOT_SHARE = 256
@@ -61,24 +61,6 @@ class Scratch:
             drop_path(self.spark, t._eav_path)
 
 
-@contextmanager
-def setting(spark: SparkSession, name: str, value: str):
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
-def shuffles_freed(spark: SparkSession):
-    """What runs inside runs once: its shuffle files go when it ends, not when the driver's collector gets to them."""
-    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-
-
 @contextmanager
 def cleared():
     """Deletes at its end what operators staged inside; what is to be kept must be written by then."""

@@ -1,6 +1,7 @@
 """Steps whose work must grow no faster than their input: how files are made, lines read, dictionaries built and looked up."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from eavflow.operators.file_index import build_index
 from eavflow.plans import writer
 from eavflow.plans.spec import RECORD_COLS, RISK_TEMPLATE
 from eavflow.plans.stage import Stage
+from eavflow.session import checkpoint_root
 from eavflow.sources import fixtures as FX
 from eavflow.sources import records as RD
 from tests.conftest import EAV_SCHEMA
@@ -136,3 +138,52 @@ def test_rows_are_routed_without_a_lambda_and_sorted_by_key(spark):
     plan = plans[f"index-{RISK_TEMPLATE.name}"]
     assert "lambda" not in plan and "Aggregate [_key" in plan
     assert [tuple(r) for r in idx.members.collect()] == [("f", "R1", "L1")]
+
+
+def test_what_a_file_is_put_together_from_goes_as_it_is_placed(spark, monkeypatch, tmp_path):
+    wide = spark.range(400).select(
+        F.when(F.col("id") % 2 == 0, "e").otherwise("f").alias("src"), F.col("id").alias("ord"),
+        *[F.lit(None).cast("string").alias(c) for c in RECORD_COLS if c != "data"], F.concat(F.lit("é,"), F.col("id").cast("string")).alias("data"))
+    left, whole = [], FX._put_together
+
+    def put_together(s, path, header, parts):
+        whole(s, path, header, parts)
+        left.append([os.path.getsize(p.removeprefix("file:")) for p, _ in parts])
+    monkeypatch.setattr(FX, "_put_together", put_together)
+    before = _scratch(spark)
+    FX.write_objects(wide, {"e": f"{tmp_path}/e.csv", "f": f"{tmp_path}/f.csv"})
+    assert len(left) == 2 and all(left) and not any(map(any, left)) and _scratch(spark) == before
+    for k, name in enumerate("ef"):
+        assert [r["data"] for r in RD.read_records(spark, f"{tmp_path}/{name}.csv").orderBy("ord").collect()] == [f"é,{i}" for i in range(k, 400, 2)]
+
+
+def _scratch(spark):
+    root = checkpoint_root(spark).removeprefix("file:")
+    return sorted(os.listdir(root)) if os.path.isdir(root) else []
+
+
+def _shuffled(spark):
+    """The shuffle files that are on disk."""
+    at = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    return {f for d in at for base, _, names in os.walk(d) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    before = _shuffled(spark)
+    with Stage(spark) as stage:
+        out = stage.table(spark.range(20000).groupBy((F.col("id") % 5000).alias("k")).agg(F.max("id").alias("m")), "maxima")
+        until = time.time() + 20
+        while _shuffled(spark) - before and time.time() < until:
+            time.sleep(0.2)
+        assert not _shuffled(spark) - before
+        assert out.count() == 5000 and all(f.endswith(".zstd.parquet") for f in out.inputFiles())
+        stage.drop(out)
+        assert not os.path.exists(out.stage_path.removeprefix("file:"))
+
+
+def test_marks_of_links_carry_no_values(spark):
+    with Stage(spark) as stage:
+        idx = build_index(_small(spark), RISK_TEMPLATE, stage)
+        agg = spark.read.parquet(next(p for p in stage.paths if "/index-" in p))
+        assert agg.where("kind = 'K' AND (v1 IS NOT NULL OR v2 IS NOT NULL)").isEmpty() and agg.where("kind = 'K' AND v0 = 'C1'").count() == 2
+        assert {(r["form"], r["target"], r["r__C2R"], r["r__R2I"]) for r in idx.links.collect()} == {("L1", "C1", True, False), ("L2", "C1", True, False)}
