@@ -102,10 +102,13 @@ def build_index(rec: DataFrame, tpl: Template, stage: Stage | None = None,
 
     wanted = []
 
-    def to(cond, kind_: str, key, *slots) -> F.Column:
-        """A row's place under a key; bit ``b`` of ``hits`` says that the row counts for slot ``b`` of its kind."""
+    n_slots = max(3, len(name_ids))
+
+    def to(cond, kind_: str, key, *slots, marks=()) -> F.Column:
+        """A row's place under a key; bit ``b`` of ``hits`` says that the row counts for slot ``b`` of its kind, the bits after the slots are marks, whose values nobody asks for."""
         wanted.append(cond)
-        hits = reduce(lambda x, y: x.bitwiseOR(y), [F.when(c, F.lit(1 << b)).otherwise(0) for b, c in enumerate(slots)], F.lit(0))
+        bits = [*enumerate(slots), *enumerate(marks, n_slots)]
+        hits = reduce(lambda x, y: x.bitwiseOR(y), [F.when(c, F.lit(1 << b)).otherwise(0) for b, c in bits], F.lit(0))
         value = frm if kind_ == K_MEMBER else d
         return F.when(cond, F.struct(F.lit(kind_).alias("kind"), key.alias("key"), value.alias("value"), hits.alias("hits")))
 
@@ -113,7 +116,7 @@ def build_index(rec: DataFrame, tpl: Template, stage: Stage | None = None,
         to(i.isin(L.category_id, L.name_id, L.indicator_id), K_CODE, frm, (g == L.category_group) & (i == L.category_id),
            (g == L.name_group) & (i == L.name_id), (g == L.indicator_group) & (i == L.indicator_id)),
         to(i.isin(L.link_relation, L.link_member_target), K_LINK, frm, i == L.link_member_target,
-           *[(i == L.link_relation) & (d == r) for r in rels]),
+           marks=[(i == L.link_relation) & (d == r) for r in rels]),
         to(i.isin(name_ids) if name_ids else F.lit(False), K_TARGET, frm, *[i == n for n in name_ids]),
         to(i.contains(L.label_marker), K_LABEL, i, F.lit(True)),
         to(i == L.link_member_record, K_MEMBER, d, F.lit(True)),
@@ -124,7 +127,6 @@ def build_index(rec: DataFrame, tpl: Template, stage: Stage | None = None,
     # rows that no lookup wants, most of them, go before anything is made of them
     routed = rec.where(reduce(or_, wanted)).select("src", "ord", *own, F.explode(route).alias("_k")).where("_k IS NOT NULL").select(
         "src", "ord", *own, F.col("_k.kind").alias("_kind"), F.col("_k.key").alias("_key"), F.col("_k.value").alias("_value"), F.col("_k.hits").alias("_hits"))
-    n_slots = max(3, len(name_ids))
     bit = lambda c, b: F.col(c).bitwiseAND(F.lit(1 << b)) != 0
     # the key leads: a sort tells most rows apart by the first bytes of its first column, and few files and kinds differ in theirs
     agg = routed.groupBy(F.col("_key").alias("key"), "src", F.col("_kind").alias("kind")).agg(
@@ -139,7 +141,7 @@ def build_index(rec: DataFrame, tpl: Template, stage: Stage | None = None,
         return agg.where(F.col("kind") == kind_).select("src", *cols)
 
     form, first = F.col("key").alias("form"), lambda b, name: F.col(f"v{b}").alias(name)
-    flags = [bit("hits", 1 + b).alias(rel_col(r)) for b, r in enumerate(rels)]
+    flags = [bit("hits", n_slots + b).alias(rel_col(r)) for b, r in enumerate(rels)]
     # rows that no lookup can use are left out of their side
     useful = F.col("target").isNotNull() & reduce(or_, [F.col(rel_col(r)) for r in rels], F.lit(False))
     return FileIndex(
